@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from weftline.plans import data_queries
+
+QUERIES: dict = {**data_queries.QUERIES}
+SQL: dict = {**data_queries.SQL}
 FLAGSHIP = "growth_score"
