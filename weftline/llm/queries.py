@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import byte_bpe, mixture, quantile_sketch, topn
+from weftline.llm import byte_bpe, look, mixture, quantile_sketch, topn
 from weftline.sources.tables import distinct_rows, table
 
 #: Percentiles of the problem's report, and the relative error they are given within.
@@ -67,6 +67,13 @@ select customer, export_id from (
 where r <= 3"""
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Keywords that look like a listed one, and names that look like another's."""
+    words = look.same_look_in_list(table(spark, d, "pmc_timeseries"), "series_id", "keyword", table(spark, d, "pmc_keywords"), "keyword_id", "keyword")
+    names = look.same_look(table(spark, d, "validate_at_scale_nvidia"), "listing_id", "product_name")
+    return words.select(F.lit("keyword").alias("field_name"), "left_id", "right_id").unionAll(names.select(F.lit("product_name"), "left_id", "right_id"))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document."""
     return table(spark, d, "documents").select("doc_id", byte_bpe.token_ids(F.col("text")).alias("ids"))
@@ -93,6 +100,7 @@ QUERIES = {
     "p2_percentiles": p2_percentiles,
     "p2_merged_days": p2_merged_days,
     "p3_found": p3_found,
+    "p5_found": p5_found,
     "p7_ids": p7_ids,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
