@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import byte_bpe, look, mixture, quantile_sketch, topn
+from weftline.llm import byte_bpe, canonical, look, mixture, quantile_sketch, topn
 from weftline.sources.tables import distinct_rows, table
 
 #: Percentiles of the problem's report, and the relative error they are given within.
@@ -67,6 +67,20 @@ select customer, export_id from (
 where r <= 3"""
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """The brand meant by each typed leader_brand, 0 where the list has none."""
+    e, names, others = (table(spark, d, t) for t in ("export_llm_data", "brand_list", "brand_aliases"))
+    return canonical.map_rows(e, "export_id", "leader_brand", names, others, "brand_id", "brand_name", "alias_text")
+
+
+def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """The typed values without an entry, and how many rows have them."""
+    e, names, others = (table(spark, d, t) for t in ("export_llm_data", "brand_list", "brand_aliases"))
+    values = canonical.map_values(e, "leader_brand", names, others, "brand_id", "brand_name", "alias_text").where("id = 0")
+    n = e.select("export_id", "leader_brand").distinct().groupBy("leader_brand").agg(F.count(F.lit(1)).alias("n_rows"))
+    return n.join(values, n.leader_brand == values.value).select("leader_brand", "n_rows", F.round("score", 6).alias("best_score"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Keywords that look like a listed one, and names that look like another's."""
     words = look.same_look_in_list(table(spark, d, "pmc_timeseries"), "series_id", "keyword", table(spark, d, "pmc_keywords"), "keyword_id", "keyword")
@@ -100,6 +114,8 @@ QUERIES = {
     "p2_percentiles": p2_percentiles,
     "p2_merged_days": p2_merged_days,
     "p3_found": p3_found,
+    "p4_found": p4_found,
+    "p4_unmatched": p4_unmatched,
     "p5_found": p5_found,
     "p7_ids": p7_ids,
     "p8_mix": p8_mix,
