@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import byte_bpe, canonical, look, mixture, quantile_sketch, topn
+from weftline.llm import byte_bpe, canonical, look, mixture, quantile_sketch, reading, topn
 from weftline.sources.tables import distinct_rows, table
 
 #: Percentiles of the problem's report, and the relative error they are given within.
@@ -110,6 +110,21 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.shares(drawn, targets, "source", "tokens")
 
 
+def _levels(spark: SparkSession, d: str) -> DataFrame:
+    return reading.levels(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "reading_labels"), "doc_id", "rater", "reading_level")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """The level most of each document's sentences are written at."""
+    return _levels(spark, d).select("doc_id", F.col("reading_level").cast("long"))
+
+
+def p9_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and mean difficulty of each source and level."""
+    x = _levels(spark, d).join(table(spark, d, "documents").select("doc_id", "source"), "doc_id")
+    return x.groupBy("source", "reading_level").agg(F.count(F.lit(1)).alias("n_docs"), F.round(F.avg("difficulty"), 4).alias("mean_difficulty"))
+
+
 QUERIES = {
     "p2_percentiles": p2_percentiles,
     "p2_merged_days": p2_merged_days,
@@ -120,6 +135,8 @@ QUERIES = {
     "p7_ids": p7_ids,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_profile": p9_profile,
 }
 
 SQL = {"p2_percentiles": _p2_sql(), "p2_merged_days": _p2_sql(), "p3_found": P3_SQL}
