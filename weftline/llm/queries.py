@@ -5,9 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import byte_bpe, canonical, look, mixture, quantile_sketch, reading, topn
+from weftline.llm import byte_bpe, canonical, look, mixture, products, quantile_sketch, reading, topn
 from weftline.sources.tables import distinct_rows, table
 
+def _products(spark: SparkSession, d: str) -> DataFrame:
+    v = table(spark, d, "validate_at_scale_nvidia").select(F.col("listing_id").alias("id"), F.col("product_name").alias("name"), "subgroup", F.col("pack_size").alias("size"), F.col("unit_label").alias("unit"), F.col("sale_price_thb").alias("price"))
+    prices = table(spark, d, "export_llm_data").select(F.col("own_listing_id").alias("id"), F.col("own_price_thb").alias("price"))
+    return products.same_product(v, prices)
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every two listings that sell the same product."""
+    return products.pairs_of(_products(spark, d)).select(F.col("a").alias("listing_id_a"), F.col("b").alias("listing_id_b"))
+
+
+def p1_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Each listing with its product."""
+    return _products(spark, d).select(F.col("id").alias("listing_id"), "product").distinct()
+
+
 #: Percentiles of the problem's report, and the relative error they are given within.
 WANTED, ERROR = [0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99], 0.01
 
@@ -126,6 +142,8 @@ def p9_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_groups": p1_groups,
     "p2_percentiles": p2_percentiles,
     "p2_merged_days": p2_merged_days,
     "p3_found": p3_found,
