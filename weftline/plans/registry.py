@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from weftline.plans import data_queries
+from weftline.plans import data_queries, growth_queries, supply_queries
 
-QUERIES: dict = {**data_queries.QUERIES}
-SQL: dict = {**data_queries.SQL}
+_MODULES = (data_queries, growth_queries, supply_queries)
+QUERIES: dict = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
+SQL: dict = {k: v for m in _MODULES for k, v in m.SQL.items()}
 FLAGSHIP = "growth_score"
