@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftline.functions import semantics as S
 from weftline.operators import supply as U
 from weftline.plans.growth_queries import r6
 from weftline.sources.tables import table
@@ -291,4 +290,3 @@ def l26(spark, d):
 
 
 SQL["l26_tier_records"] = "select distinct listing_id, case when isnan(similarity) then null else similarity end as similarity, unit_tier::int as unit_tier from validate_at_scale_nvidia"
-_ = S
