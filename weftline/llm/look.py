@@ -27,31 +27,35 @@ from pyspark.sql import functions as F
 from weftline.functions.unicode_map import singles
 from weftline.session import cut
 
-#: Thai signs above a letter, and tone marks (fixed values).
-ABOVE, TONES, NIKHAHIT, AA, AM = "ัิีึืํ็", "่้๊๋์", "ํ", "า", "ำ"
+#: Thai vowel signs above a letter, tone marks and the parts of composed vowels (fixed values).
+ABOVE, TONES, NIKHAHIT, AA, AM, E, AE = "ัิีึืํ็", "่้๊๋์", "ํ", "า", "ำ", "เ", "แ"
 
 
-@cache
-def rules() -> dict[str, str]:
-    """Sequences of several characters that are written for one look."""
-    out = {"เเ": "แ", NIKHAHIT + AA: AM}
-    for t in TONES[:4]:
-        out |= {NIKHAHIT + t + AA: t + AM, t + NIKHAHIT + AA: t + AM, AM[:0] + t + AM: t + AM}
-        out |= {t + v: v + t for v in ABOVE if v != NIKHAHIT}
-    return {k: v for k, v in out.items() if k != v}
+def thai(signs: str) -> str:
+    """A run of Thai signs in the order in which they are written: vowel, tone, and the
+    vowel that is composed of two."""
+    if signs == E + E:
+        return AE
+    above, tones = ("".join(c for c in signs if c in of) for of in (ABOVE, TONES))
+    if signs.endswith(AA):
+        if NIKHAHIT in above:
+            return above.replace(NIKHAHIT, "", 1) + tones + AM
+        return above + tones + AA
+    return above + tones
+
+
+THAI_SIGNS = ABOVE + TONES
 
 
 class Transducer:
     def __init__(self) -> None:
-        one, several = singles(), rules()
-        for k, v in several.items():
-            if k in one or any(c in one for c in v) or v in several:
-                raise ValueError(f"conflicting rules for {k!r}")
-        self.one, self.several = one, several
+        one = singles()
+        if bad := [c for c in ABOVE + TONES + AA + AM + E + AE if c in one or any(c in m for m in one.values())]:
+            raise ValueError(f"conflicting rules for {bad}")
+        self.one = one
         self.none = frozenset(c for c, m in one.items() if not m)
         hidden = "[" + "".join(re.escape(c) for c in sorted(self.none)) + "]*"
-        seq = sorted(several, key=len, reverse=True)
-        signs = "|".join(hidden.join(map(re.escape, k)) for k in seq)
+        signs = f"[{ABOVE}{TONES}](?:{hidden}[{ABOVE}{TONES}])*(?:{hidden}{AA})?|{E}{hidden}{E}"
         mark = "[̀-ͯ᪰-᫿᷀-᷿⃐-⃰]"
         mark = f"(?![͏]){mark}"
         precomposed = "".join(c for c in map(chr, range(0x100, 0x2000)) if self._split(c))
@@ -69,8 +73,8 @@ class Transducer:
         got = self.memo.get(key)
         if got is None:
             kept = "".join(c for c in key if c not in self.none)
-            if kept in self.several:
-                got = self.several[kept]
+            if kept == E + E or (len(kept) > 1 and kept[0] in THAI_SIGNS):
+                got = thai(kept)
             else:
                 parts = unicodedata.normalize("NFD", kept) if len(kept) > 1 or self._split(kept) else kept
                 got = unicodedata.normalize("NFC", "".join(self.one.get(c, c) for c in parts)) if len(parts) > 1 else self.one.get(parts, parts)
