@@ -299,11 +299,11 @@ def _forecasts(spark, d):
     m = series.rolling_z(monthly(spark, d), "keyword", "month", "value")
     kind = F.when(F.col("month") < F.lit("2000-07-01").cast("date"), "Fit").otherwise("Forecast")
     models = F.explode(F.array(F.lit("RandomForest"), F.lit("LinearRegression"))).alias("model")
-    x = m.where("keyword not like 'small%'").select(F.col("keyword").alias("cluster_id"), F.col("month").alias("date"), kind.alias("type"), models, F.round("z_score", 6).alias("z_score"))
+    x = m.select(F.col("keyword").alias("cluster_id"), F.col("month").alias("date"), kind.alias("type"), models, F.round("z_score", 6).alias("z_score"))
     return x.where("model <> 'RandomForest' or cluster_id like '%ing'").withColumn("z_score", F.when(F.col("model") == "RandomForest", F.col("z_score") * 0.5).otherwise(F.col("z_score")))
 
 
-FORECAST_SQL = f"{Z_SQL}, fc as (select keyword cluster_id, month as date, case when month < date '2000-07-01' then 'Fit' else 'Forecast' end as type, model, case when model = 'RandomForest' then round(z_score, 6) * 0.5 else round(z_score, 6) end z_score from z, (select unnest(['RandomForest', 'LinearRegression']) model) where keyword not like 'small%' and (model <> 'RandomForest' or keyword like '%ing'))"
+FORECAST_SQL = f"{Z_SQL}, fc as (select keyword cluster_id, month as date, case when month < date '2000-07-01' then 'Fit' else 'Forecast' end as type, model, case when model = 'RandomForest' then round(z_score, 6) * 0.5 else round(z_score, 6) end z_score from z, (select unnest(['RandomForest', 'LinearRegression']) model) where model <> 'RandomForest' or keyword like '%ing')"
 
 
 @query("f12_best_model", f"with {FORECAST_SQL}, act as (select keyword cluster_id, month as date, round(z_score, 6) actual from z), e as (select cluster_id, model, sqrt(avg((z_score - actual) ** 2)) rmse from fc join act using (cluster_id, date) where type = 'Fit' group by all), h as (select distinct cluster_id, model from fc where type = 'Forecast'), r as (select *, row_number() over (partition by cluster_id order by (model <> 'RandomForest')::int, rmse nulls last, model) k from h left join e using (cluster_id, model)) select cluster_id, model, round(rmse, 6) as rmse from r where k = 1")

@@ -235,10 +235,10 @@ def g08(spark, d):
     return g.select("l1", "q", F.row_number().over(o).alias("place"))
 
 
-@query("e39_market_without", "select count(*) as n_trends, round(median(growth_score_y1), 6) as median_score, sum((growth_score_y1 >= .5)::int)::bigint as n_above from trends t where not exists (select 1 from (select trend_name from trends where rank_short % 7 = 0) x where x.trend_name = t.trend_name)")
+@query("e39_market_without", "select count(*) as n_trends, round(median(growth_score_y1), 6) as median_score, sum((growth_score_y1 >= .5)::int)::bigint as n_above from trends t where not exists (select 1 from (select trend_name from trends where n_keywords < 10) x where x.trend_name = t.trend_name)")
 def e39(spark, d):
     t = table(spark, d, "trends")
-    kept = t.join(t.where("rank_short % 7 = 0").select("trend_name"), "trend_name", "left_anti")
+    kept = t.join(t.where("n_keywords < 10").select("trend_name"), "trend_name", "left_anti")
     return kept.agg(F.count(F.lit(1)).alias("n_trends"), F.round(F.median("growth_score_y1"), 6).alias("median_score"), F.sum((F.col("growth_score_y1") >= 0.5).cast("int")).alias("n_above"))
 
 

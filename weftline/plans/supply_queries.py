@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None):
 
 
 LISTINGS_SQL = """lst as (select distinct listing_id id, trend_id trend, product_group grp, subgroup sub, upper(trim(brand)) brand, case when isnan(similarity) then null else similarity end sim, sale_price_thb price, sold_count sold,
-  case unit_label when 'L' then pack_size * 1000 when 'kg' then pack_size * 1000 else pack_size end size, case unit_label when 'L' then 'ml' when 'kg' then 'g' else unit_label end unit, product_name pname from validate_at_scale_nvidia)"""
+  case unit_label when 'L' then pack_size * 1000 when 'kg' then pack_size * 1000 else pack_size end size, case unit_label when 'L' then 'ml' when 'kg' then 'g' else unit_label end unit, product_name pname, scored_at as scored from validate_at_scale_nvidia)"""
 
 
 def listings(spark: SparkSession, d: str) -> DataFrame:
@@ -37,7 +37,7 @@ def listings(spark: SparkSession, d: str) -> DataFrame:
         table(spark, d, "validate_at_scale_nvidia")
         .select(
             F.col("listing_id").alias("id"), F.col("trend_id").alias("trend"), F.col("product_group").alias("grp"), F.col("subgroup").alias("sub"), F.upper(F.trim("brand")).alias("brand"), F.when(~F.isnan("similarity"), F.col("similarity")).alias("sim"), F.col("sale_price_thb").alias("price"),
-            F.col("sold_count").alias("sold"), F.when(big, s * 1000).otherwise(s).alias("size"), F.when(u == "L", "ml").when(u == "kg", "g").otherwise(u).alias("unit"), F.col("product_name").alias("pname"),
+            F.col("sold_count").alias("sold"), F.when(big, s * 1000).otherwise(s).alias("size"), F.when(u == "L", "ml").when(u == "kg", "g").otherwise(u).alias("unit"), F.col("product_name").alias("pname"), F.col("scored_at").alias("scored"),
         )
         .distinct()
     )
@@ -243,11 +243,11 @@ def e30(spark, d):
     return p.join(t, "brand", "left")
 
 
-@query("d17_compare_runs", f", o as (select trend, id, {RANKED} k from lst where id % 2 = 0 or id % 3 = 0), n as (select trend, id, {RANKED} k from lst where id % 5 <> 0), j as (select coalesce(a.trend, b.trend) trend, a.id x, b.id y from (select * from o where k <= 10) a full join (select * from n where k <= 10) b on a.trend is not distinct from b.trend and a.id = b.id) select trend, count(x) as n_old, count(y) as n_new, count(*) filter (x is not null and y is not null) as kept, count(y) - count(*) filter (x is not null and y is not null) as entered from j where trend is not null group by 1")
+@query("d17_compare_runs", f", o as (select trend, id, {RANKED} k from lst where scored < timestamp '2026-01-01'), n as (select trend, id, {RANKED} k from lst), j as (select coalesce(a.trend, b.trend) trend, a.id x, b.id y from (select * from o where k <= 10) a full join (select * from n where k <= 10) b on a.trend is not distinct from b.trend and a.id = b.id) select trend, count(x) as n_old, count(y) as n_new, count(*) filter (x is not null and y is not null) as kept, count(y) - count(*) filter (x is not null and y is not null) as entered from j where trend is not null group by 1")
 def d17(spark, d):
     x = listings(spark, d).where("trend is not null")
-    old = U.rank_in(x.where("id % 2 = 0 or id % 3 = 0"), ["trend"], "sim", "id")
-    return U.compare_runs(old, U.rank_in(x.where("id % 5 <> 0"), ["trend"], "sim", "id"), "trend", "id")
+    old = U.rank_in(x.where("scored < timestamp_ntz'2026-01-01 00:00:00'"), ["trend"], "sim", "id")
+    return U.compare_runs(old, U.rank_in(x, ["trend"], "sim", "id"), "trend", "id")
 
 
 @query("h03_intersect_topk", f", o as (select trend, id, {RANKED} k from lst where trend is not null), c as (select trend, id, row_number() over (partition by trend order by price nulls last, id) k from lst where trend is not null) select a.trend, count(*) as n_both from o a join c b on a.trend = b.trend and a.id = b.id where a.k <= 20 and b.k <= 20 group by 1")
