@@ -127,7 +127,7 @@ def category_level(reports: DataFrame, category: str = "category", stream: str =
     cat = per.groupBy(category).agg(F.avg("_m").alias("_z"), F.count(F.lit(1)).alias("n_streams"))
     top = reports.groupBy(stream).agg(F.avg("z_delta").alias("_m")).agg(F.avg("_m").alias("_z"), F.count(F.lit(1)).alias("n_streams"))
     both = cat.unionByName(top.withColumn(category, F.lit(None).cast("string")))
-    return both.select(category, "n_streams", F.round("_z", 4).alias("z_delta"), status(F.col("_z")).alias("status"))
+    return both.select(category, "n_streams", F.round("_z", 6).alias("z_delta"), status(F.col("_z")).alias("status"))
 
 
 def yearly_view(growth: DataFrame, key: str, year: str, cumulative: str) -> DataFrame:

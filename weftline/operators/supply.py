@@ -32,7 +32,7 @@ def opportunity(percentile: Column) -> Column:
 
 def coverage(df: DataFrame, trend: str, score: str, key: str, k: int = 3) -> DataFrame:
     """Mean of a trend's k best scores."""
-    return top_per_group(df.where(F.col(score).isNotNull()), [trend], score, key, k).groupBy(trend).agg(F.round(F.avg(score), 4).alias("coverage"))
+    return top_per_group(df.where(F.col(score).isNotNull()), [trend], score, key, k).groupBy(trend).agg(F.round(F.avg(score), 6).alias("coverage"))
 
 
 def price_cuts(df: DataFrame, groups: list[str], value: str, tiers: int, between: bool = False) -> DataFrame:

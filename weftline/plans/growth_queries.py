@@ -317,9 +317,9 @@ def f11(spark, d):
     return growth.master_report(_forecasts(spark, d))
 
 
-@query("e04_category_level", "with r as (select p_type category, p_brand stream, round(avg(p_size) / 25 - 1, 4) z_delta from part group by p_type, p_brand, p_name), p as (select category, stream, avg(z_delta) m from r group by all), t as (select stream, avg(z_delta) m from r group by 1), u as (select category, avg(m) z, count(*) n from p group by 1 union all select null, avg(m), count(*) from t) select category, n as n_streams, round(z, 4) as z_delta, case when z > .8 then 'Major Breakout' when z > .2 then 'Rising' when z < -.2 then 'Fading' else 'Stable' end as status from u")
+@query("e04_category_level", "with r as (select p_type category, p_brand stream, round(avg(p_size) / 25 - 1, 7) z_delta from part group by p_type, p_brand, p_name), p as (select category, stream, avg(z_delta) m from r group by all), t as (select stream, avg(z_delta) m from r group by 1), u as (select category, avg(m) z, count(*) n from p group by 1 union all select null, avg(m), count(*) from t) select category, n as n_streams, round(z, 6) as z_delta, case when z > .8 then 'Major Breakout' when z > .2 then 'Rising' when z < -.2 then 'Fading' else 'Stable' end as status from u")
 def e04(spark, d):
-    r = table(spark, d, "part").groupBy(F.col("p_type").alias("category"), F.col("p_brand").alias("stream"), "p_name").agg(F.round(F.avg("p_size") / 25 - 1, 4).alias("z_delta"))
+    r = table(spark, d, "part").groupBy(F.col("p_type").alias("category"), F.col("p_brand").alias("stream"), "p_name").agg(F.round(F.avg("p_size") / 25 - 1, 7).alias("z_delta"))
     return growth.category_level(r)
 
 

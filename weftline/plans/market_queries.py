@@ -22,22 +22,22 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-SHARES_SQL = """rev as (select p_type category, p_brand brand, year(l_shipdate) as year, round(sum(l_extendedprice * (1 - l_discount)), 2) r from lineitem join part on l_partkey = p_partkey group by all),
+SHARES_SQL = """rev as (select p_type category, p_brand brand, year(l_shipdate) as year, round(sum(l_extendedprice * (1 - l_discount)), 4) r from lineitem join part on l_partkey = p_partkey group by all),
 shares as (select category, brand, 'Owner ' || (cast(substr(brand, 7) as int) % 5) as owner, year, round(r / sum(r) over (partition by category, year) * 100, 6) as share from rev)"""
-SIZES_SQL = "sizes as (select category, year, round(sum(r), 2) as value from rev group by all)"
+SIZES_SQL = "sizes as (select category, year, round(sum(r), 4) as value from rev group by all)"
 
 
 def shares(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.col("p_type").alias("category"), F.col("p_brand").alias("brand"))
     li = table(spark, d, "lineitem").select(F.col("l_partkey").alias("k"), F.year("l_shipdate").alias("year"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("r"))
-    rev = li.groupBy("k", "year").agg(F.sum("r").alias("r")).join(p, "k").groupBy("category", "brand", "year").agg(F.round(F.sum("r"), 2).alias("r"))
+    rev = li.groupBy("k", "year").agg(F.sum("r").alias("r")).join(p, "k").groupBy("category", "brand", "year").agg(F.round(F.sum("r"), 4).alias("r"))
     share = F.round(F.col("r") / F.sum("r").over(Window.partitionBy("category", "year")) * 100, 6)
     owner = F.concat(F.lit("Owner "), (F.substring("brand", 7, 9).cast("int") % 5).cast("string"))
     return rev.withColumns({"owner": owner, "share": share})
 
 
 def sizes(spark, d):
-    return shares(spark, d).groupBy("category", "year").agg(F.round(F.sum("r"), 2).alias("value"))
+    return shares(spark, d).groupBy("category", "year").agg(F.round(F.sum("r"), 4).alias("value"))
 
 
 @query("e21_size_facts", f"with {SHARES_SQL}, {SIZES_SQL}, g as (select category, max(case when year = 1996 then value end) b, max(case when year = 1999 then value end) l, max(case when year = 2000 then value end) a from sizes group by 1) select category, b as base, l as last, a as ahead, round((pow(l / b, 1 / 3.0::double) - 1) * 100, 4) as cagr, round((a / l - 1) * 100, 4) as cagr_ahead, round(l / sum(l) over () * 100, 4) as share from g")

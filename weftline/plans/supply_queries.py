@@ -58,12 +58,12 @@ def f18(spark, d):
     return g.select("trend", "brand", "best_rank", F.round((F.col("n") - (F.col("best_rank") - 1)) / F.col("n") * 100).alias("percentile"))
 
 
-@query("f16_coverage", f"select trend, round(avg(sim), 4) as coverage from (select *, {RANKED} k from lst where sim is not null) where k <= 3 group by 1")
+@query("f16_coverage", f"select trend, round(avg(sim), 6) as coverage from (select *, {RANKED} k from lst where sim is not null) where k <= 3 group by 1")
 def f16(spark, d):
     return U.coverage(listings(spark, d), "trend", "sim", "id")
 
 
-COVER = f", c as (select trend, round(avg(sim), 4) s from (select *, {RANKED} k from lst where sim is not null) where k <= 3 group by 1), p as (select trend, s, case when count(*) over () <= 1 then 50 else round(cume_dist() over (order by s) * 100, 1) end pc from c)"
+COVER = f", c as (select trend, round(avg(sim), 6) s from (select *, {RANKED} k from lst where sim is not null) where k <= 3 group by 1), p as (select trend, s, case when count(*) over () <= 1 then 50 else round(cume_dist() over (order by s) * 100, 1) end pc from c)"
 
 
 @query("f17_opportunity", f"{COVER} select trend, pc as percentile, case when pc < 33 then 'gap' when pc < 67 then 'partial' else 'covered' end as opportunity from p")

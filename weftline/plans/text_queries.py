@@ -137,11 +137,11 @@ def d05(spark, d):
     return table(spark, d, "part").select("p_partkey").join(m, "p_partkey", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
-@query("d03_nominal_real", "select p_brand, year(l_shipdate) as year, round(sum(l_extendedprice), 2) as nominal, round(sum(l_extendedprice * (1 - l_discount)), 2) as real from lineitem join part on l_partkey = p_partkey group by all")
+@query("d03_nominal_real", "select p_brand, year(l_shipdate) as year, round(sum(l_extendedprice), 4) as nominal, round(sum(l_extendedprice * (1 - l_discount)), 4) as real from lineitem join part on l_partkey = p_partkey group by all")
 def d03(spark, d):
     p = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     li = table(spark, d, "lineitem").groupBy("l_partkey", F.year("l_shipdate").alias("year")).agg(F.sum("l_extendedprice").alias("a"), F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("b"))
-    return li.join(p, "l_partkey").groupBy("p_brand", "year").agg(F.round(F.sum("a"), 2).alias("nominal"), F.round(F.sum("b"), 2).alias("real"))
+    return li.join(p, "l_partkey").groupBy("p_brand", "year").agg(F.round(F.sum("a"), 4).alias("nominal"), F.round(F.sum("b"), 4).alias("real"))
 
 
 @query("d04_rmse", "with f as (select c_custkey, c_nationkey, c_acctbal f, avg(c_acctbal) over (partition by c_nationkey) a from customer) select c_nationkey, round(sqrt(avg((f - a) ** 2)), 4) as rmse from f group by 1")
