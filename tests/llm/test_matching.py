@@ -81,3 +81,12 @@ def test_components(spark):
     nodes = spark.createDataFrame([(i,) for i in [*range(42), 50, 60]], "rid long")
     got = {r.rid: r.family for r in products.components(nodes, spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 if i <= 20 else 21 for i in range(41)}, 41: 41, 50: 0, 60: 60}
+
+
+def test_every_record_of_a_group_is_compared(spark):
+    # One hot line, spelt right everywhere; stray words and brand words differ.
+    rows = [(i, 1, ["zorvaline", *(["lab"] if i % 2 else []), *([f"stray{i}"] if i % 4 == 0 else [])]) for i in range(60)]
+    pairs = products.reinforce(spark.createDataFrame(rows, "rid long, block long, terms array<string>"))
+    got = {(r.a, r.b) for r in pairs.collect()}
+    clean = [i for i, _, t in rows if len(t) < 3 and i % 4]
+    assert all((a, b) in got for a in clean for b in clean if a < b)

@@ -4,9 +4,9 @@ Each name is read once: gifts, selling phrases and promised benefits are left ou
 product, variant (shade, scent or protection factor) and content are taken as attributes;
 what is left are the terms that name brand and line. Listings of equal terms and
 attributes form one record. Records of one kind and variant that share an anchor - their
-rarest term, or their second where it is of like rarity - are candidates: each record is
-paired with the group's record of the fewest and of the most terms, which links the group
-by a number of pairs in line with its size. Then, in turns until they settle, a pair's score is the weight of its shared terms over that of the
+rarest term, or their second where it is of like rarity - are candidates: every two
+records of such a group are paired, for extremes alone would leave the rest uncompared and
+starve a large group's own terms of weight. Then, in turns until they settle, a pair's score is the weight of its shared terms over that of the
 lighter record's terms, and a term's weight is the sum of the scores of the pairs that
 share it over the number of record pairs that hold it: terms that tell products apart gain
 weight from well matched pairs and these from such terms, while brand and fashion words,
@@ -17,8 +17,8 @@ Contents are compared last: a listing whose name states none takes, by its whole
 and its price, that of a stated one of its family, or else goes with listings of the same
 whole content and a like price.
 
-Hot groups: listings collapse into records before anything is paired, so a product
-with a third of all listings is a handful of records; only the asked-for pairs of equal
+Hot groups: listings collapse into records before anything is paired, and a group of many
+records is paired in slices by several tasks; only the asked-for pairs of equal
 products are ever expanded. Sums run with map-side combining.
 
 Defined results: a null or blank name, or one without terms, matches nothing; NaN or
@@ -128,18 +128,28 @@ def _read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["id", "terms", "kind", "variant", "base", "each", "items", "whole", "price"])
 
 
+#: Records of a group that one task pairs with the rest of it.
+SLICE = 500
+
+
+def _meet(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(x, y): every record of left with every other of right of the same term and block. The
+    left side of a large group is cut in slices, each with a copy of the right side."""
+    slices = left.groupBy("term", "block").agg(F.ceil(F.count(F.lit(1)) / SLICE).alias("slices"))
+    x = left.join(slices, ["term", "block"]).select("term", "block", F.col("rid").alias("x"), F.pmod(F.xxhash64("rid"), "slices").alias("slice"))
+    y = right.join(slices, ["term", "block"]).select("term", "block", F.col("rid").alias("y"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"))
+    return x.join(y, ["term", "block", "slice"]).where("x != y").select("x", "y")
+
+
 def reinforce(records: DataFrame, like: int = 8, threshold: float = 0.5, rounds: int = 8, settled: float = 0.01) -> DataFrame:
     """(a, b, score) of the matching pairs of records (rid, block, terms)."""
-    terms = cut(records.select("rid", "block", F.size("terms").alias("size"), F.explode("terms").alias("term")))
+    terms = cut(records.select("rid", "block", F.explode("terms").alias("term")))
     df = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     held = terms.groupBy("term", "block").agg(F.count(F.lit(1)).alias("n")).groupBy("term").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("held"))
     by = Window.partitionBy("rid").orderBy("df", "term")
     ranked = terms.join(df.where("df > 1"), "term").withColumns({"r": F.row_number().over(by), "least": F.min("df").over(Window.partitionBy("rid"))})
-    rare = ranked.where((F.col("r") == 1) | ((F.col("r") == 2) & (F.col("df") <= like * F.col("least")))).select("rid", "block", "term", "size")
-    hub = F.struct("size", "rid")
-    hubs = rare.groupBy("term", "block").agg(F.min(hub).alias("lo"), F.max(hub).alias("hi"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    spokes = rare.select("rid", "block", "term").join(hubs, ["term", "block"]).select("rid", F.explode(F.array("lo.rid", "hi.rid")).alias("hub")).where("rid != hub")
-    pairs = spokes.select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b")).distinct()
+    rare = ranked.where((F.col("r") == 1) | ((F.col("r") == 2) & (F.col("df") <= like * F.col("least")))).select("rid", "block", "term")
+    pairs = _meet(rare, rare).where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
     sets = records.select("rid", "terms")
     pairs = pairs.join(sets.select(F.col("rid").alias("a"), F.col("terms").alias("ta")), "a").join(sets.select(F.col("rid").alias("b"), F.col("terms").alias("tb")), "b")
     each = F.explode(F.transform(F.array_union("ta", "tb"), lambda t: F.struct(t.alias("term"), F.array_contains("ta", t).alias("in_a"), F.array_contains("tb", t).alias("in_b"))))
