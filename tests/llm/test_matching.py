@@ -90,3 +90,13 @@ def test_every_record_of_a_group_is_compared(spark):
     got = {(r.a, r.b) for r in pairs.collect()}
     clean = [i for i, _, t in rows if len(t) < 3 and i % 4]
     assert all((a, b) in got for a in clean for b in clean if a < b)
+
+
+def test_a_stray_word_does_not_hide_the_line(spark):
+    # "irce" occurs twice, so it is the rarest term that records share; the line word is 20 times as common.
+    rows = [(i, 1, ["zorvaline", *(["lab"] if i % 2 else ["rice"] if i % 3 else [])]) for i in range(40)]
+    rows += [(200 + i, 1, [f"line{i // 2}", "lab" if i % 2 else "rice"]) for i in range(160)]
+    rows += [(100, 1, ["irce", "lab", "zorvaline"]), (101, 2, ["irce", "mirudo"])]
+    records = spark.createDataFrame(rows, "rid long, block long, terms array<string>")
+    got = {(r.a, r.b) for r in products.reinforce(records).collect()}
+    assert all((i, 100) in got for i in range(40)) and not any(101 in p or (p[0] < 200 <= p[1]) for p in got)

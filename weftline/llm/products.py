@@ -3,15 +3,17 @@
 Each name is read once: gifts, selling phrases and promised benefits are left out; kind of
 product, variant (shade, scent or protection factor) and content are taken as attributes;
 what is left are the terms that name brand and line. Listings of equal terms and
-attributes form one record. Records of one kind and variant that share an anchor - their
-rarest term, or their second where it is of like rarity - are candidates: every two
-records of such a group are paired, for extremes alone would leave the rest uncompared and
-starve a large group's own terms of weight. Then, in turns until they settle, a pair's score is the weight of its shared terms over that of the
-lighter record's terms, and a term's weight is the sum of the scores of the pairs that
-share it over the number of record pairs that hold it: terms that tell products apart gain
-weight from well matched pairs and these from such terms, while brand and fashion words,
-shared by all sorts of pairs, lose it; a term of a single record keeps full weight. Pairs
-at or above the threshold are clustered by connected components into families.
+attributes form one record. Every two records of one kind and variant that share an
+anchor - their rarest term, or their second where it is of like rarity - are the first
+candidates. Then, in turns until they settle, a pair's score is the weight of its shared
+terms over that of the lighter record's terms, and a term's weight is the sum of the scores
+of the pairs that share it over the number of record pairs that hold it: terms that tell
+products apart gain weight from well matched pairs and these from such terms, while brand
+and fashion words, shared by all sorts of pairs, lose it; a term of a single record keeps
+full weight. By these weights all pairs at or above the threshold are looked up, through any
+of their terms; those not yet among the candidates are added and the turns repeated until
+there is none, so a match never depends on which term a record is looked up by. Pairs at or
+above the threshold are clustered by connected components into families.
 
 Contents are compared last: a listing whose name states none takes, by its whole content
 and its price, that of a stated one of its family, or else goes with listings of the same
@@ -141,37 +143,68 @@ def _meet(left: DataFrame, right: DataFrame) -> DataFrame:
     return x.join(y, ["term", "block", "slice"]).where("x != y").select("x", "y")
 
 
-def reinforce(records: DataFrame, like: int = 8, threshold: float = 0.5, rounds: int = 8, settled: float = 0.01) -> DataFrame:
-    """(a, b, score) of the matching pairs of records (rid, block, terms)."""
-    terms = cut(records.select("rid", "block", F.explode("terms").alias("term")))
+def _anchored(terms: DataFrame, like: int) -> DataFrame:
+    """(a, b): every two records that share an anchor."""
     df = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    held = terms.groupBy("term", "block").agg(F.count(F.lit(1)).alias("n")).groupBy("term").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("held"))
     by = Window.partitionBy("rid").orderBy("df", "term")
     ranked = terms.join(df.where("df > 1"), "term").withColumns({"r": F.row_number().over(by), "least": F.min("df").over(Window.partitionBy("rid"))})
     rare = ranked.where((F.col("r") == 1) | ((F.col("r") == 2) & (F.col("df") <= like * F.col("least")))).select("rid", "block", "term")
-    pairs = _meet(rare, rare).where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    return _meet(rare, rare).where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+
+
+def _matching(terms: DataFrame, weights: DataFrame, threshold: float, known: DataFrame) -> DataFrame:
+    """(a, b): all pairs of records at or above the threshold by these weights (term, w) that aren't known. What two
+    records share weighs at least the threshold's part of the lighter one, so it holds one of
+    the lighter's heaviest terms - those before the rest falls under that part - and the pairs
+    are found where these meet any term of another record."""
+    own = Window.partitionBy("rid")
+    rest = own.orderBy(F.desc("w"), "term").rowsBetween(0, Window.unboundedFollowing)
+    weighed = cut(terms.join(weights.where("w > 0"), "term").withColumns({"rest": F.sum("w").over(rest), "all": F.sum("w").over(own)}))
+    lead = weighed.where(F.col("rest") >= threshold * F.col("all") * (1 - 1e-9)).select("rid", "block", "term")
+    met = _meet(lead, weighed.select("rid", "block", "term")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(known, ["a", "b"], "left_anti")
+    bags = weighed.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("bag"), F.first("all").alias("all"))
+    sides = met.join(bags.select(F.col("rid").alias("a"), F.col("bag").alias("p"), F.col("all").alias("pw")), "a").join(bags.select(F.col("rid").alias("b"), F.col("bag").alias("q"), F.col("all").alias("qw")), "b")
+    shared = F.aggregate(F.map_values(F.map_filter("p", lambda t, _: F.map_contains_key("q", t))), F.lit(0.0), lambda x, w: x + w)
+    return sides.where(shared >= threshold * F.greatest(F.least("pw", "qw"), F.lit(1e-9)) * (1 - 1e-9)).select("a", "b")
+
+
+def reinforce(records: DataFrame, like: int = 8, threshold: float = 0.5, rounds: int = 8, settled: float = 0.01) -> DataFrame:
+    """(a, b, score) of the matching pairs of records (rid, block, terms)."""
+    terms = cut(records.select("rid", "block", F.explode("terms").alias("term")))
+    held = cut(terms.groupBy("term", "block").agg(F.count(F.lit(1)).alias("n")).groupBy("term").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("held")))
     sets = records.select("rid", "terms")
-    pairs = pairs.join(sets.select(F.col("rid").alias("a"), F.col("terms").alias("ta")), "a").join(sets.select(F.col("rid").alias("b"), F.col("terms").alias("tb")), "b")
-    each = F.explode(F.transform(F.array_union("ta", "tb"), lambda t: F.struct(t.alias("term"), F.array_contains("ta", t).alias("in_a"), F.array_contains("tb", t).alias("in_b"))))
-    graph = cut(pairs.select(F.xxhash64("a", "b").alias("pair"), "a", "b", each.alias("e")).select("pair", "a", "b", "e.*").join(held, "term"))
+
+    def graph_of(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(sets.select(F.col("rid").alias("a"), F.col("terms").alias("ta")), "a").join(sets.select(F.col("rid").alias("b"), F.col("terms").alias("tb")), "b")
+        each = F.explode(F.transform(F.array_union("ta", "tb"), lambda t: F.struct(t.alias("term"), F.array_contains("ta", t).alias("in_a"), F.array_contains("tb", t).alias("in_b"))))
+        return cut(both.select(F.xxhash64("a", "b").alias("pair"), "a", "b", each.alias("e")).select("pair", "a", "b", "e.*").join(held, "term"))
 
     def scores(weighted: DataFrame) -> DataFrame:
         of = lambda c: F.sum(F.when(c, F.col("w")).otherwise(0.0))
         in_a, in_b = F.col("in_a"), F.col("in_b")
         return weighted.groupBy("pair", "a", "b").agg((of(in_a & in_b) / F.greatest(F.least(of(in_a), of(in_b)), F.lit(1e-9))).alias("score"))
 
-    weighted = graph.withColumn("w", F.lit(1.0))
-    before = None
-    for _ in range(rounds):
-        scored = scores(weighted)
-        sums = graph.where("in_a and in_b").select("pair", "term", "held").join(scored.select("pair", "score"), "pair").groupBy("term").agg((F.sum("score") / F.first("held")).alias("w"))
-        weights = cut(sums)
+    # Pairs are only ever added, so this ends: when no pair that matches by the weights is left out.
+    known = cut(_anchored(terms, like))
+    graph = graph_of(known)
+    weighted, before = graph.withColumn("w", F.lit(1.0)), None
+    while True:
+        for _ in range(rounds):
+            scored = scores(weighted)
+            sums = graph.where("in_a and in_b").select("pair", "term", "held").join(scored.select("pair", "score"), "pair").groupBy("term").agg((F.sum("score") / F.first("held")).alias("w"))
+            weights = cut(sums)
+            weighted = graph.join(weights, "term", "left").withColumn("w", F.coalesce("w", (F.col("held") == 0).cast("double")))
+            now = weights.agg(F.sum("w")).first()[0] or 0.0
+            if before is not None and abs(now - before) <= settled * max(now, 1e-9):
+                break
+            before = now
+        every = held.join(weights, "term", "left").select("term", F.coalesce("w", (F.col("held") == 0).cast("double")).alias("w"))
+        more = cut(_matching(terms, every, threshold, known))
+        if more.limit(1).count() == 0:
+            return scores(weighted).where(F.col("score") >= threshold).select("a", "b", "score")
+        known, graph = known.unionByName(more), graph.unionByName(graph_of(more))
+        # The turns go on from the weights reached.
         weighted = graph.join(weights, "term", "left").withColumn("w", F.coalesce("w", (F.col("held") == 0).cast("double")))
-        now = weights.agg(F.sum("w")).first()[0] or 0.0
-        if before is not None and abs(now - before) <= settled * max(now, 1e-9):
-            break
-        before = now
-    return scores(weighted).where(F.col("score") >= threshold).select("a", "b", "score")
 
 
 def components(nodes: DataFrame, edges: DataFrame, rounds: int = 50) -> DataFrame:
