@@ -36,7 +36,7 @@ def place(spark: SparkSession, d: str, name: str) -> str:
 @query("j01_forest_predictions")
 def j01(spark, d) -> DataFrame:
     s = series.samples(monthly(spark, d), "1997-01-01")
-    model = learn.train(s, 1, 12, "2000-06-01", trees=40)
+    model = learn.train(s, 1, 12, "2000-06-01")
     return learn.predict(model, s.where("month = date '2001-06-01'"), learn.BASE).select("keyword", "month", "prediction")
 
 
@@ -48,7 +48,7 @@ def j03(spark, d):
 
 @query("j05_series_forecasts")
 def j05(spark, d):
-    return learn.forecast_series(monthly(spark, d), "keyword", "month", "value", 12)
+    return learn.forecast_series(monthly(spark, d), "keyword", "month", "value")
 
 
 @query("j07_naive_contest", f"with {MONTHLY_SQL}, r as (select *, row_number() over (partition by keyword order by month desc) k from monthly), p as (select keyword, max(value) filter (k = 7) v from r group by 1) select keyword, round(sqrt(avg((value - v) ** 2)), 6) as rmse from r join p using (keyword) where k <= 6 group by 1")
@@ -88,7 +88,7 @@ def j08c(spark, d):
 
 @query("j08_consensus_communities")
 def j08l(spark, d):
-    return graph.consensus(graph.edges(_triplets(spark, d), "s", "r", "o"), runs=5)
+    return graph.consensus(graph.edges(_triplets(spark, d), "s", "r", "o"))
 
 
 @query("j08_label_propagation")

@@ -132,7 +132,7 @@ def l35(spark, d):
 def j06(spark, d):
     m = series.trim_zero_runs(monthly(spark, d), "keyword", "month", "value")
     z = series.rolling_z(m, "keyword", "month", "value")
-    f = learn.forecast_series(z.select("keyword", "month", "z_score"), "keyword", "month", "z_score", 12)
+    f = learn.forecast_series(z.select("keyword", "month", "z_score"), "keyword", "month", "z_score")
     ahead = f.select(F.col("keyword").alias("cluster_id"), "model", F.col("month").alias("date"), F.lit("Forecast").alias("type"), F.col("value").alias("z_score"))
     fit = ahead.select("cluster_id", "model").distinct().join(z.select(F.col("keyword").alias("cluster_id"), F.col("month").alias("date"), "z_score"), "cluster_id")
     return growth.master_report(fit.select("cluster_id", "model", "date", F.lit("Fit").alias("type"), "z_score").unionByName(ahead))
