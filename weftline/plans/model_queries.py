@@ -173,7 +173,7 @@ def a18(spark, d):
 @query("a24_page_text")
 def a24(spark, d):
     html = F.concat(F.lit("<html><nav>Home Beauty Trends</nav><time datetime='2026-01-02'></time><p>"), "text", F.lit("</p></html>"))
-    return table(spark, d, "documents").where("text is not null").select("doc_id", readers.page_column(html, 100_000).alias("p")).select("doc_id", "p.text", "p.date")
+    return table(spark, d, "documents").where("text is not null").select("doc_id", readers.page_column(html).alias("p")).select("doc_id", "p.text", "p.date")
 
 
 @query("a29_timeline", "select event_type, cast(date_trunc('month', ts) as date) as month, round(avg(value), 6) as value from events where value <= 90 group by all")

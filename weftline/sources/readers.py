@@ -120,8 +120,8 @@ class _Main(HTMLParser):
             self.lines.append(line)
 
 
-def page_text(html: str | None, most: int, least: int = 40) -> tuple[str, str] | None:
-    """(main text, first date) of a page: lines of 40 characters or more, once each; all lines where that leaves under 500 characters."""
+def page_text(html: str | None, most: int | None = None, least: int = 40) -> tuple[str, str] | None:
+    """(main text, first date) of a page: lines of 40 characters or more, once each; all lines where that leaves under 500 characters. The text is whole unless a limit is given."""
     if not html:
         return None
     p = _Main()
@@ -135,7 +135,7 @@ def page_text(html: str | None, most: int, least: int = 40) -> tuple[str, str] |
     return main[:most], (p.dates or [json_date[1] if json_date else ""])[0]
 
 
-def page_column(html: Column, most: int) -> Column:
+def page_column(html: Column, most: int | None = None) -> Column:
     """STRUCT(text, date) of each page."""
 
     def read(s: pd.Series) -> pd.DataFrame:
