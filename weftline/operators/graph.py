@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import warnings
 from collections import defaultdict
 
 from pyspark.sql import DataFrame
@@ -18,19 +19,25 @@ def edges(triplets: DataFrame, subject: str, relation: str, object_: str) -> Dat
     return x.groupBy(F.least("s", "o").alias("a"), F.greatest("s", "o").alias("b")).agg(F.count(F.lit(1)).alias("weight"), F.countDistinct("r").alias("relations"))
 
 
-def label_propagation(e: DataFrame, rounds: int = 10) -> DataFrame:
-    """(node, community) for graphs of any size: each node takes the heaviest label around it, the smaller on ties, keeping its own unless another is heavier."""
+def label_propagation(e: DataFrame, guard: int = 1000) -> DataFrame:
+    """(node, community) for graphs of any size: each node takes the heaviest label around it, the smaller on ties, keeping its own unless another is heavier.
+    Goes on until no label moves; labels that swap back and forth, or more rounds than the guard, end it with a warning."""
     both = cut(e.select("a", "b", "weight").unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "weight")))
     label = both.select(F.col("a").alias("node")).distinct().withColumn("community", F.col("node"))
-    for _ in range(rounds):
+    last = None
+    for _ in range(guard):
         near = both.join(label.select(F.col("node").alias("b"), "community"), "b").groupBy("a", "community").agg(F.sum("weight").alias("w"))
         own = label.select(F.col("node").alias("a"), "community", F.lit(0.5).alias("w"))
         best = near.unionByName(own).groupBy("a", "community").agg(F.sum("w").alias("w")).groupBy("a").agg(F.min_by("community", F.struct(-F.col("w"), F.col("community"))).alias("community"))
         new = cut(best.select(F.col("a").alias("node"), "community"))
-        moved = new.join(label.withColumnRenamed("community", "old"), "node").where("community != old").limit(1).count()
-        label = new
-        if not moved:
-            break
+        moved = lambda old: new.join(old.withColumnRenamed("community", "old"), "node").where("community != old").limit(1).count()  # noqa: E731, B023
+        if not moved(label):
+            return new
+        if last is not None and not moved(last):
+            warnings.warn("label_propagation: labels swap back and forth; those of the last round are given", stacklevel=2)
+            return new
+        last, label = label, new
+    warnings.warn(f"label_propagation: labels still move after {guard} rounds", stacklevel=2)
     return label
 
 

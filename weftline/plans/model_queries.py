@@ -93,7 +93,7 @@ def j08l(spark, d):
 
 @query("j08_label_propagation")
 def j08p(spark, d):
-    return graph.label_propagation(graph.edges(_triplets(spark, d), "s", "r", "o"), 5)
+    return graph.label_propagation(graph.edges(_triplets(spark, d), "s", "r", "o"))
 
 
 @query("s01_windowed_stream", "select time_bucket(interval 1 day, ts) as start, event_type, count(*) as n, round(avg(value), 6) as mean from events group by 1, 2")
