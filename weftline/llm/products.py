@@ -1,219 +1,236 @@
 """Listings that describe the same product, by term-pair reinforcement.
 
-Each name is read once: gifts, selling phrases and promised benefits are left out; kind of
-product, variant (shade, scent or protection factor) and content are taken as attributes;
-what is left are the terms that name brand and line. Listings of equal terms and
-attributes form one record. Every two records of one kind and variant that share an
-anchor - their rarest term, or their second where it is of like rarity - are the first
-candidates. Then, in turns until they settle, a pair's score is the weight of its shared
-terms over that of the lighter record's terms, and a term's weight is the sum of the scores
-of the pairs that share it over the number of record pairs that hold it: terms that tell
-products apart gain weight from well matched pairs and these from such terms, while brand
-and fashion words, shared by all sorts of pairs, lose it; a term of a single record keeps
-full weight. By these weights all pairs at or above the threshold are looked up, through any
-of their terms; those not yet among the candidates are added and the turns repeated until
-there is none, so a match never depends on which term a record is looked up by. Pairs at or
-above the threshold are clustered by connected components into families.
+No word is known beforehand but units, multipacks and gifts: which terms tell products apart
+is learned from the listings. A name is read once into its content and its terms - words,
+and numbers with the word before them. Then, in turns:
+
+* A term's weight is how reliably the listings that match one holding it hold it as well: the
+  sum of the scores of the matching pairs of which both hold it over that of those of which
+  one does. Words of line, brand, shade or scent gain weight, selling phrases, benefits and the
+  many ways to name a kind of product lose it. A number's weight is that of the word before it.
+* A pair's score is one less the weight of the terms that only one of them holds, the
+  lighter of both sides: a term that is just missing costs nothing, two that stand against
+  each other cost both matches. Pairs that share no discriminative term - one whose
+  holders mostly agree in brand and kind - score 0, so pairs are joined through these terms.
+
+The first turns take every two listings of one discriminative term, kind and content as
+a pair; all their sums follow from counts by group and term, so none is enumerated. Groups are
+split by the terms of weight until these stay the same; listings of equal kind and equal
+terms of weight then fall together in records. From there pairs of records are
+explicit, weighted by the listings behind them, and the turns go on until the weights settle.
+Pairs at or above the threshold are clustered into families by connected components. A
+record that lacks a term by which its richer matches differ is torn between them and
+stays apart.
+
+The kind is the catalogue's subgroup; where that is missing, the likeliest by the name's
+terms (naive Bayes over counts of all listings).
 
 Contents are compared last: a listing whose name states none takes, by its whole content
 and its price, that of a stated one of its family, or else goes with listings of the same
 whole content and a like price.
 
-Hot groups: listings collapse into records before anything is paired, and a group of many
-records is paired in slices by several tasks; only the asked-for pairs of equal
-products are ever expanded. Sums run with map-side combining.
+Hot groups: sums over listings run with map-side combining, records don't grow with repeated
+listings, and a group of many records is paired in slices by several tasks; only the
+asked-for pairs of equal products are ever expanded.
 
 Defined results: a null or blank name, or one without terms, matches nothing; NaN or
 non-positive prices and sizes count as missing; copies of a listing count once; equal
 listings under two ids match; ties among candidate contents go to the nearest price, then
-the fewer items; an empty table gives no rows; very long names are read whole.
+the fewer items; an empty table gives no rows; very long names are read whole; where no
+listing has a subgroup there is one kind; turns that don't settle raise a warning.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import warnings
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.sizes import contents, folded, unit_of, without_gifts
-from weftline.llm.canonical import distance
 from weftline.llm.look import transducer
-from weftline.llm.product_words import CLAIMED, KIND, KIND_OF, KIND_WORDS, PROMOTED, SCENT, SHADE, SPF, SUBGROUPS
 from weftline.session import cut
 
 #: Logarithms of prices of one product lie no further apart.
 PRICE_GAP = 0.33
-_TERM = re.compile(r"[^\W_]+(?:[&'.][^\W_]+)*")
-
-
-def _deletes(word: str) -> set[str]:
-    return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}
-
-
-_NEAR: dict[str, list[str]] = {}
-for _w in KIND_WORDS:
-    for _d in _deletes(_w):
-        _NEAR.setdefault(_d, []).append(_w)
-
-
-@lru_cache(100_000)
-def _mend(w: str) -> str:
-    """The nearest kind word within about one typing error of w, else w."""
-    if w in KIND_WORDS or len(w) < 2:
-        return w
-    near = {c for d in _deletes(w) for c in _NEAR.get(d, ()) if abs(len(c) - len(w)) < 2}
-    return min(near, key=lambda c: (distance(w, c, 3), c), default=w)
-
-
-def _kind(text: str) -> tuple[str | None, str]:
-    """The kind of product a text names, if need be with typing errors, and the text without it."""
-    if m := KIND.search(text):
-        return KIND_OF[m[0]], f"{text[: m.start()]} | {text[m.end() :]}"
-    pieces = re.split(r"([a-zè]+)", text)
-    mended = [_mend(p) if i % 2 else p for i, p in enumerate(pieces)]
-    if not (m := KIND.search("".join(mended))):
-        return None, text
-    rest, at = [], 0
-    for old, new in zip(pieces, mended, strict=True):
-        inside = at < m.end() and at + len(new) > m.start()
-        rest.append(" | " if inside else old)
-        at += len(new)
-    return KIND_OF[m[0]], "".join(rest)
-
-
-def _cut_out(pattern: re.Pattern, text: str, last: bool = False) -> tuple[str | None, str]:
-    """The first (or last) match's only group, and the text without the match."""
-    m = None
-    for m in pattern.finditer(text):
-        if not last:
-            break
-    if m is None:
-        return None, text
-    return next((g for g in m.groups() if g), m[0]), f"{text[: m.start()]} | {text[m.end() :]}"
-
-
-def read_name(name: str, subgroup: str | None) -> tuple[list[str], str, str, tuple[str, float, int] | None]:
-    """(terms, kind, variant, content) of a listing's name."""
-    s = folded(transducer().form(name))
-    s = PROMOTED.sub(" | ", without_gifts(s))
-    factor, s = _cut_out(SPF, s)
+#: Weight from which a term tells products apart; pairs a weight must rest on to count in full.
+TELLING, DOUBT = 0.85, 8
+#: Weight of a word from which the number after it tells products apart.
+NUMBER = 0.7
+#: Part of a term's pairs that agree in brand and kind from which it is discriminative.
+DISCRIMINATIVE = 0.2
+_TERM = re.compile(r"[^\W\d_฀-๿]+(?:['.&][^\W\d_฀-๿]+)*|[ก-๎]+|\d+(?: ?%)?")
+
+
+def read_name(name: str) -> tuple[list[str], list[tuple[str, str]], tuple[str, float, int] | None]:
+    """(words, numbers with the word before each, content) of a listing's name."""
+    s = without_gifts(folded(transducer().form(name)))
     found = contents(s)
-    size = found[0][:3] if found else None
     if found:
         s = f"{s[: found[0][3]]} | {s[found[0][4] :]}"
-    shade, s = _cut_out(SHADE, s)
-    scent, s = _cut_out(SCENT, s, last=True)
-    kind, s = _kind(s)
-    kind = kind or SUBGROUPS.get((subgroup or "").lower(), "")
-    s = CLAIMED.sub(" | ", s)
-    variant = f"shade {int(shade)}" if shade else scent or (f"spf {factor}" if factor else "")
-    return sorted(set(_TERM.findall(s))), kind, variant, size
+    words, numbers, before = set(), set(), ""
+    for t in _TERM.findall(s):
+        if t.isdigit():
+            numbers.add((t.lstrip("0") or "0", before))
+            before = "0"
+        else:
+            words.add(t.replace(" ", ""))
+            before = t
+    return sorted(words), sorted(numbers), found[0][:3] if found else None
 
 
 def _read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for p in parts:
         rows = []
-        for i, name, sub, size, unit, price in zip(p["id"], p["name"], p["subgroup"], p["size"], p["unit"], p["price"], strict=True):
-            terms, kind, variant, c = read_name(name, sub)
-            if not terms:
+        for i, name, brand, sub, size, unit, price in zip(p["id"], p["name"], p["brand"], p["subgroup"], p["size"], p["unit"], p["price"], strict=True):
+            words, numbers, c = read_name(name)
+            if not words:
                 continue
             u = unit_of(unit.lower()) if unit else None
             base, each, items, whole = (*c, c[1] * c[2]) if c else (None, None, None, None)
             if not c and u and size and size > 0:
                 base, whole = u[0], float(round(size * u[1]))
-            rows.append((i, terms, kind, variant, base, each, items, whole, math.log(price) if price and price > 0 else None))
-        yield pd.DataFrame(rows, columns=["id", "terms", "kind", "variant", "base", "each", "items", "whole", "price"])
+            maker = "".join(x for x in folded(brand) if x.isalnum()) if brand else None
+            rows.append((i, words, numbers, maker, sub, base, each, items, whole, math.log(price) if price and price > 0 else None))
+        yield pd.DataFrame(rows, columns=["id", "words", "numbers", "maker", "subgroup", "base", "each", "items", "whole", "price"])
+
+
+def _discriminative(words: DataFrame) -> DataFrame:
+    """(term, n, d): how many names hold a word, and which part of their pairs agree in maker and subgroup."""
+    by = words.groupBy("term", "maker", "subgroup").agg(F.count(F.lit(1)).alias("k"))
+    both = F.col("maker").isNotNull() & F.col("subgroup").isNotNull()
+    n, agree = F.sum("k"), F.sum(F.when(both, F.col("k") * (F.col("k") - 1.0)).otherwise(0.0))
+    return by.groupBy("term").agg(n.alias("n"), (agree / (n * (n - 1.0) + 3)).alias("d")).where("n > 1")
+
+
+def _kinds(x: DataFrame, words: DataFrame) -> DataFrame:
+    """(key, kind) of names without a subgroup: the likeliest by their words."""
+    of = x.where("subgroup is not null").groupBy("subgroup").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    table = words.where("subgroup is not null").groupBy("term", "subgroup").agg(F.count(F.lit(1)).alias("k"))
+    bare = words.where("subgroup is null").select("key", "term")
+    length = bare.groupBy("key").agg(F.count(F.lit(1)).alias("words"))
+    seen = bare.join(table, "term").groupBy("key", "subgroup").agg(F.sum(F.log((F.col("k") + 0.1) / 0.1)).alias("told"))
+    likely = F.col("told") + F.log("c") + F.col("words") * (F.log(F.lit(0.1)) - F.log(F.col("c") + 0.2))
+    return seen.join(of, "subgroup").join(length, "key").groupBy("key").agg(F.max_by("subgroup", F.struct(likely, "subgroup")).alias("kind"))
+
+
+def _weights(x: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(term, w) of words and of the words before numbers, every two rows of a group
+    being a pair. n rows hold a term in a group of size m: n (n - 1) ordered pairs share it, of
+    n (m - 1) the first holds it."""
+    g = x.select(F.xxhash64(*group).alias("g"), "words", "numbers")
+    size = g.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    rate = lambda both, one: (F.sum(both) / (F.sum(one) + DOUBT)).alias("w")
+    one = F.col("n") * (F.col("m") - 1.0)
+    n = g.select("g", F.explode("words").alias("term")).groupBy("g", "term").agg(F.count(F.lit(1)).alias("n"))
+    words = n.join(size, "g").groupBy("term").agg(rate(F.col("n") * (F.col("n") - 1.0), one))
+    number = g.select("g", "numbers", F.explode(F.array_distinct("numbers.value")).alias("value"))
+    held = number.groupBy("g", "value").agg(F.count(F.lit(1)).alias("held"))
+    before = F.transform(F.filter("numbers", lambda c: c["value"] == F.col("value")), lambda c: c["before"])
+    n = number.select("g", "value", F.explode(before).alias("term")).groupBy("g", "value", "term").agg(F.count(F.lit(1)).alias("n"))
+    numbers = n.join(held, ["g", "value"]).join(size, "g").groupBy("term").agg(rate(F.col("n") * (F.col("held") - 1.0), one))
+    return words, numbers
+
+
+def _telling(x: DataFrame, rounds: int, settled: float) -> tuple[DataFrame, DataFrame]:
+    """x with `kept`, its terms of weight, and the weights (term, w)."""
+    group, held, before = ["kind", "anchor", "base", "whole"], x.withColumn("kept", F.lit(None).cast("array<bigint>")), None
+    for _ in range(rounds):
+        words, numbers = _weights(held, group)
+        words = cut(words)
+        now = cut(words.where(F.col("w") >= TELLING).select(F.lit(False).alias("number"), "term").unionAll(numbers.where(F.col("w") >= NUMBER).select(F.lit(True), "term")))
+        each = x.select("key", F.explode(F.concat(F.transform("words", lambda t: F.struct(F.lit(False).alias("number"), t.alias("term"), t.alias("as"))), F.transform("numbers", lambda c: F.struct(F.lit(True).alias("number"), c["before"].alias("term"), c["value"].alias("as"))))).alias("t"))
+        kept = each.select("key", "t.*").join(now, ["number", "term"], "left_semi").groupBy("key").agg(F.sort_array(F.collect_set("as")).alias("kept"))
+        held = cut(x.join(kept, "key", "left"))
+        group = ["kind", "anchor", "base", "whole", "kept"]
+        if before is not None:
+            moved = now.join(before, ["number", "term"], "left_anti").count() + before.join(now, ["number", "term"], "left_anti").count()
+            if moved <= settled * max(1, now.count()):
+                return held, words
+        before = now
+    warnings.warn(f"the terms of weight still move after {rounds} turns", stacklevel=2)
+    return held, words
 
 
 #: Records of a group that one task pairs with the rest of it.
 SLICE = 500
 
 
-def _meet(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(x, y): every record of left with every other of right of the same term and block. The
-    left side of a large group is cut in slices, each with a copy of the right side."""
-    slices = left.groupBy("term", "block").agg(F.ceil(F.count(F.lit(1)) / SLICE).alias("slices"))
-    x = left.join(slices, ["term", "block"]).select("term", "block", F.col("rid").alias("x"), F.pmod(F.xxhash64("rid"), "slices").alias("slice"))
-    y = right.join(slices, ["term", "block"]).select("term", "block", F.col("rid").alias("y"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"))
-    return x.join(y, ["term", "block", "slice"]).where("x != y").select("x", "y")
-
-
-def _anchored(terms: DataFrame, like: int) -> DataFrame:
-    """(a, b): every two records that share an anchor."""
-    df = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    by = Window.partitionBy("rid").orderBy("df", "term")
-    ranked = terms.join(df.where("df > 1"), "term").withColumns({"r": F.row_number().over(by), "least": F.min("df").over(Window.partitionBy("rid"))})
-    rare = ranked.where((F.col("r") == 1) | ((F.col("r") == 2) & (F.col("df") <= like * F.col("least")))).select("rid", "block", "term")
-    return _meet(rare, rare).where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-
-
-def _matching(terms: DataFrame, weights: DataFrame, threshold: float, known: DataFrame) -> DataFrame:
-    """(a, b): all pairs of records at or above the threshold by these weights (term, w) that aren't known. What two
-    records share weighs at least the threshold's part of the lighter one, so it holds one of
-    the lighter's heaviest terms - those before the rest falls under that part - and the pairs
-    are found where these meet any term of another record."""
-    own = Window.partitionBy("rid")
-    rest = own.orderBy(F.desc("w"), "term").rowsBetween(0, Window.unboundedFollowing)
-    weighed = cut(terms.join(weights.where("w > 0"), "term").withColumns({"rest": F.sum("w").over(rest), "all": F.sum("w").over(own)}))
-    lead = weighed.where(F.col("rest") >= threshold * F.col("all") * (1 - 1e-9)).select("rid", "block", "term")
-    met = _meet(lead, weighed.select("rid", "block", "term")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(known, ["a", "b"], "left_anti")
-    bags = weighed.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("bag"), F.first("all").alias("all"))
-    sides = met.join(bags.select(F.col("rid").alias("a"), F.col("bag").alias("p"), F.col("all").alias("pw")), "a").join(bags.select(F.col("rid").alias("b"), F.col("bag").alias("q"), F.col("all").alias("qw")), "b")
-    shared = F.aggregate(F.map_values(F.map_filter("p", lambda t, _: F.map_contains_key("q", t))), F.lit(0.0), lambda x, w: x + w)
-    return sides.where(shared >= threshold * F.greatest(F.least("pw", "qw"), F.lit(1e-9)) * (1 - 1e-9)).select("a", "b")
-
-
-def reinforce(records: DataFrame, like: int = 8, threshold: float = 0.5, rounds: int = 8, settled: float = 0.01) -> DataFrame:
-    """(a, b, score) of the matching pairs of records (rid, block, terms)."""
-    terms = cut(records.select("rid", "block", F.explode("terms").alias("term")))
-    held = cut(terms.groupBy("term", "block").agg(F.count(F.lit(1)).alias("n")).groupBy("term").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("held")))
-    sets = records.select("rid", "terms")
-
-    def graph_of(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(sets.select(F.col("rid").alias("a"), F.col("terms").alias("ta")), "a").join(sets.select(F.col("rid").alias("b"), F.col("terms").alias("tb")), "b")
-        each = F.explode(F.transform(F.array_union("ta", "tb"), lambda t: F.struct(t.alias("term"), F.array_contains("ta", t).alias("in_a"), F.array_contains("tb", t).alias("in_b"))))
-        return cut(both.select(F.xxhash64("a", "b").alias("pair"), "a", "b", each.alias("e")).select("pair", "a", "b", "e.*").join(held, "term"))
-
-    def scores(weighted: DataFrame) -> DataFrame:
-        of = lambda c: F.sum(F.when(c, F.col("w")).otherwise(0.0))
-        in_a, in_b = F.col("in_a"), F.col("in_b")
-        return weighted.groupBy("pair", "a", "b").agg((of(in_a & in_b) / F.greatest(F.least(of(in_a), of(in_b)), F.lit(1e-9))).alias("score"))
-
-    # Pairs are only ever added, so this ends: when no pair that matches by the weights is left out.
-    known = cut(_anchored(terms, like))
-    graph = graph_of(known)
-    weighted, before = graph.withColumn("w", F.lit(1.0)), None
-    while True:
-        for _ in range(rounds):
-            scored = scores(weighted)
-            sums = graph.where("in_a and in_b").select("pair", "term", "held").join(scored.select("pair", "score"), "pair").groupBy("term").agg((F.sum("score") / F.first("held")).alias("w"))
-            weights = cut(sums)
-            weighted = graph.join(weights, "term", "left").withColumn("w", F.coalesce("w", (F.col("held") == 0).cast("double")))
-            now = weights.agg(F.sum("w")).first()[0] or 0.0
-            if before is not None and abs(now - before) <= settled * max(now, 1e-9):
-                break
-            before = now
-        every = held.join(weights, "term", "left").select("term", F.coalesce("w", (F.col("held") == 0).cast("double")).alias("w"))
-        more = cut(_matching(terms, every, threshold, known))
-        if more.limit(1).count() == 0:
-            return scores(weighted).where(F.col("score") >= threshold).select("a", "b", "score")
-        known, graph = known.unionByName(more), graph.unionByName(graph_of(more))
-        # The turns go on from the weights reached.
-        weighted = graph.join(weights, "term", "left").withColumn("w", F.coalesce("w", (F.col("held") == 0).cast("double")))
-
-
-def components(nodes: DataFrame, edges: DataFrame, rounds: int = 50) -> DataFrame:
+def _meet(terms: DataFrame) -> DataFrame:
+    """(a, b), a < b: every two records that share one of terms (rid, kind, term). One side of
+    a large group is cut in slices, each with a copy of the other side."""
+    slices = terms.groupBy("term", "kind").agg(F.ceil(F.count(F.lit(1)) / SLICE).alias("slices"))
+    x = terms.join(slices, ["term", "kind"])
+    left = x.select("term", "kind", F.col("rid").alias("a"), F.pmod(F.xxhash64("rid"), "slices").alias("slice"))
+    right = x.select("term", "kind", F.col("rid").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"))
+    return left.join(right, ["term", "kind", "slice"]).where("a < b").select("a", "b").distinct()
+
+
+def reinforce(records: DataFrame, start: DataFrame, threshold: float = 0.5, rounds: int = 20, settled: float = 0.005) -> DataFrame:
+    """(a, b, score, more_a, more_b, shared) of the matching pairs of records (rid, kind, terms, strong,
+    n: listings by content). start: first weights (term, w), others being 1. more_a: the
+    terms at or above the threshold's weight that only a holds; shared: contents of both."""
+    sides = records.select("rid", "terms", "n")
+    pairs = _meet(records.select("rid", "kind", F.explode("strong").alias("term")))
+    both = pairs.join(sides.select(F.col("rid").alias("a"), F.col("terms").alias("p"), F.col("n").alias("m")), "a").join(sides.select(F.col("rid").alias("b"), F.col("terms").alias("q"), F.col("n").alias("o")), "b")
+    together = F.aggregate(F.map_entries("m"), F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.try_element_at("o", e["key"]), F.lit(0)))
+    of = lambda c, side: F.transform(c, lambda t: F.struct(t.alias("term"), F.lit(side).alias("side")))
+    terms = F.concat(of(F.array_except("p", "q"), "a"), of(F.array_except("q", "p"), "b"), of(F.array_intersect("p", "q"), "ab"))
+    both = cut(both.select("a", "b", together.alias("m"), F.array_intersect(F.map_keys("m"), F.map_keys("o")).alias("shared"), terms.alias("terms")))
+    graph = cut(both.select("a", "b", "m", F.explode("terms").alias("t")).select("a", "b", "m", "t.*"))
+    alone = F.aggregate(F.map_values("n"), F.lit(0.0), lambda s, v: s + v * (v - 1.0))
+    own = cut(records.select(F.explode("terms").alias("term"), alone.alias("same")).groupBy("term").agg(F.sum("same").alias("same")))
+
+    def scores(weights: DataFrame) -> DataFrame:
+        w = graph.join(weights, "term", "left").withColumn("w", F.coalesce("w", F.lit(1.0)))
+        loss = lambda s: F.coalesce(F.max(F.when(F.col("side") == s, F.col("w"))), F.lit(0.0))
+        more = lambda s: F.collect_list(F.when((F.col("side") == s) & (F.col("w") >= threshold), F.col("term")))
+        return w.groupBy("a", "b", "m").agg((1 - F.least(loss("a"), loss("b"))).alias("score"), more("a").alias("more_a"), more("b").alias("more_b"))
+
+    weights = start
+    for _ in range(rounds):
+        at = graph.where("m > 0").join(scores(weights).where(F.col("score") >= threshold).select("a", "b", "score"), ["a", "b"])
+        mass = F.col("score") * F.col("m")
+        sums = at.groupBy("term").agg(F.sum(F.when(F.col("side") == "ab", 2 * mass).otherwise(0.0)).alias("both"), F.sum(F.when(F.col("side") == "ab", 2 * mass).otherwise(mass)).alias("one"))
+        all_ = own.join(sums, "term", "left").fillna(0.0, ["both", "one"])
+        new = cut(all_.select("term", ((F.col("both") + F.col("same")) / (F.col("one") + F.col("same") + DOUBT)).alias("w")))
+        moved = new.join(weights.withColumnRenamed("w", "old"), "term", "left").agg(F.sum(F.abs(F.col("w") - F.coalesce("old", F.lit(1.0)))) / F.sum("w")).first()[0]
+        weights = new
+        if moved is None or moved <= settled:
+            break
+    else:
+        warnings.warn(f"the weights still move by {moved:.3f} after {rounds} turns", stacklevel=2)
+    return scores(weights).where(F.col("score") >= threshold).drop("m").join(both.select("a", "b", "shared"), ["a", "b"])
+
+
+def _links(matches: DataFrame) -> DataFrame:
+    """(a, b) of the matching pairs that join families: those of equal terms of weight, and of a
+    record with richer ones that don't stand against each other. The richest of these holds
+    all that the others have more; else the record is torn between them. Records are held
+    against each other by content, for products of several contents are told apart by these;
+    only a record that shares no content with a richer one is held against all of them."""
+    m = cut(matches)
+    like = m.where("size(more_a) = 0 and size(more_b) = 0").select("a", "b")
+    poor = m.where("size(more_a) = 0 and size(more_b) > 0").select("a", "b", F.col("more_b").alias("more"), "shared").unionAll(m.where("size(more_b) = 0 and size(more_a) > 0").select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("more_a").alias("more"), "shared"))
+    shares = poor.groupBy("a").agg(F.max(F.size("shared")).alias("most"))
+    poor = poor.join(shares, "a").where("size(shared) > 0 or most = 0").select("a", "b", "more", F.explode_outer("shared").alias("content"))
+    poor = cut(poor.withColumn("content", F.coalesce("content", F.lit(0))))
+    richest = poor.groupBy("a", "content").agg(F.max_by("more", F.struct(F.size("more"), "b")).alias("richest"))
+    torn = poor.join(richest, ["a", "content"]).where(F.size(F.array_except("more", "richest")) > 0).select("a", "content").distinct()
+    return like.unionAll(poor.join(torn, ["a", "content"], "left_anti").select("a", "b").distinct())
+
+
+def components(nodes: DataFrame, edges: DataFrame, rounds: int = 100) -> DataFrame:
     """(rid, family): the least rid each node is connected with. Labels halve their
-    distance each round by taking the neighbours' least label and that label's own label."""
+    distance each round by taking the neighbours' least label and that label's own label;
+    edges that still differ after the given rounds raise an error."""
     both = cut(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     label = nodes.select("rid", F.col("rid").alias("family"))
-    linked = label.join(both.select(F.col("a").alias("rid")).distinct(), "rid", "left_semi")
-    linked = cut(linked)
+    linked = cut(label.join(both.select(F.col("a").alias("rid")).distinct(), "rid", "left_semi"))
     for _ in range(rounds):
         least = both.join(linked.select(F.col("rid").alias("b"), "family"), "b").groupBy("a").agg(F.min("family").alias("low"))
         step = linked.join(least.withColumnRenamed("a", "rid"), "rid").select("rid", "family", F.least("family", "low").alias("low"))
@@ -222,6 +239,8 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 50) -> DataFram
         linked = new.select("rid", "family")
         if new.where("old != family").limit(1).count() == 0:
             break
+    else:
+        raise RuntimeError(f"components are not settled after {rounds} rounds")
     return label.join(linked.select("rid", F.col("family").alias("f")), "rid", "left").select("rid", F.coalesce("f", "family").alias("family"))
 
 
@@ -236,24 +255,46 @@ def _contents(x: DataFrame) -> DataFrame:
     # Without a price only a single stated content can be meant.
     best = fits.groupBy("id").agg(F.min_by("content", F.struct(F.coalesce("gap", F.lit(0.0)), "items")).alias("content"), F.count(F.lit(1)).alias("n"), F.count("gap").alias("priced")).where("n = 1 or priced = n")
     rest = open_.join(best.select("id"), "id", "left_anti")
-    by = Window.partitionBy("family", "base", "whole").orderBy(F.col("price").asc_nulls_last(), "id")
-    step = F.coalesce((F.col("price") - F.lag("price").over(by) > PRICE_GAP).cast("int"), F.lit(0))
-    rest = rest.withColumn("step", step).withColumn("island", F.sum("step").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    alone = F.when(F.col("price").isNull() & (F.max("island").over(Window.partitionBy("family", "base", "whole")) > 0), F.col("id"))
-    rest = rest.withColumn("content", F.concat_ws(" ", F.lit("whole"), "base", F.col("whole").cast("string"), F.col("island").cast("string"), alone.cast("string")))
+    # Prices a gap apart part a group into islands. Within a bucket as wide as the gap there is
+    # none, so it shows between the highest and the lowest prices of neighbouring buckets.
+    rest = rest.withColumn("bucket", F.floor(F.col("price") / PRICE_GAP))
+    ends = rest.where("price is not null").groupBy("family", "base", "whole", "bucket").agg(F.min("price").alias("low"), F.max("price").alias("high"))
+    of = Window.partitionBy("family", "base", "whole")
+    apart = F.coalesce((F.col("low") - F.lag("high").over(of.orderBy("bucket")) > PRICE_GAP).cast("int"), F.lit(0))
+    islands = ends.withColumn("apart", apart).withColumn("island", F.sum("apart").over(of.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)))
+    islands = islands.select("family", "base", "whole", "bucket", "island")
+    several = islands.groupBy("family", "base", "whole").agg(F.max("island").alias("last"))
+    rest = rest.join(islands, ["family", "base", "whole", "bucket"], "left").join(several, ["family", "base", "whole"], "left")
+    alone = F.when(F.col("price").isNull() & (F.col("last") > 0), F.col("id"))
+    rest = rest.withColumn("content", F.concat_ws(" ", F.lit("whole"), "base", F.col("whole").cast("string"), F.coalesce("island", F.lit(0)).cast("string"), alone.cast("string")))
     return stated.select("id", "family", "content").unionAll(open_.join(best.select("id", "content"), "id").select("id", "family", "content")).unionAll(rest.select("id", "family", "content"))
 
 
-def same_product(listings: DataFrame, prices: DataFrame | None = None) -> DataFrame:
-    """(id, product): listings (id, name, subgroup, size, unit, price) with the product
+def same_product(listings: DataFrame, prices: DataFrame | None = None, rounds: int = 10, settled: float = 0.01) -> DataFrame:
+    """(id, product): listings (id, name, brand, subgroup, size, unit, price) with the product
     each belongs to. prices (id, price) fills in for listings without a price."""
-    schema = "id long, terms array<string>, kind string, variant string, base string, each double, items int, whole double, price double"
-    read = listings.where("name is not null").select("id", "name", "subgroup", "size", "unit", "price").mapInPandas(_read, schema)
-    # Names are read where they lie; from here on only narrow rows move, copies fall together.
-    x = cut(read.select("id", "terms", F.xxhash64("kind", "variant").alias("block"), F.xxhash64("terms", "kind", "variant").alias("rid"), "base", "each", "items", "whole", "price"))
-    records = cut(x.groupBy("rid").agg(F.first("block").alias("block"), F.first("terms").alias("terms")))
-    family = components(records.select("rid"), reinforce(records))
-    told = x.drop("terms", "block").distinct()
+    schema = "id long, words array<string>, numbers array<struct<value: string, before: string>>, maker string, subgroup string, base string, each double, items int, whole double, price double"
+    read = listings.where("name is not null").select("id", "name", "brand", "subgroup", "size", "unit", "price").mapInPandas(_read, schema)
+    # Names are read where they lie; from here on only narrow rows of hashed terms move, copies fall together.
+    value = lambda c: F.struct(F.xxhash64(F.lit("#"), c["value"]).alias("value"), F.xxhash64(c["before"]).alias("before"))
+    x = read.withColumns({"words": F.transform("words", lambda t: F.xxhash64(t)), "numbers": F.transform("numbers", value), "maker": F.when(F.col("maker").isNotNull(), F.xxhash64("maker"))})
+    x = cut(x.withColumn("key", F.xxhash64(*x.columns)).dropDuplicates(["key"]))
+    words = x.select("key", "maker", "subgroup", F.explode("words").alias("term"))
+    d = cut(_discriminative(words))
+    # The anchor is the rarest discriminative term, else the most discriminative one.
+    clear = F.col("d") >= DISCRIMINATIVE
+    best = words.join(d, "term").groupBy("key").agg(F.coalesce(F.min_by("term", F.when(clear, F.struct("n", "term"))), F.max_by("term", F.struct("d", "term"))).alias("anchor"), F.collect_set(F.when(clear, F.col("term"))).alias("strong"))
+    # Without any term of two names a listing has no partner.
+    x = x.join(best, "key", "left").withColumn("anchor", F.coalesce("anchor", "key")).join(_kinds(x, words), "key", "left")
+    x = x.withColumn("strong", F.array_distinct(F.concat(F.coalesce("strong", F.array().cast("array<bigint>")), F.array("anchor")))).withColumn("kind", F.coalesce("subgroup", "kind", F.lit("")))
+    x = cut(x.drop("maker", "subgroup"))
+    held, words = _telling(x, rounds, settled)
+    held = held.withColumn("terms", F.sort_array(F.array_distinct(F.concat("strong", F.coalesce("kept", F.array().cast("array<bigint>"))))))
+    held = cut(held.withColumn("rid", F.xxhash64("kind", "terms")).drop("words", "numbers", "kept", "anchor"))
+    counts = held.groupBy("rid", F.xxhash64("base", "whole").alias("content")).agg(F.count(F.lit(1)).alias("n")).groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("content", "n"))).alias("n"))
+    records = cut(held.groupBy("rid").agg(F.first("kind").alias("kind"), F.first("terms").alias("terms"), F.array_distinct(F.flatten(F.collect_set("strong"))).alias("strong")).join(counts, "rid"))
+    family = components(records.select("rid"), _links(reinforce(records, words)))
+    told = held.select("id", "rid", "base", "each", "items", "whole", "price").distinct()
     if prices is not None:
         hint = prices.where("price > 0 and not isnan(price)").groupBy("id").agg(F.log(F.avg("price")).alias("hint"))
         told = told.join(hint, "id", "left").withColumn("price", F.coalesce("price", "hint")).drop("hint")

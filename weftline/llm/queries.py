@@ -9,7 +9,7 @@ from weftline.llm import byte_bpe, canonical, look, mixture, products, quantile_
 from weftline.sources.tables import distinct_rows, table
 
 def _products(spark: SparkSession, d: str) -> DataFrame:
-    v = table(spark, d, "validate_at_scale_nvidia").select(F.col("listing_id").alias("id"), F.col("product_name").alias("name"), "subgroup", F.col("pack_size").alias("size"), F.col("unit_label").alias("unit"), F.col("sale_price_thb").alias("price"))
+    v = table(spark, d, "validate_at_scale_nvidia").select(F.col("listing_id").alias("id"), F.col("product_name").alias("name"), "brand", "subgroup", F.col("pack_size").alias("size"), F.col("unit_label").alias("unit"), F.col("sale_price_thb").alias("price"))
     prices = table(spark, d, "export_llm_data").select(F.col("own_listing_id").alias("id"), F.col("own_price_thb").alias("price"))
     return products.same_product(v, prices)
 
