@@ -101,8 +101,8 @@ def test_groups_of_unlisted_words(spark):
 
 def test_weights_equal_counted_pairs(spark):
     rows = [(i, f"w{i % 3} shared w{i % 2}x n {i % 2}", "g%d" % (i % 4)) for i in range(24)]
-    x = spark.createDataFrame([(i, name.split()[:3], [(name.split()[4], "n")], g) for i, name, g in rows], "key long, words array<string>, numbers array<struct<value: string, before: string>>, kind string")
-    words, numbers = products._weights(x, ["kind"])
+    x = spark.createDataFrame([(i, name.split()[:3], [(name.split()[4], "n")], g) for i, name, g in rows], "key long, words array<string>, numbers array<struct<value: string, before: string>>, g string")
+    words, numbers = products._weights(x)
     got = {r.term: r.w for r in words.collect()} | {"number": numbers.first().w}
     data = [(set(n.split()[:3]), n.split()[4], g) for _, n, g in rows]
     def rate(holds, shares):

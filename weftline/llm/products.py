@@ -86,7 +86,7 @@ def read_name(name: str) -> tuple[list[str], list[tuple[str, str]], tuple[str, f
 def _read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for p in parts:
         rows = []
-        for i, name, brand, sub, size, unit, price in zip(p["id"], p["name"], p["brand"], p["subgroup"], p["size"], p["unit"], p["price"], strict=True):
+        for k, i, name, brand, sub, size, unit, price in zip(p["key"], p["id"], p["name"], p["brand"], p["subgroup"], p["size"], p["unit"], p["price"], strict=True):
             words, numbers, c = read_name(name)
             if not words:
                 continue
@@ -95,15 +95,15 @@ def _read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if not c and u and size and size > 0:
                 base, whole = u[0], float(round(size * u[1]))
             maker = "".join(x for x in folded(brand) if x.isalnum()) if brand else None
-            rows.append((i, words, numbers, maker, sub, base, each, items, whole, math.log(price) if price and price > 0 else None))
-        yield pd.DataFrame(rows, columns=["id", "words", "numbers", "maker", "subgroup", "base", "each", "items", "whole", "price"])
+            rows.append((k, i, words, numbers, maker, sub, base, each, items, whole, math.log(price) if price and price > 0 else None))
+        yield pd.DataFrame(rows, columns=["key", "id", "words", "numbers", "maker", "subgroup", "base", "each", "items", "whole", "price"])
 
 
 def _discriminative(words: DataFrame) -> DataFrame:
     """(term, n, d): how many names hold a word, and which part of their pairs agree in maker and subgroup."""
-    by = words.groupBy("term", "maker", "subgroup").agg(F.count(F.lit(1)).alias("k"))
-    both = F.col("maker").isNotNull() & F.col("subgroup").isNotNull()
-    n, agree = F.sum("k"), F.sum(F.when(both, F.col("k") * (F.col("k") - 1.0)).otherwise(0.0))
+    both = F.when(F.col("maker").isNotNull() & F.col("subgroup").isNotNull(), F.xxhash64("maker", "subgroup"))
+    by = words.groupBy("term", both.alias("both")).agg(F.count(F.lit(1)).alias("k"))
+    n, agree = F.sum("k"), F.sum(F.when(F.col("both").isNotNull(), F.col("k") * (F.col("k") - 1.0)).otherwise(0.0))
     return by.groupBy("term").agg(n.alias("n"), (agree / (n * (n - 1.0) + 3)).alias("d")).where("n > 1")
 
 
@@ -118,17 +118,16 @@ def _kinds(x: DataFrame, words: DataFrame) -> DataFrame:
     return seen.join(of, "subgroup").join(length, "key").groupBy("key").agg(F.max_by("subgroup", F.struct(likely, "subgroup")).alias("kind"))
 
 
-def _weights(x: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(term, w) of words and of the words before numbers, every two rows of a group
-    being a pair. n rows hold a term in a group of size m: n (n - 1) ordered pairs share it, of
-    n (m - 1) the first holds it."""
-    g = x.select(F.xxhash64(*group).alias("g"), "words", "numbers")
-    size = g.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+def _weights(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(term, w) of the words of rows (g, words, numbers) and of the words before their numbers,
+    every two rows of a group g being a pair. n rows hold a term in a group of size m: n (n - 1)
+    ordered pairs share it, of n (m - 1) the first holds it."""
+    size = rows.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     rate = lambda both, one: (F.sum(both) / (F.sum(one) + DOUBT)).alias("w")
     one = F.col("n") * (F.col("m") - 1.0)
-    n = g.select("g", F.explode("words").alias("term")).groupBy("g", "term").agg(F.count(F.lit(1)).alias("n"))
+    n = rows.select("g", F.explode("words").alias("term")).groupBy("g", "term").agg(F.count(F.lit(1)).alias("n"))
     words = n.join(size, "g").groupBy("term").agg(rate(F.col("n") * (F.col("n") - 1.0), one))
-    number = g.select("g", "numbers", F.explode(F.array_distinct("numbers.value")).alias("value"))
+    number = rows.select("g", "numbers", F.explode(F.array_distinct("numbers.value")).alias("value"))
     held = number.groupBy("g", "value").agg(F.count(F.lit(1)).alias("held"))
     before = F.transform(F.filter("numbers", lambda c: c["value"] == F.col("value")), lambda c: c["before"])
     n = number.select("g", "value", F.explode(before).alias("term")).groupBy("g", "value", "term").agg(F.count(F.lit(1)).alias("n"))
@@ -136,24 +135,36 @@ def _weights(x: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
     return words, numbers
 
 
+def _above(rows: DataFrame, words: DataFrame, numbers: DataFrame, least: float, least_number: float) -> tuple[DataFrame, DataFrame]:
+    """(key, words, numbers) of the rows' terms with at least these weights, and these terms (number, term)."""
+    above = cut(words.where(F.col("w") >= least).select(F.lit(False).alias("number"), "term").unionAll(numbers.where(F.col("w") >= least_number).select(F.lit(True), "term")))
+    each = F.concat(F.transform("words", lambda t: F.struct(F.lit(False).alias("number"), t.alias("term"), F.lit(0).cast("long").alias("value"))), F.transform("numbers", lambda c: F.struct(F.lit(True).alias("number"), c["before"].alias("term"), c["value"].alias("value"))))
+    kept = rows.select("key", F.explode(each).alias("t")).select("key", "t.*").join(above, ["number", "term"], "left_semi")
+    number = F.struct("value", F.col("term").alias("before"))
+    return kept.groupBy("key").agg(F.collect_list(F.when(~F.col("number"), F.col("term"))).alias("words"), F.collect_list(F.when(F.col("number"), number)).alias("numbers")), above
+
+
 def _telling(x: DataFrame, rounds: int, settled: float) -> tuple[DataFrame, DataFrame]:
-    """x with `kept`, its terms of weight, and the weights (term, w)."""
-    group, held, before = ["kind", "anchor", "base", "whole"], x.withColumn("kept", F.lit(None).cast("array<bigint>")), None
+    """(key, kept) of rows (key, g, words, numbers), their terms of weight, and the weights (term, w).
+    A word that half of the pairs lack in the first turn isn't weighed again."""
+    words, numbers = _weights(x)
+    first = cut(words)
+    some, _ = _above(x, first, numbers, 0.5, 0.35)
+    rows = cut(x.select("key", "g").join(some, "key", "left").withColumns({"words": F.coalesce("words", F.array().cast("array<bigint>")), "numbers": F.coalesce("numbers", F.array().cast("array<struct<value: bigint, before: bigint>>"))}))
+    words, before = first, None
     for _ in range(rounds):
-        words, numbers = _weights(held, group)
-        words = cut(words)
-        now = cut(words.where(F.col("w") >= TELLING).select(F.lit(False).alias("number"), "term").unionAll(numbers.where(F.col("w") >= NUMBER).select(F.lit(True), "term")))
-        each = x.select("key", F.explode(F.concat(F.transform("words", lambda t: F.struct(F.lit(False).alias("number"), t.alias("term"), t.alias("as"))), F.transform("numbers", lambda c: F.struct(F.lit(True).alias("number"), c["before"].alias("term"), c["value"].alias("as"))))).alias("t"))
-        kept = each.select("key", "t.*").join(now, ["number", "term"], "left_semi").groupBy("key").agg(F.sort_array(F.collect_set("as")).alias("kept"))
-        held = cut(x.join(kept, "key", "left"))
-        group = ["kind", "anchor", "base", "whole", "kept"]
+        kept, now = _above(rows, words, numbers, TELLING, NUMBER)
+        kept = cut(kept.select("key", F.sort_array(F.array_distinct(F.concat("words", "numbers.value"))).alias("kept")))
         if before is not None:
             moved = now.join(before, ["number", "term"], "left_anti").count() + before.join(now, ["number", "term"], "left_anti").count()
             if moved <= settled * max(1, now.count()):
-                return held, words
+                break
         before = now
-    warnings.warn(f"the terms of weight still move after {rounds} turns", stacklevel=2)
-    return held, words
+        words, numbers = _weights(rows.join(kept, "key", "left").select(F.xxhash64("g", "kept").alias("g"), "words", "numbers"))
+        words, numbers = cut(words), cut(numbers)
+    else:
+        warnings.warn(f"the terms of weight still move after {rounds} turns", stacklevel=2)
+    return kept, first.join(words.withColumnRenamed("w", "now"), "term", "left").select("term", F.coalesce("now", "w").alias("w"))
 
 
 #: Records of a group that one task pairs with the rest of it.
@@ -273,24 +284,25 @@ def _contents(x: DataFrame) -> DataFrame:
 def same_product(listings: DataFrame, prices: DataFrame | None = None, rounds: int = 10, settled: float = 0.01) -> DataFrame:
     """(id, product): listings (id, name, brand, subgroup, size, unit, price) with the product
     each belongs to. prices (id, price) fills in for listings without a price."""
-    schema = "id long, words array<string>, numbers array<struct<value: string, before: string>>, maker string, subgroup string, base string, each double, items int, whole double, price double"
-    read = listings.where("name is not null").select("id", "name", "brand", "subgroup", "size", "unit", "price").mapInPandas(_read, schema)
-    # Names are read where they lie; from here on only narrow rows of hashed terms move, copies fall together.
+    schema = "key long, id long, words array<string>, numbers array<struct<value: string, before: string>>, maker string, subgroup string, base string, each double, items int, whole double, price double"
+    listed = listings.where("name is not null").select("id", "name", "brand", "subgroup", "size", "unit", "price").distinct()
+    read = listed.withColumn("key", F.xxhash64(*listed.columns)).mapInPandas(_read, schema)
+    # From here on only narrow rows of hashed terms move.
     value = lambda c: F.struct(F.xxhash64(F.lit("#"), c["value"]).alias("value"), F.xxhash64(c["before"]).alias("before"))
-    x = read.withColumns({"words": F.transform("words", lambda t: F.xxhash64(t)), "numbers": F.transform("numbers", value), "maker": F.when(F.col("maker").isNotNull(), F.xxhash64("maker"))})
-    x = cut(x.withColumn("key", F.xxhash64(*x.columns)).dropDuplicates(["key"]))
+    x = cut(read.withColumns({"words": F.transform("words", lambda t: F.xxhash64(t)), "numbers": F.transform("numbers", value), "maker": F.when(F.col("maker").isNotNull(), F.xxhash64("maker"))}))
     words = x.select("key", "maker", "subgroup", F.explode("words").alias("term"))
-    d = cut(_discriminative(words))
+    d = _discriminative(words)
     # The anchor is the rarest discriminative term, else the most discriminative one.
     clear = F.col("d") >= DISCRIMINATIVE
-    best = words.join(d, "term").groupBy("key").agg(F.coalesce(F.min_by("term", F.when(clear, F.struct("n", "term"))), F.max_by("term", F.struct("d", "term"))).alias("anchor"), F.collect_set(F.when(clear, F.col("term"))).alias("strong"))
+    best = words.select("key", "term").join(d, "term").groupBy("key").agg(F.coalesce(F.min_by("term", F.when(clear, F.struct("n", "term"))), F.max_by("term", F.struct("d", "term"))).alias("anchor"), F.collect_set(F.when(clear, F.col("term"))).alias("strong"))
     # Without any term of two names a listing has no partner.
     x = x.join(best, "key", "left").withColumn("anchor", F.coalesce("anchor", "key")).join(_kinds(x, words), "key", "left")
     x = x.withColumn("strong", F.array_distinct(F.concat(F.coalesce("strong", F.array().cast("array<bigint>")), F.array("anchor")))).withColumn("kind", F.coalesce("subgroup", "kind", F.lit("")))
     x = cut(x.drop("maker", "subgroup"))
-    held, words = _telling(x, rounds, settled)
+    kept, words = _telling(x.select("key", F.xxhash64("kind", "anchor", "base", "whole").alias("g"), "words", "numbers"), rounds, settled)
+    held = x.drop("words", "numbers", "anchor").join(kept, "key", "left")
     held = held.withColumn("terms", F.sort_array(F.array_distinct(F.concat("strong", F.coalesce("kept", F.array().cast("array<bigint>"))))))
-    held = cut(held.withColumn("rid", F.xxhash64("kind", "terms")).drop("words", "numbers", "kept", "anchor"))
+    held = cut(held.withColumn("rid", F.xxhash64("kind", "terms")).drop("kept", "key"))
     counts = held.groupBy("rid", F.xxhash64("base", "whole").alias("content")).agg(F.count(F.lit(1)).alias("n")).groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("content", "n"))).alias("n"))
     records = cut(held.groupBy("rid").agg(F.first("kind").alias("kind"), F.first("terms").alias("terms"), F.array_distinct(F.flatten(F.collect_set("strong"))).alias("strong")).join(counts, "rid"))
     family = components(records.select("rid"), _links(reinforce(records, words)))
