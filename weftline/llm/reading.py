@@ -1,34 +1,36 @@
-"""Reading level of documents by harmonic propagation on the document-word graph.
+"""Reading level of documents by harmonic propagation on a word-sentence-document graph.
 
-Documents are joined to the words (single and in pairs; Thai in runs of five signs) they
-hold. Graded documents are clamped to their grades; a word's difficulty is the mean of its
-documents', a document's the mean of its words', and the two are taken in turns until
-they settle, so difficulty spreads from graded to ungraded documents and back. Difficulty
-is carried as the four shares of levels 1 to 4, each a harmonic function of its own;
-their mean is the continuous difficulty.
+Documents are joined to their sentences, sentences to the words they hold (single and in
+pairs; Thai in runs of five signs). Graded documents are clamped to their grades. In turns, a word's
+difficulty is the mean of that of the documents whose sentences hold it, a sentence's the
+mean of its words', and a document's the mean of its sentences', each at the level it is
+nearest to; so difficulty spreads from graded to ungraded documents and back until hardly any
+sentence moves. It is carried as the four shares of levels 1 to 4, each a harmonic
+function of its own, divided by their shares among the graded documents (class mass
+normalisation); a word counts the more in its sentences the further its shares are from even ones.
 
-Words are hashed to a fixed number of nodes (2^18 by default), so the word side has a
-proven size: each round is one pass over the documents that emits partial sums per node,
-one aggregation by node, and a broadcast of a few megabytes, whatever the corpus holds.
+Equal sentences are one node, so a turn costs as much as there are different ones. Every
+step is a join or sum over edges keyed by 64-bit hashes: nothing is broadcast and no two
+words share a node, however large the corpus.
 
-A document's level is that of most of its sentences, each leveled by its words: stretches
-between sentence signs, or of about a dozen words where there are none; a tie goes to the
-level with more text.
+A document's level is that of most of its sentences - stretches between sentence signs, or
+of about a dozen words where there are none; a tie goes to the level with more text.
 
 Defined results: null, empty and blank texts, and texts of at most three words once tags,
 addresses and symbols are taken off, give no row; grades other than 1 to 4 are ignored,
 repeated grades of one rater count once, several raters' grades are averaged; with no
-grade at all there are no rows; a repeated document gives a row each time; very long
-texts are read whole.
+grade at all there are no rows; a document that shares no word with a graded one, however
+far around, has the commonest grade; a repeated document gives a row each time; very long
+texts are read whole; turns that don't settle raise a warning.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
+import warnings
 from collections.abc import Iterator
+from hashlib import blake2b
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,134 +38,153 @@ from pyspark.sql import functions as F
 from weftline.llm.look import transducer
 from weftline.session import cut
 
-NODES = 1 << 18
 #: Words of a stretch without sentence signs that count as one sentence.
 STRETCH = 12
+#: Sentences a worker remembers.
+MEMORY = 200_000
 _JUNK = re.compile(r"https?://\S+|<\|[^|>]*\|>|</?[a-z][^>]*>|&[a-z]+;|[#@]\w+", re.I)
 _SENTENCE = re.compile(r"(?<=[.!?;:])\s+|\s*\n+\s*|\s{2,}|\s+(?=[•*]|\d+\) )|,? (?:and|so|but) (?=[A-Z])|(?<=[฀-๿])\s+(?=[฀-๿])")
 _WORD = re.compile(r"[^\W\d_฀-๿]+|[฀-๿]+|\d+|[^\s\w]")
 
 
+def stretches(text: str) -> list[str]:
+    """A text without tags and addresses, cut at sentence signs."""
+    return [s for s in _SENTENCE.split(_JUNK.sub(" ", transducer().form(text))) if s]
+
+
+def sentences_of(stretch: str) -> list[list[str]]:
+    """Words of each sentence of a stretch; long ones are cut."""
+    words = _WORD.findall(stretch.lower())
+    if len(words) > 2.5 * STRETCH:
+        return [words[i : i + STRETCH] for i in range(0, len(words), STRETCH)]
+    return [words] if words else []
+
+
 def sentences(text: str) -> list[list[str]]:
     """Words of each sentence of a text."""
-    clean = _JUNK.sub(" ", transducer().form(text))
-    out = []
-    for s in _SENTENCE.split(clean):
-        words = _WORD.findall(s.lower())
-        if len(words) > 2.5 * STRETCH:
-            out += [words[i : i + STRETCH] for i in range(0, len(words), STRETCH)]
-        elif words:
-            out.append(words)
-    return out
+    return [w for s in stretches(text) for w in sentences_of(s)]
+
+
+def extent(words: list[str]) -> tuple[int, int]:
+    """How many words and how many Thai signs a sentence has."""
+    thai = [w for w in words if "฀" <= w[0] <= "๿"]
+    return sum(w[0].isalpha() for w in words) - sum(w[0].isalpha() for w in thai), sum(map(len, thai))
 
 
 def has_sentence(parts: list[list[str]]) -> bool:
-    words = signs = 0
-    for p in parts:
-        for w in p:
-            if "฀" <= w[0] <= "๿":
-                signs += len(w)
-            elif w[0].isalpha():
-                words += 1
-    return words > 3 or signs >= 8
+    found = [extent(p) for p in parts]
+    return sum(w for w, _ in found) > 3 or sum(s for _, s in found) >= 8
+
+
+def _key(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def nodes(words: list[str], size: int = NODES) -> list[int]:
-    """Graph nodes of a sentence's words."""
-    out, before = [], "^"
+def nodes(words: list[str]) -> list[int]:
+    """Word nodes of a sentence."""
+    out, before = set(), "^"
     for w in words:
         if "฀" <= w[0] <= "๿":
-            out += [zlib.crc32(w[i : i + 5].encode()) % size for i in range(max(1, len(w) - 4))]
+            out.update(w[i : i + 5] for i in range(max(1, len(w) - 4)))
             before = w[-3:]
         else:
             w = "0" if w.isdigit() else w
-            out.append(zlib.crc32(b"1" + w.encode()) % size)
-            out.append(zlib.crc32(f"{before} {w}".encode()) % size)
+            out.update((f"1{w}", f"{before} {w}"))
             before = w
-    return out
+    return sorted(map(_key, out))
+
+
+def _read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(id, s, size, new): sentence nodes of a document with their number of word nodes, and
+    those this worker meets for the first time as (s, words)."""
+    memo: dict[str, tuple] = {}
 
+    def look(stretch: str) -> tuple:
+        found = []
+        for w in sentences_of(stretch):
+            n = nodes(w)
+            found.append((_key(" ".join("0" if x.isdigit() else x for x in w)), n, extent(w)))
+        return [(k, len(n)) for k, n, _ in found], sum(e[0] for *_, e in found), sum(e[1] for *_, e in found), [{"s": k, "words": n} for k, n, _ in found]
 
-def _graph(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for p in parts:
         rows = []
         for key, text in zip(p["id"], p["text"], strict=True):
-            s = sentences(text)
-            if has_sentence(s):
-                n = [nodes(w) for w in s]
-                rows.append((key, np.array([x for f in n for x in f], dtype=np.int32).tobytes(), np.cumsum([len(f) for f in n], dtype=np.int32).tobytes()))
-        yield pd.DataFrame(rows, columns=["id", "nodes", "ends"])
-
-
-def _votes(f: np.ndarray, ends: np.ndarray, log: np.ndarray) -> np.ndarray:
-    """How many sentences have each level; a fraction below one is the level's share of text."""
-    sums = np.add.reduceat(log[f], np.r_[0, ends[:-1]], axis=0)
-    size = np.diff(np.r_[0, ends])
-    level = sums.argmax(axis=1)
-    real = size >= 4
-    if not real.any():
-        real = size > 0
-    votes = np.bincount(level[real], minlength=4).astype(float)
-    return votes + 0.5 * np.bincount(level, size, 4) / size.sum()
-
-
-def levels(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, rater: str, level: str, trust: float = 0.5, rounds: int = 6, settled: float = 0.004) -> DataFrame:
-    """(key, reading_level, difficulty) of each document that holds sentences."""
-    spark = docs.sparkSession
-    grades = labels.where(F.col(level).between(1, 4)).select(F.col(label_key).alias("id"), rater, F.col(level).cast("int").alias("g")).distinct()
-    grades = grades.groupBy("id").agg(*(F.avg((F.col("g") == k).cast("double")).alias(f"g{k}") for k in (1, 2, 3, 4)))
-    graph = docs.where(F.col(text).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInPandas(_graph, "id long, nodes binary, ends binary")
-    graph = cut(graph.join(grades, "id", "left"))
-    first = graph.where("g1 is not null").agg(*(F.avg(f"g{k}") for k in (1, 2, 3, 4))).first()
-    if first[0] is None:
-        return graph.limit(0).select(F.col("id").alias(key), F.lit(0).alias("reading_level"), F.lit(0.0).alias("difficulty"))
-    prior = np.array(first, dtype=float) + 1e-3
-    prior /= prior.sum()
-
-    def partial(shared, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        log = shared.value if shared is not None else None
-        acc, moved, seen = np.zeros((NODES, 5)), 0.0, 0
-        for p in parts:
-            grade = p[["g1", "g2", "g3", "g4"]].to_numpy(dtype=float)
-            for i, (n, e) in enumerate(zip(p["nodes"], p["ends"], strict=True)):
-                f = np.frombuffer(n, dtype=np.int32)
-                if grade[i, 0] == grade[i, 0]:
-                    share, weight = grade[i], 1.0
-                elif log is not None:
-                    v = _votes(f, np.frombuffer(e, dtype=np.int32), log)
-                    share, weight = v / v.sum(), trust
-                else:
-                    continue
-                u = np.unique(f)
-                acc[u, :4] += weight * share
-                acc[u, 4] += weight
-                moved, seen = moved + float(share @ np.arange(4)), seen + 1
-        at = np.flatnonzero(acc[:, 4])
-        out = pd.DataFrame(acc[at], columns=list("abcdn"))
-        out.insert(0, "node", at)
-        if seen:
-            out.loc[len(out)] = [-1, moved, 0.0, 0.0, 0.0, seen]
-        yield out.astype({"node": "int64"})
-
-    shared, before = None, None
+            ids, new, words, signs = [], [], 0, 0
+            for s in stretches(text):
+                if (got := memo.get(s)) is None:
+                    got = look(s)
+                    new += got[3]
+                    if len(memo) < MEMORY:
+                        memo[s] = got[:3]
+                ids += got[0]
+                words, signs = words + got[1], signs + got[2]
+            if words > 3 or signs >= 8:
+                rows.append((key, [k for k, _ in ids], [n for _, n in ids], new))
+            elif new:  # another document may hold the sentence
+                rows.append((None, [], [], new))
+        yield pd.DataFrame(rows, columns=["id", "s", "size", "new"])
+
+
+def levels(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, rater: str, level: str, trust: float = 0.5, doubt: float = 0.05, rounds: int = 12, settled: float = 0.01) -> DataFrame:
+    """(key, reading_level, difficulty) of each document that holds sentences. trust: weight of
+    an ungraded document against a graded one. doubt: documents' worth of the mean that a
+    word starts with. The turns end when at most the part `settled` of the sentences moves."""
+    grades = labels.where(F.col(level).between(1, 4)).select(F.col(label_key).cast("long").alias("id"), rater, F.col(level).cast("int").alias("g")).distinct()
+    grades = grades.groupBy("id").agg(F.array(*(F.avg((F.col("g") == k).cast("double")) for k in (1, 2, 3, 4))).alias("grade"))
+    read = docs.where(F.col(text).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInPandas(_read, "id long, s array<long>, size array<int>, new array<struct<s: long, words: array<long>>>")
+    read = cut(read)
+    # A repeated document has rows of its own, so they are numbered.
+    body = cut(read.where("id is not null").select("id", "s", "size").withColumn("row", F.monotonically_increasing_id()).join(grades, "id", "left"))
+    prior = body.where("grade is not null").agg(*(F.avg(F.col("grade")[k]) + 1e-3 for k in range(4))).first()
+    if prior[0] is None:
+        return body.limit(0).select(F.col("id").alias(key), F.lit(0).alias("reading_level"), F.lit(0.0).alias("difficulty"))
+    prior = [p / sum(prior) for p in prior]
+    graded = cut(body.where("grade is not null").select("row", "grade"))
+    edges = body.select("row", F.size("s").alias("of"), F.explode(F.arrays_zip("s", "size")).alias("e"))
+    edges = cut(edges.groupBy("row", "of", "e.s", "e.size").agg(F.count(F.lit(1)).alias("n")))
+    words = cut(read.select(F.explode("new").alias("e")).select("e.*").dropDuplicates(["s"]).select("s", F.explode("words").alias("w")))
+
+    def sentence_levels(values: DataFrame) -> DataFrame:
+        """(s, level) from documents (row, a, b, c, d, weight)."""
+        part = F.col("n") / F.col("of") * F.col("weight")
+        at = edges.join(values, "row").groupBy("s").agg(*(F.sum(F.col(c) * part).alias(c) for c in "abcd"), F.sum(part).alias("m"))
+        w = words.join(at, "s").groupBy("w").agg(*(F.sum(c).alias(c) for c in "abcdm"))
+        # Shares divided by the mean ones, brought to sum to one.
+        q = w.select("w", *(((F.col(c) + doubt * p) / (F.col("m") + doubt) / p).alias(c) for c, p in zip("abcd", prior, strict=True)))
+        q = q.select("w", *((F.col(c) / (F.col("a") + F.col("b") + F.col("c") + F.col("d"))).alias(c) for c in "abcd"))
+        tells = sum(((F.col(c) - 0.25) * (F.col(c) - 0.25) for c in "abcd"), F.lit(0.0))
+        q = q.select("w", *((F.col(c) * tells).alias(c) for c in "abcd")).where("a + b + c + d > 1e-9")
+        s = words.join(q, "w").groupBy("s").agg(*(F.sum(c).alias(c) for c in "abcd"))
+        most = F.greatest(*"abcd")
+        return s.select("s", F.when(F.col("a") == most, 1).when(F.col("b") == most, 2).when(F.col("c") == most, 3).otherwise(4).alias("level"))
+
+    def documents(found: DataFrame) -> DataFrame:
+        """(row, a, b, c, d): shares of a document's sentences at each level. Scraps count only
+        where there is nothing else, and the amount of text settles ties."""
+        at = edges.join(found, "s", "left")
+        is_ = [(F.col("level") == k).cast("double") for k in (1, 2, 3, 4)]
+        real = F.col("n") * (F.col("size") >= 4).cast("double")
+        sums = at.groupBy("row").agg(*(F.sum(real * F.coalesce(i, F.lit(0.0))).alias(f"r{k}") for k, i in enumerate(is_)), *(F.sum(F.col("n") * F.col("size") * F.coalesce(i, F.lit(0.0))).alias(f"t{k}") for k, i in enumerate(is_)))
+        text = F.greatest(sum(F.col(f"t{k}") for k in range(4)), F.lit(1.0))
+        votes = sums.select("row", *((F.col(f"r{k}") + 0.5 * F.col(f"t{k}") / text).alias(c) for k, c in enumerate("abcd")))
+        # Without a sentence near any graded one a document has the mean level.
+        every = F.col("a") + F.col("b") + F.col("c") + F.col("d")
+        return votes.select("row", *(F.when(every > 0, F.col(c) / every).otherwise(F.lit(p)).alias(c) for c, p in zip("abcd", prior, strict=True)))
+
+    clamped = graded.select("row", *(F.col("grade")[k].alias(c) for k, c in enumerate("abcd")), F.lit(1.0).alias("weight"))
+    values, found = clamped, None
     for _ in range(rounds):
-        s = shared
-        sums = graph.mapInPandas(lambda parts, s=s: partial(s, parts), "node long, a double, b double, c double, d double, n double")
-        t = sums.groupBy("node").agg(*(F.sum(c).alias(c) for c in "abcdn")).toArrow().to_pandas()  # at most NODES rows
-        total = t[t["node"] < 0]
-        t = t[t["node"] >= 0]
-        share = np.tile(prior, (NODES, 1))
-        share[t["node"].to_numpy()] = (t[["a", "b", "c", "d"]].to_numpy() + 0.2 * prior) / (t["n"].to_numpy() + 0.2)[:, None]
-        shared = spark.sparkContext.broadcast(np.log(share / prior).astype(np.float32))
-        mean = float(total["a"].iloc[0] / total["n"].iloc[0])
-        if before is not None and abs(mean - before) < settled:
-            break
-        before = mean if s is not None else None
-
-    def answer(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        log = shared.value
-        for p in parts:
-            v = [_votes(np.frombuffer(n, dtype=np.int32), np.frombuffer(e, dtype=np.int32), log) for n, e in zip(p["nodes"], p["ends"], strict=True)]
-            yield pd.DataFrame({"id": p["id"], "level": [int(x.argmax()) + 1 for x in v], "difficulty": [float(x @ np.arange(1, 5) / x.sum()) for x in v]})
-
-    out = graph.select("id", "nodes", "ends").mapInPandas(answer, "id long, level int, difficulty double")
-    return out.select(F.col("id").alias(key), F.col("level").alias("reading_level"), "difficulty")
+        new = cut(sentence_levels(values))
+        if found is not None:
+            moved, total = new.join(found.withColumnRenamed("level", "was"), "s", "left").agg(F.sum((~F.col("level").eqNullSafe(F.col("was"))).cast("long")), F.count(F.lit(1))).first()
+            found = new
+            if not total or moved <= settled * total:
+                break
+        found = new
+        values = clamped.unionByName(documents(found).join(graded, "row", "left_anti").withColumn("weight", F.lit(trust)))
+    else:
+        warnings.warn(f"levels of sentences still move after {rounds} turns", stacklevel=2)
+    out = documents(found).join(body.select("row", "id"), "row")
+    most = F.greatest(*"abcd")
+    level_ = F.when(F.col("a") == most, 1).when(F.col("b") == most, 2).when(F.col("c") == most, 3).otherwise(4)
+    return out.select(F.col("id").alias(key), level_.alias("reading_level"), (F.col("a") + 2 * F.col("b") + 3 * F.col("c") + 4 * F.col("d")).alias("difficulty"))
