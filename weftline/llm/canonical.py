@@ -1,19 +1,21 @@
 """Mapping freely typed values to the entries of a canonical list.
 
-Distinct values are normalised (one look, no case, accents, blanks or signs; shop words
-at the end taken off one by one, each stage kept as a variant). An inverted index of
+Distinct values are normalised (one look, no case, accents, blanks or signs); besides the
+whole value each run of its leading words is a form of its own, words being parted at
+blanks and signs and where capitals or another script begin. An inverted index of
 character 2- and 3-grams over the entries' names, known other names and unique first words
-gives the candidates of each variant, scored by the cosine of idf-weighted gram vectors.
-Every candidate above the threshold is then checked by edit distance, so that words that
-many entries share ("Professional") can't carry a match alone; the best accepted entry
-must beat the best entry of another id by a margin, else the value is reported unmatched.
+gives the candidates of each form, scored by the cosine of idf-weighted gram vectors; a form
+of leading words counts a little less, and only if it is a name in full. The best entry above
+the threshold that beats the best entry of another id by the margin is taken, else the value is
+reported unmatched. A candidate that more than a few typing errors part from the form is
+refused beforehand, so that words that many entries share ("Professional") can't carry a match alone.
 
 Defined results: null and blank values, and values that are an entry's name character for
 character, are left out; an unmatched value gets id 0; a value that fits two entries
 equally (a first word they share) is unmatched; repeated rows of one id and value count
-once; very long values are compared whole, but no longer than LONGEST characters can match;
-an empty list maps every value to 0. The list is shipped to all workers and must not be
-longer than `most` names; a longer one is refused.
+once; very long values are read whole (a form longer than every entry and its typing errors
+has no candidate); an empty list maps every value to 0. The list is shipped to all workers and
+must not be longer than `most` names; a longer one is refused.
 """
 
 from __future__ import annotations
@@ -32,12 +34,12 @@ from pyspark.sql import functions as F
 from weftline.llm.look import transducer
 from weftline.session import cut
 
-#: Words that sellers put after a brand (fixed values, written together).
-TAIL = re.compile(r"(officialstore|officialshop|official|flagship|store|shop|thailand|ประเทศไทย|coltd|makeup|fragrance|baby|mask|sun|formen)$")
-#: A joint edition: from a lone x, or an x glued before capitals, to the end.
-EDITION = re.compile(r"[\s_-][xX][\s_-]+\S.*$|(?<=[a-z])x[A-Z]{3,}\S*$", re.S)
-#: No value longer than this, normalised, is an entry's name.
-LONGEST = 200
+#: A joint edition: an x glued between a name and capitals, to the end.
+EDITION = re.compile(r"(?<=[a-z])x[A-Z]{3,}\S*$")
+#: Where a word ends: blanks and signs, before capitals that begin a word, between scripts.
+_WORD = re.compile(r"(?<=[A-Z])(?=[A-Z][a-z]{2})|(?<=[a-z])(?=[A-Z])|(?<=[฀-๿])(?=[^฀-๿])|(?<=[^฀-๿\W])(?=[฀-๿])|[\s_\-–/|,]+")
+#: Most typing errors of a match, and what a form of leading words counts.
+EDITS, LEADING = 6, 0.98
 
 
 def plain(text: str) -> str:
@@ -49,23 +51,21 @@ def letters(text: str) -> str:
     return "".join(c for c in text if c.isalnum() or unicodedata.category(c) == "Mn")
 
 
-def variants(value: str) -> list[tuple[str, bool]]:
-    """Normalised forms, from the whole value to what is left without shop words, and
-    whether a form is only the value's leading words."""
-    s = re.sub(r"\bdoctor\b", "dr", plain(value))
-    out = [letters(s)]
-    bare = re.sub(r"\bdoctor\b", "dr", plain(EDITION.sub("", transducer().form(value)))).replace("(th)", "")
-    key = letters(bare)
-    while key:
-        out.append(key)
-        short = TAIL.sub("", key)
-        if short == key:
+def _key(text: str) -> str:
+    return letters(re.sub(r"\bdoctor\b", "dr", plain(text)))
+
+
+def variants(value: str, longest: int) -> list[tuple[str, bool]]:
+    """Normalised forms of a value of at most `longest` characters, and whether a form is only the value's leading words."""
+    form = transducer().form(value)
+    out = {_key(form): False, _key(EDITION.sub("", form)): False}
+    lead = ""
+    for w in _WORD.split(form):
+        lead += _key(w)
+        if len(lead) > longest:
             break
-        key = short
-    words = [w for w in re.split(r"[\s_-]+", bare) if letters(w)]
-    lead = [letters("".join(words[:n])) for n in range(len(words) - 1, max(0, len(words) - 3), -1)]
-    found = dict.fromkeys(k for k in out if k and len(k) <= LONGEST)
-    return [(k, False) for k in found] + [(k, True) for k in dict.fromkeys(lead) if k and k not in found and len(k) <= LONGEST]
+        out.setdefault(lead, True)
+    return [(k, short) for k, short in out.items() if k and len(k) <= longest]
 
 
 def grams(key: str) -> Counter:
@@ -106,7 +106,7 @@ class Index:
         entries |= {(w, next(iter(ids))) for w, ids in firsts.items() if len(ids) == 1 and len(w) > 2}
         self.entries = sorted(e for e in entries if e[0])
         self.whole = [k in whole for k, _ in self.entries]
-        shared = sorted((t for t, ids in tails.items() if len(ids) > 1 or TAIL.fullmatch(t)), key=len, reverse=True)
+        shared = sorted((t for t, ids in tails.items() if len(ids) > 1), key=len, reverse=True)
         self.own = [len(k) - next((len(t) for t in shared if k.endswith(t) and len(k) > len(t)), 0) for k, _ in self.entries]
         seen = Counter(g for k, _ in self.entries for g in grams(k))
         self.weight = {g: math.log((len(self.entries) + 1) / (n + 0.5)) for g, n in seen.items()}
@@ -116,6 +116,7 @@ class Index:
             for g, x in self.vector(k).items():
                 lists[g].append((at, x))
         self.lists = {g: (np.array([a for a, _ in p]), np.array([x for _, x in p])) for g, p in lists.items()}
+        self.longest = max((len(k) for k, _ in self.entries), default=0) + EDITS
         self.ids = np.array([i for _, i in self.entries], dtype=np.int64)
 
     def vector(self, key: str) -> dict[str, float]:
@@ -133,7 +134,7 @@ class Index:
         """Edits to entry `at`, inf beyond what its length and its own part allow. A key
         that stops short of an entry is held against the entry's beginning, for half an edit."""
         name, own = self.entries[at][0], self.own[at]
-        most = min(0.3 * len(name), 0.45 * own, 6)
+        most = min(0.3 * len(name), 0.45 * own, EDITS)
         if len(name) <= 3:
             most = 0
         elif not name.isascii():  # syllables of other scripts share more signs
@@ -145,25 +146,21 @@ class Index:
 
     def best(self, value: str, threshold: float, margin: float) -> tuple[int, float]:
         """(id or 0, score)."""
-        found: dict[int, tuple[float, float]] = {}
+        found: dict[int, float] = {}
         top = 0.0
-        for key, lead in variants(value):
+        for key, lead in variants(value, self.longest):
             s = self.scores(key)
-            if len(s):
-                top = max(top, float(s.max()))
+            top = max(top, float(s.max(initial=0.0)))
             for at in np.flatnonzero(s >= threshold):
-                d = self.edits(key, at)
-                if lead:  # what follows is unknown: only a name in full counts, less than the whole value would
-                    d = d + 0.25 if self.whole[at] else math.inf
-                if d < math.inf:
+                if lead and not self.whole[at] and self.entries[at][0] != key:
+                    continue
+                if self.edits(key, at) < math.inf:
                     i = int(self.ids[at])
-                    found[i] = min(found.get(i, (math.inf, 0.0)), (d, -float(s[at])))
-        if not found:
-            return 0, top
-        ranked = sorted((d, s, i) for i, (d, s) in found.items())
-        if len(ranked) > 1 and ranked[1][0] == ranked[0][0] and ranked[1][1] - ranked[0][1] < margin:
-            return 0, -ranked[0][1]
-        return ranked[0][2], -ranked[0][1]
+                    found[i] = max(found.get(i, 0.0), float(s[at]) * (LEADING if lead else 1.0))
+        ranked = sorted(((s, i) for i, s in found.items()), reverse=True)
+        if not ranked or (len(ranked) > 1 and ranked[0][0] - ranked[1][0] < margin):
+            return 0, ranked[0][0] if ranked else top
+        return ranked[0][1], ranked[0][0]
 
 
 def map_values(values: DataFrame, value: str, names: DataFrame, others: DataFrame | None, key: str, name: str, other: str, threshold: float = 0.25, margin: float = 0.02, most: int = 200_000) -> DataFrame:
@@ -183,7 +180,9 @@ def map_values(values: DataFrame, value: str, names: DataFrame, others: DataFram
 
     distinct = values.select(F.col(value).alias("value")).where("value is not null").distinct()
     unlisted = distinct.join(names.select(F.col(name).alias("value")).distinct(), "value", "left_anti")
-    return unlisted.repartition(F.col("value")).mapInPandas(match, "value string, id long, score double")
+    # As many tasks as set, however few bytes the values are: matching is work, not volume.
+    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return unlisted.repartition(tasks, F.col("value")).mapInPandas(match, "value string, id long, score double")
 
 
 def map_rows(df: DataFrame, row_key: str, value: str, names: DataFrame, others: DataFrame | None, key: str, name: str, other: str, **how) -> DataFrame:
