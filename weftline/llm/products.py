@@ -119,9 +119,9 @@ def _kinds(x: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def _weights(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(term, w) of the words of rows (g, words, numbers) and of the words before their numbers,
-    every two rows of a group g being a pair. n rows hold a term in a group of size m: n (n - 1)
-    ordered pairs share it, of n (m - 1) the first holds it."""
+    """(term, w) of the words of rows (g, words, numbers) and of the words
+    before their numbers, every two listings of a group g being a pair. n listings hold a term in a
+    group of m: n (n - 1) ordered pairs share it, of n (m - 1) the first holds it."""
     size = rows.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     rate = lambda both, one: (F.sum(both) / (F.sum(one) + DOUBT)).alias("w")
     one = F.col("n") * (F.col("m") - 1.0)
@@ -135,33 +135,46 @@ def _weights(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return words, numbers
 
 
-def _above(rows: DataFrame, words: DataFrame, numbers: DataFrame, least: float, least_number: float) -> tuple[DataFrame, DataFrame]:
-    """(key, words, numbers) of the rows' terms with at least these weights, and these terms (number, term)."""
-    above = cut(words.where(F.col("w") >= least).select(F.lit(False).alias("number"), "term").unionAll(numbers.where(F.col("w") >= least_number).select(F.lit(True), "term")))
+#: Terms that are tested row by row; more of them are joined.
+MANY = 20_000
+
+
+def _keep(rows: DataFrame, above: DataFrame) -> DataFrame:
+    """rows (key, g, words, numbers, ...) with only those words and numbers that are among the terms above (number, term)."""
+    if above.limit(MANY + 1).count() <= MANY:
+        terms = above.collect()
+        of = lambda number: ", ".join(f"{r['term']}L" for r in terms if r["number"] == number) or "null"
+        return rows.withColumns({"words": F.expr(f"filter(words, t -> t in ({of(False)}))"), "numbers": F.expr(f"filter(numbers, c -> c.before in ({of(True)}))")})
     each = F.concat(F.transform("words", lambda t: F.struct(F.lit(False).alias("number"), t.alias("term"), F.lit(0).cast("long").alias("value"))), F.transform("numbers", lambda c: F.struct(F.lit(True).alias("number"), c["before"].alias("term"), c["value"].alias("value"))))
     kept = rows.select("key", F.explode(each).alias("t")).select("key", "t.*").join(above, ["number", "term"], "left_semi")
     number = F.struct("value", F.col("term").alias("before"))
-    return kept.groupBy("key").agg(F.collect_list(F.when(~F.col("number"), F.col("term"))).alias("words"), F.collect_list(F.when(F.col("number"), number)).alias("numbers")), above
+    kept = kept.groupBy("key").agg(F.collect_list(F.when(~F.col("number"), F.col("term"))).alias("words"), F.collect_list(F.when(F.col("number"), number)).alias("numbers"))
+    joined = rows.drop("words", "numbers").join(kept, "key", "left")
+    return joined.withColumns({"words": F.coalesce("words", F.array().cast("array<bigint>")), "numbers": F.coalesce("numbers", F.array().cast("array<struct<value: bigint, before: bigint>>"))})
 
 
 def _telling(x: DataFrame, rounds: int, settled: float) -> tuple[DataFrame, DataFrame]:
-    """(key, kept) of rows (key, g, words, numbers), their terms of weight, and the weights (term, w).
-    A word that half of the pairs lack in the first turn isn't weighed again."""
-    words, numbers = _weights(x)
-    first = cut(words)
-    some, _ = _above(x, first, numbers, 0.5, 0.35)
-    rows = cut(x.select("key", "g").join(some, "key", "left").withColumns({"words": F.coalesce("words", F.array().cast("array<bigint>")), "numbers": F.coalesce("numbers", F.array().cast("array<struct<value: bigint, before: bigint>>"))}))
-    words, before = first, None
+    """(key, kept) of rows (key, g, words, numbers, strong), their terms of weight besides the
+    discriminative ones, and the weights (term, w). A word that half of the pairs lack in the
+    first turn isn't weighed again."""
+    above = lambda words, numbers, w, n: cut(words.where(F.col("w") >= w).select(F.lit(False).alias("number"), "term").unionAll(numbers.where(F.col("w") >= n).select(F.lit(True), "term")))
+    words, numbers = map(cut, _weights(x))
+    # Discriminative terms stand for the group itself: they part nothing in it.
+    strong = cut(x.select(F.explode("strong").alias("term")).distinct())
+    first, words = words, cut(words.join(strong, "term", "left_anti"))
+    rows = cut(_keep(x.drop("strong"), above(words, numbers, 0.5, 0.35)))
+    before = None
     for _ in range(rounds):
-        kept, now = _above(rows, words, numbers, TELLING, NUMBER)
-        kept = cut(kept.select("key", F.sort_array(F.array_distinct(F.concat("words", "numbers.value"))).alias("kept")))
+        now = above(words, numbers, TELLING, NUMBER)
+        kept = _keep(rows, now).select("key", F.sort_array(F.array_distinct(F.concat("words", "numbers.value"))).alias("kept"))
         if before is not None:
             moved = now.join(before, ["number", "term"], "left_anti").count() + before.join(now, ["number", "term"], "left_anti").count()
             if moved <= settled * max(1, now.count()):
                 break
         before = now
-        words, numbers = _weights(rows.join(kept, "key", "left").select(F.xxhash64("g", "kept").alias("g"), "words", "numbers"))
-        words, numbers = cut(words), cut(numbers)
+        part = _keep(rows.withColumns({"all": F.col("words"), "every": F.col("numbers")}), now)
+        part = part.select(F.xxhash64("g", F.sort_array("words"), F.sort_array("numbers.value")).alias("g"), F.col("all").alias("words"), F.col("every").alias("numbers"))
+        words, numbers = map(cut, _weights(part))
     else:
         warnings.warn(f"the terms of weight still move after {rounds} turns", stacklevel=2)
     return kept, first.join(words.withColumnRenamed("w", "now"), "term", "left").select("term", F.coalesce("now", "w").alias("w"))
@@ -192,21 +205,23 @@ def reinforce(records: DataFrame, start: DataFrame, threshold: float = 0.5, roun
     of = lambda c, side: F.transform(c, lambda t: F.struct(t.alias("term"), F.lit(side).alias("side")))
     terms = F.concat(of(F.array_except("p", "q"), "a"), of(F.array_except("q", "p"), "b"), of(F.array_intersect("p", "q"), "ab"))
     both = cut(both.select("a", "b", together.alias("m"), F.array_intersect(F.map_keys("m"), F.map_keys("o")).alias("shared"), terms.alias("terms")))
-    graph = cut(both.select("a", "b", "m", F.explode("terms").alias("t")).select("a", "b", "m", "t.*"))
+    differ = F.filter("terms", lambda t: t["side"] != "ab")
+    apart = cut(both.select("a", "b", F.explode(differ).alias("t")).select("a", "b", "t.*"))
     alone = F.aggregate(F.map_values("n"), F.lit(0.0), lambda s, v: s + v * (v - 1.0))
     own = cut(records.select(F.explode("terms").alias("term"), alone.alias("same")).groupBy("term").agg(F.sum("same").alias("same")))
 
     def scores(weights: DataFrame) -> DataFrame:
-        w = graph.join(weights, "term", "left").withColumn("w", F.coalesce("w", F.lit(1.0)))
+        w = apart.join(weights, "term", "left").withColumn("w", F.coalesce("w", F.lit(1.0)))
         loss = lambda s: F.coalesce(F.max(F.when(F.col("side") == s, F.col("w"))), F.lit(0.0))
         more = lambda s: F.collect_list(F.when((F.col("side") == s) & (F.col("w") >= threshold), F.col("term")))
-        return w.groupBy("a", "b", "m").agg((1 - F.least(loss("a"), loss("b"))).alias("score"), more("a").alias("more_a"), more("b").alias("more_b"))
+        return w.groupBy("a", "b").agg((1 - F.least(loss("a"), loss("b"))).alias("score"), more("a").alias("more_a"), more("b").alias("more_b"))
 
     weights = start
     for _ in range(rounds):
-        at = graph.where("m > 0").join(scores(weights).where(F.col("score") >= threshold).select("a", "b", "score"), ["a", "b"])
-        mass = F.col("score") * F.col("m")
-        sums = at.groupBy("term").agg(F.sum(F.when(F.col("side") == "ab", 2 * mass).otherwise(0.0)).alias("both"), F.sum(F.when(F.col("side") == "ab", 2 * mass).otherwise(mass)).alias("one"))
+        at = both.where("m > 0").join(scores(weights).where(F.col("score") >= threshold).select("a", "b", "score"), ["a", "b"])
+        at = at.select((F.col("score") * F.col("m")).alias("mass"), F.explode("terms").alias("t")).select("mass", "t.*")
+        shared = F.col("side") == "ab"
+        sums = at.groupBy("term").agg(F.sum(F.when(shared, 2 * F.col("mass")).otherwise(0.0)).alias("both"), F.sum(F.when(shared, 2 * F.col("mass")).otherwise(F.col("mass"))).alias("one"))
         all_ = own.join(sums, "term", "left").fillna(0.0, ["both", "one"])
         new = cut(all_.select("term", ((F.col("both") + F.col("same")) / (F.col("one") + F.col("same") + DOUBT)).alias("w")))
         moved = new.join(weights.withColumnRenamed("w", "old"), "term", "left").agg(F.sum(F.abs(F.col("w") - F.coalesce("old", F.lit(1.0)))) / F.sum("w")).first()[0]
@@ -215,7 +230,7 @@ def reinforce(records: DataFrame, start: DataFrame, threshold: float = 0.5, roun
             break
     else:
         warnings.warn(f"the weights still move by {moved:.3f} after {rounds} turns", stacklevel=2)
-    return scores(weights).where(F.col("score") >= threshold).drop("m").join(both.select("a", "b", "shared"), ["a", "b"])
+    return scores(weights).where(F.col("score") >= threshold).join(both.select("a", "b", "shared"), ["a", "b"])
 
 
 def _links(matches: DataFrame) -> DataFrame:
@@ -299,7 +314,7 @@ def same_product(listings: DataFrame, prices: DataFrame | None = None, rounds: i
     x = x.join(best, "key", "left").withColumn("anchor", F.coalesce("anchor", "key")).join(_kinds(x, words), "key", "left")
     x = x.withColumn("strong", F.array_distinct(F.concat(F.coalesce("strong", F.array().cast("array<bigint>")), F.array("anchor")))).withColumn("kind", F.coalesce("subgroup", "kind", F.lit("")))
     x = cut(x.drop("maker", "subgroup"))
-    kept, words = _telling(x.select("key", F.xxhash64("kind", "anchor", "base", "whole").alias("g"), "words", "numbers"), rounds, settled)
+    kept, words = _telling(x.select("key", F.xxhash64("kind", "anchor", "base", "whole").alias("g"), "words", "numbers", "strong"), rounds, settled)
     held = x.drop("words", "numbers", "anchor").join(kept, "key", "left")
     held = held.withColumn("terms", F.sort_array(F.array_distinct(F.concat("strong", F.coalesce("kept", F.array().cast("array<bigint>"))))))
     held = cut(held.withColumn("rid", F.xxhash64("kind", "terms")).drop("kept", "key"))
