@@ -1,21 +1,25 @@
 """Quantities recorded in different units, brought to ml, g or pcs.
 
-A size is read, in this order, from the label where that states a quantity, from size and
-label, and from the text of the product. Where the unit is missing, the size's logarithm
-is held against a mixture: the known log sizes of its category give a normal component
-for each base unit, shifted by the logarithm of every known conversion factor; weights
-are fitted by expectation maximisation, the unit is the likeliest component, and
-`uncertain` flags a posterior below the threshold.
+A size with a readable unit is read from the label where that states a quantity, else from
+size and label; a row without a size is read from the text of the product. A size without a
+unit is assigned one by a mixture: its logarithm is held against the known log sizes of its
+category - a normal component for each base unit, shifted by the logarithm of every known
+conversion factor - and, where there is a price, the log price per base unit likewise. Weights of
+the components are fitted by expectation maximisation, the unit is the likeliest component, and
+`uncertain` flags a posterior below the threshold. Where the text states a content as well,
+it is the exact check: an assignment it bears out is certain (way `mixture`), another gives
+way to it (way `text`).
 
 Defined results: a null or NaN size counts as missing; sizes of 0 or less give no
-quantity; a row from which nothing can be told is left out; repeated rows count once;
-price_base is 0 where a price is null, NaN or the product's price is 0; very long texts
-are searched whole; an empty table gives no rows.
+quantity; rows of a null category form one; a row from which nothing can be told is left out; repeated
+rows count once; price_base is 0 where a price is null, NaN or the product's price is 0; very long
+texts are searched whole; an empty table gives no rows; weights that don't settle raise a warning.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -48,46 +52,56 @@ def read_quantity(size: float | None, label: str | None, text: str | None) -> tu
 
 
 def _read_rows(size: pd.Series, label: pd.Series, text: pd.Series) -> pd.DataFrame:
-    rows = [read_quantity(a if a == a else None, b, c) or (None, None, None) for a, b, c in zip(size, label, text, strict=True)]
-    return pd.DataFrame(rows, columns=["base", "size", "way"])
+    rows = []
+    for a, b, c in zip(size, label, text, strict=True):
+        short = folded(b) if b else ""
+        open_ = a == a and a is not None and not stated(short) and not unit_of(short)
+        rows.append((*(read_quantity(a if a == a else None, b, c) or (None, None, None)), open_))
+    return pd.DataFrame(rows, columns=["base", "size", "way", "open"])
 
 
-def unit_mixture(known: DataFrame, unknown: DataFrame, rounds: int = 10) -> DataFrame:
-    """Rows of `unknown` (id, category, size) with (base, factor, posterior).
+def unit_mixture(known: DataFrame, unknown: DataFrame, rounds: int = 50) -> DataFrame:
+    """Rows of `unknown` (id, category, size, price) with (base, factor, posterior).
 
-    known: (category, base, size in base units). Sums over rows are all that is kept
+    known: (category, base, size in base units, price). Sums over rows are all that is kept
     between rounds, so each round is one aggregation of `unknown` with the few components.
     """
-    x = known.where("size > 0").withColumn("x", F.log("size"))
-    shape = x.groupBy("category", "base").agg(F.avg("x").alias("mu"), F.greatest(F.coalesce(F.stddev_samp("x"), F.lit(0.5)), F.lit(0.25)).alias("sd"), F.count(F.lit(1)).alias("n"))
-    share = F.col("n") / F.sum("n").over(Window.partitionBy("category"))
-    shape = shape.select("category", "base", "mu", "sd", share.alias("prior"))
-    factors = [(b, f) for b, f in dict.fromkeys(UNITS.values())]
+    name = F.coalesce("category", F.lit("")).alias("category")
+    x = known.where("size > 0").select(name, "base", F.log("size").alias("x"), F.when(F.col("price") > 0, F.log(F.col("price") / F.col("size"))).alias("y"))
+    spread = lambda c: F.greatest(F.coalesce(F.stddev_samp(c), F.lit(0.5)), F.lit(0.25))
+    shape = x.groupBy("category", "base").agg(F.avg("x").alias("mu"), spread("x").alias("sd"), F.avg("y").alias("mu_y"), spread("y").alias("sd_y"), F.count(F.lit(1)).alias("n"))
+    shape = shape.withColumn("prior", F.col("n") / F.sum("n").over(Window.partitionBy("category"))).drop("n")
+    factors = list(dict.fromkeys(UNITS.values()))
     unit_rows = F.explode(F.array(*(F.struct(F.lit(b).alias("base"), F.lit(f).alias("factor"), F.lit(i).alias("part")) for i, (b, f) in enumerate(factors)))).alias("u")
-    parts = unknown.where("size > 0").select("id", "category", "size", unit_rows).select("id", "category", "size", "u.*").join(F.broadcast(shape), ["category", "base"])
-    z = (F.log(F.col("size") * F.col("factor")) - F.col("mu")) / F.col("sd")
-    parts = cut(parts.withColumn("like", F.exp(-z * z / 2) / F.col("sd") * F.col("prior")))
+    parts = unknown.where("size > 0").select("id", name, "size", "price", unit_rows).select("id", "category", "size", "price", "u.*").join(shape, ["category", "base"])
+    whole = F.col("size") * F.col("factor")
+    z = (F.log(whole) - F.col("mu")) / F.col("sd")
+    zy = (F.log(F.col("price") / whole) - F.col("mu_y")) / F.col("sd_y")
+    priced = F.when((F.col("price") > 0) & F.col("mu_y").isNotNull(), F.exp(-zy * zy / 2) / F.col("sd_y")).otherwise(F.lit(1.0))
+    parts = cut(parts.withColumn("like", F.exp(-z * z / 2) / F.col("sd") * F.col("prior") * priced))
     weight = {i: 1.0 / len(factors) for i in range(len(factors))}
     for _ in range(rounds):
         w = F.col("like") * F.create_map(*(F.lit(v) for kv in weight.items() for v in kv))[F.col("part")]
-        p = parts.select("part", (w / F.sum(w).over(Window.partitionBy("id", "size"))).alias("p"))
+        p = parts.select("part", F.try_divide(w, F.sum(w).over(Window.partitionBy("id", "size"))).alias("p"))
         sums = {r["part"]: r["s"] or 0.0 for r in p.groupBy("part").agg(F.sum("p").alias("s")).collect()}  # one row a component
         total = sum(sums.values())
         if not total:
             break
         new = {i: (sums.get(i, 0.0) + 0.01) / (total + 0.01 * len(factors)) for i in weight}
-        done = max(abs(math.log(new[i] / weight[i])) for i in weight) < 1e-3
+        done = max(abs(math.log(new[i] / weight[i])) for i in weight) < 1e-2
         weight = new
         if done:
             break
+    else:
+        warnings.warn(f"the weights of units still move after {rounds} rounds", stacklevel=2)
     w = F.col("like") * F.create_map(*(F.lit(v) for kv in weight.items() for v in kv))[F.col("part")]
-    best = parts.withColumn("posterior", w / F.sum(w).over(Window.partitionBy("id", "size")))
+    best = parts.withColumn("posterior", F.try_divide(w, F.sum(w).over(Window.partitionBy("id", "size"))))
     top = F.max_by(F.struct("base", "factor", "posterior"), F.struct("posterior", -F.col("part"))).alias("b")
     return best.groupBy("id", "size").agg(top).select("id", "size", "b.*")
 
 
-def to_common_units(df: DataFrame, key: str, size: str, label: str, text: str, category: str, price: str, unit_price: str, sure: float = 0.95) -> DataFrame:
-    """Rows (key, base_unit, base_size DOUBLE, price_base BIGINT, way, posterior, uncertain)."""
+def _rows(df: DataFrame, key: str, size: str, label: str, text: str, category: str, price: str, unit_price: str) -> tuple[DataFrame, DataFrame]:
+    """Rows told by label or text, and those of a size without a unit; a: (base, size, way)."""
     s = _real(F.col(size))
     src = df.select(F.col(key).alias("id"), s.alias("size"), F.col(label).alias("label"), F.col(text).alias("text"), F.col(category).alias("category"), _real(F.col(price)).alias("price"), _real(F.col(unit_price)).alias("unit_price"))
     src = src.withColumn("size", F.when(F.col("size") > 0, F.col("size")))
@@ -95,18 +109,51 @@ def to_common_units(df: DataFrame, key: str, size: str, label: str, text: str, c
     columns = ["id", "category", "size", "label", "price", "unit_price"]
     told_exact = src.where(exact).select(*columns, F.struct(F.col("label").alias("base"), F.col("size"), F.lit("exact").alias("way")).alias("a"))
     # Only the other rows' texts are read and sent to Python.
-    read = src.where(~exact).select(*columns, F.pandas_udf(_read_rows, "base string, size double, way string")("size", "label", "text").alias("a"))
-    read = cut(read.withColumn("a", F.when(F.col("a.base").isNotNull(), F.col("a"))))
-    out = told_exact.unionByName(read)
-    known = told_exact.select("category", F.col("a.base").alias("base"), "size")
-    lost = read.where("a is null and size is not null").distinct()
-    guessed = unit_mixture(known, lost.select("id", "category", "size"))
-    guessed = guessed.select("id", "size", F.struct("base", (F.col("size") * F.col("factor")).alias("size"), F.lit("mixture").alias("way")).alias("a"), "posterior")
-    rest = lost.drop("a").join(guessed, ["id", "size"]).select("id", "label", "price", "unit_price", "size", "a", "posterior")
-    sure_rows = out.where("a is not null").select("id", "label", "price", "unit_price", "size", "a", F.lit(1.0).alias("posterior"))
-    both = sure_rows.unionByName(rest)
+    read = src.where(~exact).select(*columns, F.pandas_udf(_read_rows, "base string, size double, way string, open boolean")("size", "label", "text").alias("a"))
+    read = cut(read.select(*columns, F.when(F.col("a.base").isNotNull(), F.struct("a.base", "a.size", "a.way")).alias("a"), F.col("a.open").alias("open")))
+    return told_exact.unionByName(read.where("not open and a is not null").drop("open")), read.where("open").drop("open")
+
+
+def _known(told: DataFrame) -> DataFrame:
+    return told.where("a.way = 'exact'").select("category", F.col("a.base").alias("base"), F.col("a.size").alias("size"), "price")
+
+
+def to_common_units(df: DataFrame, key: str, size: str, label: str, text: str, category: str, price: str, unit_price: str, sure: float = 0.95) -> DataFrame:
+    """Rows (key, base_unit, base_size DOUBLE, price_base BIGINT, way, posterior, uncertain)."""
+    told, bare = _rows(df, key, size, label, text, category, price, unit_price)
+    bare = cut(bare.distinct())
+    guessed = unit_mixture(_known(told), bare.groupBy("id", "size").agg(F.max("category").alias("category"), F.max("price").alias("price")))
+    guessed = guessed.select("id", "size", "base", "factor", "posterior")
+    both = bare.join(guessed, ["id", "size"], "left").where("a is not null or base is not null")
+    whole = F.col("size") * F.col("factor")
+    borne_out = F.coalesce((F.col("base") == F.col("a.base")) & (F.abs(whole / F.col("a.size") - 1) < 0.03), F.lit(False))
+    way = F.when(F.col("a").isNull() | borne_out, "mixture").otherwise("text")
+    chosen = F.struct(F.coalesce("a.base", "base").alias("base"), F.coalesce("a.size", whole).alias("size"), way.alias("way"))
+    certain = F.when(F.col("a").isNull(), F.col("posterior")).otherwise(F.lit(1.0))
+    columns = ["id", "label", "price", "unit_price", "size"]
+    out = told.select(*columns, "a", F.lit(1.0).alias("posterior")).unionByName(both.select(*columns, chosen.alias("a"), certain.alias("posterior")))
     whole_size = F.round(F.col("a.size"))
     base = F.when(F.col("price").isNull() | F.col("unit_price").isNull() | (F.col("price") == 0), F.lit(0.0)).otherwise(F.round(F.col("unit_price") * whole_size / F.nullif(F.col("price"), F.lit(0.0))))
-    return both.select(
+    return out.select(
         F.col("id").alias(key), F.col("label").alias("_label"), F.col("size").alias("_size"), F.col("a.base").alias("base_unit"), whole_size.cast("long").alias("base_size"), base.cast("long").alias("price_base"), F.col("a.way").alias("way"), "posterior", (F.col("posterior") < sure).alias("uncertain")
     )
+
+
+def masked_units(df: DataFrame, key: str, size: str, label: str, text: str, category: str, price: str, sure: float = 0.95) -> DataFrame:
+    """How well the mixture tells units that are known: rows (category, unit, n, base_right,
+    unit_right, n_sure, sure_right). Each row whose label is a known unit is put to the mixture
+    with its size and price only; its own part in its category's shape is one row of it."""
+    told, _ = _rows(df, key, size, label, text, category, price, price)
+    labels = told.where("size is not null and label is not null").select("id", "category", "size", "price", F.pandas_udf(_unit_of_label, "base string, factor double")("label").alias("of")).where("of.base is not null").distinct()
+    labels = cut(labels.groupBy("id", "size").agg(F.max("category").alias("category"), F.max("price").alias("price"), F.max("of").alias("of")))
+    got = unit_mixture(_known(told), labels.select("id", "category", "size", "price")).join(labels.select("id", "size", "category", "of"), ["id", "size"])
+    same_base = (F.col("base") == F.col("of.base")).cast("int")
+    same = ((F.col("base") == F.col("of.base")) & (F.col("factor") == F.col("of.factor"))).cast("int")
+    is_sure = (F.col("posterior") >= sure).cast("int")
+    unit = F.concat_ws(" x ", F.col("of.factor").cast("string"), "of.base")
+    return got.groupBy("category", unit.alias("unit")).agg(F.count(F.lit(1)).alias("n"), F.sum(same_base).alias("base_right"), F.sum(same).alias("unit_right"), F.sum(is_sure).alias("n_sure"), F.sum(is_sure * same).alias("sure_right"))
+
+
+def _unit_of_label(label: pd.Series) -> pd.DataFrame:
+    units = [unit_of(folded(x)) or (None, None) for x in label]
+    return pd.DataFrame(units, columns=["base", "factor"])

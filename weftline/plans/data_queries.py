@@ -21,5 +21,17 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return x.where(~F.coalesce(plain, F.lit(False))).select("export_id", "base_unit", "base_size", "price_base").distinct()
 
 
-QUERIES = {"p6_found": p6_found}
+def p6_ways(spark: SparkSession, d: str) -> DataFrame:
+    """How many rows each way of telling the unit decides, and how many of them are uncertain."""
+    x = _common(spark, d).select("export_id", "way", "uncertain", "base_unit").distinct()
+    return x.groupBy("way", "base_unit").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("uncertain").cast("int")).alias("n_uncertain"))
+
+
+def p6_masked(spark: SparkSession, d: str) -> DataFrame:
+    """The mixture graded on rows whose unit is known but kept from it."""
+    e = table(spark, d, "export_llm_data")
+    return units.masked_units(e, "export_id", "own_size", "own_unit_label", "own_product", "main_category", "own_price_thb")
+
+
+QUERIES = {"p6_found": p6_found, "p6_ways": p6_ways, "p6_masked": p6_masked}
 SQL: dict[str, str] = {}
