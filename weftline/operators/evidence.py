@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.text import norm
+from weftline.operators.ranking import running
 
 #: Floors of the durability bands (fixed values).
 BANDS = ((90, "durable"), (70, "likely_durable"), (55, "leaning_durable"), (40, "undetermined"), (25, "leaning_fad"), (0, "likely_fad"))
@@ -119,10 +120,11 @@ def number_by_first_use(df: DataFrame, key: str, item: str, position: str) -> Da
 
 def auc(df: DataFrame, groups: list[str], score: str, label: str) -> DataFrame:
     """Chance that a positive scores above a negative, by average ranks; null for one class only."""
-    by = Window.partitionBy(*groups)
-    rank = F.rank().over(by.orderBy(score)) + (F.count(F.lit(1)).over(Window.partitionBy(*groups, score)) - 1) / 2
-    x = df.withColumns({"_r": rank, "_y": F.col(label).cast("int")})
-    g = x.groupBy(*groups).agg(F.sum(F.when(F.col("_y") == 1, F.col("_r"))).alias("_s"), F.sum("_y").alias("_p"), F.sum(1 - F.col("_y")).alias("_n"))
+    y = F.col(label).cast("int")
+    x = df.groupBy(*groups, F.col(score).alias("_v")).agg(F.sum(y).alias("_y"), F.count(F.lit(1)).alias("_c"), F.sum(1 - y).alias("_o"))
+    x = running(x, groups, [F.col("_v").asc_nulls_first()], "_c", "_upto")
+    rank = F.col("_upto") - F.col("_c") + 1 + (F.col("_c") - 1) / 2
+    g = x.groupBy(*groups).agg(F.sum(F.col("_y") * rank).alias("_s"), F.sum("_y").alias("_p"), F.sum("_o").alias("_n"))
     value = (F.col("_s") - F.col("_p") * (F.col("_p") + 1) / 2) / F.nullif(F.col("_p") * F.col("_n"), F.lit(0)).cast("double")
     return g.select(*groups, F.round(value, 6).alias("auc"))
 
@@ -130,7 +132,7 @@ def auc(df: DataFrame, groups: list[str], score: str, label: str) -> DataFrame:
 def round_robin(df: DataFrame, list_no: str, position: str, url: str) -> DataFrame:
     """Several ranked lists merged turn by turn, each address once; place from 1."""
     first = df.withColumn("_k", F.row_number().over(Window.partitionBy(url).orderBy(position, list_no))).where("_k = 1").drop("_k")
-    return first.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(position, list_no)))
+    return running(first, [], [position, list_no], None, "place").withColumn("place", F.col("place").cast("int"))
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.functions.semantics import cagr_pct, grade, log_growth, pct_change, pct_rank_avg, status
+from weftline.functions.semantics import cagr_pct, grade, log_growth, pct_change, status
+from weftline.operators.ranking import average_rank, running
 
 #: 80 % band of each year ahead (fixed values).
 BAND_80 = {1: (-0.10, 0.12), 2: (-0.15, 0.19), 3: (-0.21, 0.26), 4: (-0.25, 0.35), 5: (-0.27, 0.48)}
@@ -20,8 +21,8 @@ def scores(kw: DataFrame, years: tuple[int, ...] = (1, 2, 3, 4, 5), blend: bool
         x = x.withColumn("_p", F.when(ok, F.col(f"pred_y{h}")))
         if blend:
             x = x.withColumn("_m", F.when(ok, F.col("momentum")))
-            x = x.withColumns({"_pp": pct_rank_avg("_p"), "_mp": pct_rank_avg("_m")}).withColumn("_p", (F.col("_pp") + F.col("_mp")) / 2).drop("_pp", "_mp", "_m")
-        x = x.withColumn(f"score_y{h}", pct_rank_avg("_p")).drop("_p")
+            x = average_rank(average_rank(x, [], "_p", "_pp"), [], "_m", "_mp").withColumn("_p", (F.col("_pp") + F.col("_mp")) / 2).drop("_pp", "_mp", "_m")
+        x = average_rank(x, [], "_p", f"score_y{h}").drop("_p")
     return x
 
 
@@ -57,9 +58,9 @@ def roll_up(kw: DataFrame, mapping: DataFrame, key: str, group: str, years: tupl
         # Rank of a few hundred groups among all keywords: counts by joining on the ordered union, not on pairs.
         pool = market.where(F.col(f"pred_y{h}").isNotNull()).select(F.col(f"pred_y{h}").alias("_v"), F.lit(1).alias("_k"))
         both = pool.unionByName(g.where("_g is not null").select(F.col("_g").alias("_v"), F.lit(0).alias("_k")))
-        at = both.groupBy("_v").agg(F.sum("_k").alias("_same"))
-        less = F.coalesce(F.sum("_same").over(Window.partitionBy(F.lit(0)).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        share = (less + F.col("_same") / 2) / F.sum("_same").over(Window.partitionBy(F.lit(0)))
+        at = running(both.groupBy("_v").agg(F.sum("_k").alias("_same")), [], ["_v"], "_same", "_upto")
+        at = at.crossJoin(F.broadcast(at.agg(F.sum("_same").alias("_all"))))  # one row
+        share = (F.col("_upto") - F.col("_same") / 2) / F.col("_all")
         at = at.select(F.col("_v").alias("_g"), F.round(share, 4).alias(f"score_y{h}"))
         g = g.join(at, "_g", "left").drop("_g").withColumn(f"grade_y{h}", grade(F.col(f"score_y{h}")))
     g = g.withColumns({"past_growth_pct": pct_change(F.col("_last12_mean"), F.col("_prev12_mean")), "recent_change_pct": pct_change(F.col("_recent_mean"), F.col("_year_ago_mean"))})

@@ -13,6 +13,8 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.operators.ranking import average_rank
+
 BASE = ["growth_past_12m", "growth_past_6m", "growth_past_3m", "slope_24m", "level_vs_peak", "volatility_12m", "pct_nonzero_24m", "z_now", "months_since_first_search", "yoy_3m", "yoy_6m", "accel_12m"]
 LONG = [*BASE, "growth_past_36m", "years_up_of_5", "slope_60m"]
 
@@ -58,10 +60,8 @@ def walk_forward(samples: DataFrame, year: int, end: int, cutoffs: list[str], tr
 
 def spearman(df: DataFrame, groups: list[str], a: str, b: str) -> DataFrame:
     """Rank correlation with average ranks."""
-    by = Window.partitionBy(*groups)
-    rank = lambda c: F.rank().over(by.orderBy(c)) + (F.count(F.lit(1)).over(Window.partitionBy(*groups, c)) - 1) / 2
     x = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    return x.withColumns({"_a": rank(a).cast("double"), "_b": rank(b).cast("double")}).groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.round(F.corr("_a", "_b"), 6).alias("spearman"))
+    return average_rank(average_rank(x, groups, a, "_a"), groups, b, "_b").groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.round(F.corr("_a", "_b"), 6).alias("spearman"))
 
 
 def holt_winters(y: np.ndarray, ahead: int, season: int = 12) -> np.ndarray:

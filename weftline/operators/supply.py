@@ -6,24 +6,41 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.semantics import canonical_tier, pool_size, tier_of
+from weftline.operators.ranking import average_rank, running, with_total
 
 
 def rank_in(df: DataFrame, groups: list[str], score: str, key: str, name: str = "rank") -> DataFrame:
     """Rank by score, best first, nulls last, ids break ties."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*groups).orderBy(F.col(score).desc_nulls_last(), key)))
+    return running(df, groups, [F.col(score).desc_nulls_last(), key], None, name)
 
 
 def top_per_group(df: DataFrame, groups: list[str], score: str, key: str, k: int) -> DataFrame:
     """The first k of each group; Spark cuts each task to k rows a group before the shuffle."""
-    return rank_in(df, groups, score, key).where(F.col("rank") <= k)
+    rank = F.row_number().over(Window.partitionBy(*groups).orderBy(F.col(score).desc_nulls_last(), key))
+    return df.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 def percentile_at_most(df: DataFrame, groups: list[str], score: str) -> DataFrame:
-    """Percent of the group's scores that are at most this one, one decimal; 50 in a group of one."""
-    by = Window.partitionBy(*groups)
-    n = F.count(score).over(by)
-    p = F.count(score).over(by.orderBy(score).rangeBetween(Window.unboundedPreceding, 0)) / n * 100
-    return df.where(F.col(score).isNotNull()).withColumn("percentile", F.when(n <= 1, 50.0).otherwise(F.round(p, 1)))
+    """Percent of the group's scores that are at most this one, one decimal; 50 in a group of
+    one. Counts run over distinct scores."""
+    x = df.where(F.col(score).isNotNull())
+    per = running(x.groupBy(*groups, F.col(score).alias("_v")).agg(F.count(F.lit(1)).alias("_c")), groups, ["_v"], "_c", "_upto")
+    per = with_total_of(per, groups, "_c", "_n")
+    same = F.col(score) == F.col("_v")
+    for i, g in enumerate(groups):
+        per = per.withColumnRenamed(g, f"_g{i}")
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    out = x.join(per, same).withColumn("percentile", F.when(F.col("_n") <= 1, 50.0).otherwise(F.round(F.col("_upto") / F.col("_n") * 100, 1)))
+    return out.drop("_v", "_c", "_upto", "_n", *(f"_g{i}" for i in range(len(groups))))
+
+
+def with_total_of(df: DataFrame, groups: list[str], size: str, name: str) -> DataFrame:
+    """df with the sum of size of its group, by a join with the group's sum; null groups are groups."""
+    n = df.groupBy(*(F.col(g).alias(f"_t{i}") for i, g in enumerate(groups))).agg(F.sum(size).alias(name))
+    same = F.lit(True)
+    for i, g in enumerate(groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"_t{i}"))
+    return df.join(n, same).drop(*(f"_t{i}" for i in range(len(groups))))
 
 
 def opportunity(percentile: Column) -> Column:
@@ -43,15 +60,22 @@ def price_cuts(df: DataFrame, groups: list[str], value: str, tiers: int, between
     gathered: a value that repeats a million times is one row.
     """
     c = df.where(F.col(value).isNotNull()).groupBy(*groups, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    by = Window.partitionBy(*groups)
-    c = c.withColumns({"_cum": F.sum("_c").over(by.orderBy("_v")), "_n": F.sum("_c").over(by), "_top": F.max("_v").over(by), "_next": F.lead("_v").over(by.orderBy("_v"))})
+    of = [F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)]
+    same = F.lit(True)
+    for i, g in enumerate(groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    c = running(c, groups, ["_v"], "_c", "_cum")
+    c = c.join(c.groupBy(*of).agg(F.sum("_c").alias("_n"), F.max("_v").alias("_top")), same).drop(*(f"_g{i}" for i in range(len(groups))))
     k = F.greatest(F.lit(1), F.least(F.lit(tiers), F.floor(F.col("_n") / 2))) if between else F.lit(tiers)
     c = c.withColumn("_k", k.cast("int"))
     at = c.withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(max(1, tiers - 1))))).where(F.col("_i") < F.col("_k"))
     at = at.withColumn("_j", F.rint(F.col("_n") * F.col("_i") / F.col("_k"))).where("_j > 0 and _j < _n and _cum >= _j and _cum - _c < _j")
-    nxt = F.when(F.col("_cum") > F.col("_j"), F.col("_v")).otherwise(F.col("_next"))
-    cut = (F.col("_v") + nxt) / 2 if between else F.col("_v")
-    lines = at.withColumn("_cut", cut).where("_cut < _top").groupBy(*groups).agg(F.array_sort(F.collect_set("_cut")).alias("cuts"))
+    line = F.col("_v")
+    if between:  # the next value is the one whose running count begins where this one's ends
+        after = c.select(*of, F.col("_v").alias("_next"), (F.col("_cum") - F.col("_c")).alias("_from"))
+        at = at.join(after, same & (F.col("_cum") == F.col("_from")), "left").drop(*(f"_g{i}" for i in range(len(groups))))
+        line = (F.col("_v") + F.when(F.col("_cum") > F.col("_j"), F.col("_v")).otherwise(F.col("_next"))) / 2
+    lines = at.withColumn("_cut", line).where("_cut < _top").groupBy(*groups).agg(F.array_sort(F.collect_set("_cut")).alias("cuts"))
     sizes = c.groupBy(*groups).agg(F.first("_n").alias("n_values"))
     return sizes.join(lines, groups, "left").withColumn("cuts", F.coalesce("cuts", F.array().cast("array<double>")))
 
@@ -76,7 +100,7 @@ def unit_tiers(df: DataFrame, levels: list[str], value: str, size: str, tiers: i
     """
     ok = df.where(F.col(value).isNotNull())
     for lv in levels:
-        ok = ok.withColumn(f"_n_{lv}", F.count(F.lit(1)).over(Window.partitionBy(lv)))
+        ok = with_total(ok, [lv], f"_n_{lv}")
     level = F.coalesce(*(F.when(F.col(lv).isNotNull() & (F.col(f"_n_{lv}") >= least), F.lit(lv)) for lv in levels[:-1]), F.lit(levels[-1]))
     ok = ok.withColumn("cohort_level", level)
     name = F.coalesce(*(F.when(F.col("cohort_level") == lv, F.concat_ws(":", F.lit(lv), F.col(lv))) for lv in levels))
@@ -89,8 +113,8 @@ def unit_tiers(df: DataFrame, levels: list[str], value: str, size: str, tiers: i
     members = members.join(ok.select("cohort").distinct(), "cohort", "left_semi")
     median = members.groupBy("cohort").agg((F.median("_s") * mini).alias("_line"))
     members = members.join(median, "cohort").withColumn("_mini", F.coalesce(F.col("_s") < F.col("_line"), F.lit(False)))
-    rest = F.sum((~F.col("_mini")).cast("int")).over(Window.partitionBy("cohort"))
-    cuts = price_cuts(members.withColumn("_use", F.when((~F.col("_mini")) | (rest < tiers), F.col("_v"))), ["cohort"], "_use", tiers)
+    rest = members.groupBy("cohort").agg(F.sum((~F.col("_mini")).cast("int")).alias("_rest"))
+    cuts = price_cuts(members.join(rest, "cohort").withColumn("_use", F.when((~F.col("_mini")) | (F.col("_rest") < tiers), F.col("_v"))), ["cohort"], "_use", tiers)
     out = ok.join(cuts, "cohort", "left").join(median, "cohort", "left")
     raw = tier_of(F.col(value), F.col("cuts"))
     return out.withColumns({"is_mini_size": F.coalesce(F.col(size) < F.col("_line"), F.lit(False)), "unit_tier": canonical_tier(raw, F.size("cuts") + 1, tiers)}).drop("_line")
@@ -111,27 +135,20 @@ def sales_level(df: DataFrame, groups: list[str], sold: str, reviews: str, least
     """Sales percentile within (group, tier): average rank of sold counts; rows without one
     take the mid rank of their reviews among the reviews of rows with one; pools under
     `least` are unknown."""
-    by = Window.partitionBy(*groups)
     has = F.col(sold).isNotNull()
-    n = F.count(sold).over(by)
-    rank = F.rank().over(by.orderBy(F.col(sold).asc_nulls_last()))
-    ties = F.count(F.lit(1)).over(Window.partitionBy(*groups, sold))
-    direct = F.when(has, (rank + (ties - 1) / 2).cast("double") / n)
+    x = average_rank(with_total(df, groups, "_have", F.col(sold)), groups, sold, "_direct").withColumn("_k", has.cast("int"))
     # Rows with counts on the review scale: running counts over distinct values.
-    x = df.withColumns({"_n": n, "_direct": direct, "_k": has.cast("int")})
     per = x.where(F.col(reviews).isNotNull()).groupBy(*groups, reviews).agg(F.sum("_k").alias("_same"))
-    less = F.coalesce(F.sum("_same").over(by.orderBy(reviews).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = F.sum("_same").over(by)
-    per = per.withColumn("_mid", F.when(total > 0, (less + F.col("_same") / 2) / F.nullif(total, F.lit(0)))).drop("_same")
+    per = with_total_of(running(per, groups, [reviews], "_same", "_upto"), groups, "_same", "_all")
+    per = per.withColumn("_mid", F.when(F.col("_all") > 0, (F.col("_upto") - F.col("_same") / 2) / F.nullif(F.col("_all"), F.lit(0)))).drop("_same", "_upto", "_all")
     x = x.join(per, [*groups, reviews], "left")
-    level = F.when(F.col("_n") >= least, F.coalesce("_direct", "_mid"))
-    return x.withColumns({"sales_percentile": F.round(level, 6), "estimated": (~has) & level.isNotNull()}).drop("_n", "_direct", "_k", "_mid")
+    level = F.when(F.col("_have") >= least, F.coalesce("_direct", "_mid"))
+    return x.withColumns({"sales_percentile": F.round(level, 6), "estimated": (~has) & level.isNotNull()}).drop("_have", "_direct", "_k", "_mid")
 
 
 def pool_of(df: DataFrame, trend: str, score: str, key: str, share: float = 0.01) -> DataFrame:
     """Each trend's best 1 % (half-even, at least 1 row) with ranks."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(trend))
-    return rank_in(df.withColumn("_n", n), [trend], score, key).where(F.col("rank") <= pool_size(F.col("_n"), share)).drop("_n")
+    return rank_in(with_total(df, [trend], "_n"), [trend], score, key).where(F.col("rank") <= pool_size(F.col("_n"), share)).drop("_n")
 
 
 def category_breakdown(df: DataFrame, trend: str, category: str, score: str, key: str, share: float = 0.01, n_categories: int = 4, least: int = 3) -> DataFrame:
@@ -155,7 +172,7 @@ def category_fit(df: DataFrame, trend: str, category: str, brand: str, score: st
     """Every product's tier within (trend, category) and its ranks in the category and the tier."""
     x = assign_tiers(df, [trend, category], price, tiers).where(F.col("tier").isNotNull())
     x = rank_in(x, [trend, category], score, key, "category_rank")
-    return rank_in(x, [trend, category, "tier"], score, key, "tier_rank").withColumn("tier_size", F.count(F.lit(1)).over(Window.partitionBy(trend, category, "tier")))
+    return with_total(rank_in(x, [trend, category, "tier"], score, key, "tier_rank"), [trend, category, "tier"], "tier_size")
 
 
 def brand_best(fit: DataFrame, trend: str, category: str, brand: str) -> DataFrame:

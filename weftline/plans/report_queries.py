@@ -119,7 +119,7 @@ def k13(spark, d):
 @query("k10_brand_category", f"with {LISTINGS_SQL}, r as (select *, row_number() over (partition by trend, grp order by sim desc nulls last, id) rk, count(*) over (partition by trend, grp) n from lst where trend is not null and grp is not null) select brand, grp, count(*) as n_products, min(rk) as best_rank, sum((rk <= greatest(1, trunc(n * .05::double)))::int)::bigint as in_best_5pct from r where brand is not null group by all")
 def k10(spark, d):
     x = listings(spark, d).where("trend is not null and grp is not null")
-    x = U.rank_in(x, ["trend", "grp"], "sim", "id").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("trend", "grp"))).where("brand is not null")
+    x = U.with_total(U.rank_in(x, ["trend", "grp"], "sim", "id"), ["trend", "grp"], "n").where("brand is not null")
     return x.groupBy("brand", "grp").agg(F.count(F.lit(1)).alias("n_products"), F.min("rank").alias("best_rank"), F.sum((F.col("rank") <= S.top_percent_cut(F.col("n"), 5)).cast("int")).alias("in_best_5pct"))
 
 

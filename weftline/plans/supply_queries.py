@@ -53,7 +53,7 @@ def g01(spark, d):
 
 @query("f18_brand_best", f", r as (select *, {RANKED} rk, count(*) over (partition by trend) n from lst) select trend, brand, min(rk) as best_rank, round((min(n) - (min(rk) - 1)) / min(n)::double * 100) as percentile from r where brand is not null group by all")
 def f18(spark, d):
-    x = U.rank_in(listings(spark, d), ["trend"], "sim", "id").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("trend")))
+    x = U.with_total(U.rank_in(listings(spark, d), ["trend"], "sim", "id"), ["trend"], "n")
     g = x.where("brand is not null").groupBy("trend", "brand").agg(F.min("rank").alias("best_rank"), F.min("n").alias("n"))
     return g.select("trend", "brand", "best_rank", F.round((F.col("n") - (F.col("best_rank") - 1)) / F.col("n") * 100).alias("percentile"))
 
@@ -210,7 +210,7 @@ def k05(spark, d):
 
 @query("f33_l2_grid", ", r as (select l.*, row_number() over (partition by trend order by sim desc nulls last, id) rk, count(*) over (partition by trend) n from lst l), g as (select trend, id, rk, case when rk <= greatest(1, trunc(n * .01::double)) then 4 when rk <= greatest(1, trunc(n * .05::double)) then 3 when rk <= greatest(1, trunc(n * .2::double)) then 2 else 1 end lv from r) select trend, lv as level, count(*) as n, arg_min(id, rk) as first_id from g group by all")
 def f33(spark, d):
-    x = U.rank_in(listings(spark, d), ["trend"], "sim", "id").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("trend")))
+    x = U.with_total(U.rank_in(listings(spark, d), ["trend"], "sim", "id"), ["trend"], "n")
     x = x.withColumn("level", U.fit_level(F.col("rank"), F.col("n")))
     return x.groupBy("trend", "level").agg(F.count(F.lit(1)).alias("n"), F.min_by("id", "rank").alias("first_id"))
 

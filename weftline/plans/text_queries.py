@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import text as T
 from weftline.operators import evidence as V
+from weftline.operators.ranking import with_total
 from weftline.plans.supply_queries import LISTINGS_SQL, listings
 from weftline.sources.tables import table
 
@@ -260,7 +261,8 @@ def g12(spark, d):
 
 @query("g14_preselect", "with n as (select doc_id, title, count(*) over () n from documents where source = 'news'), f as (select * from n where n <= 30 or regexp_matches(lower(coalesce(title, '')), 'skin|hair|lip')) select doc_id from f order by doc_id limit 30")
 def g14(spark, d):
-    n = docs(spark, d).where("source = 'news'").select("doc_id", "title").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
+    n = docs(spark, d).where("source = 'news'").select("doc_id", "title")
+    n = with_total(n, [], "n")
     return n.where((F.col("n") <= 30) | F.lower(F.coalesce("title", F.lit(""))).rlike("skin|hair|lip")).select("doc_id").orderBy("doc_id").limit(30)
 
 
