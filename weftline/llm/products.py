@@ -206,7 +206,7 @@ def reinforce(records: DataFrame, start: DataFrame, threshold: float = 0.5, roun
     terms = F.concat(of(F.array_except("p", "q"), "a"), of(F.array_except("q", "p"), "b"), of(F.array_intersect("p", "q"), "ab"))
     both = cut(both.select("a", "b", together.alias("m"), F.array_intersect(F.map_keys("m"), F.map_keys("o")).alias("shared"), terms.alias("terms")))
     differ = F.filter("terms", lambda t: t["side"] != "ab")
-    apart = cut(both.select("a", "b", F.explode(differ).alias("t")).select("a", "b", "t.*"))
+    apart = cut(both.select("a", "b", F.explode_outer(differ).alias("t")).select("a", "b", "t.*"))
     alone = F.aggregate(F.map_values("n"), F.lit(0.0), lambda s, v: s + v * (v - 1.0))
     own = cut(records.select(F.explode("terms").alias("term"), alone.alias("same")).groupBy("term").agg(F.sum("same").alias("same")))
 

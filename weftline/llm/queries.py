@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import byte_bpe, canonical, look, mixture, products, quantile_sketch, reading, topn
+from weftline.operators.ranking import running
+from weftline.session import cut
 from weftline.sources.tables import distinct_rows, table
 
 def _products(spark: SparkSession, d: str) -> DataFrame:
@@ -52,20 +54,48 @@ def p2_merged_days(spark: SparkSession, d: str) -> DataFrame:
     return quantile_sketch.percentiles(s, ["measure", "grp"], WANTED, ERROR).withColumn("value", F.round("value", 6))
 
 
-def _p2_sql() -> str:
-    g, off = quantile_sketch.gamma(ERROR), quantile_sketch.offset(ERROR)
-    return f"""
+def p2_day_sketches(spark: SparkSession, d: str) -> DataFrame:
+    """The sketches themselves, by day: counts that add up over days, files and runs."""
+    return quantile_sketch.sketch(_measures(spark, d), ["measure", "grp", "day"], "value", ERROR)
+
+
+def p2_bound(spark: SparkSession, d: str) -> DataFrame:
+    """Each percentile beside the exact one, and whether it lies within the stated error of it."""
+    m = _measures(spark, d).where("value is not null and not isnan(value)")
+    s = quantile_sketch.percentiles(quantile_sketch.sketch(m, ["measure", "grp"], "value", ERROR), ["measure", "grp"], WANTED, ERROR)
+    values = m.groupBy("measure", "grp", "value").agg(F.count(F.lit(1)).alias("k"))
+    upto = running(values, ["measure", "grp"], ["value"], "k", "upto").withColumnRenamed("value", "exact")
+    at = F.floor(F.col("percentile") * (F.col("n") - 1))
+    both = s.alias("s").join(upto.alias("e"), F.col("s.measure").eqNullSafe(F.col("e.measure")) & F.col("s.grp").eqNullSafe(F.col("e.grp")) & (at < F.col("upto")) & (at >= F.col("upto") - F.col("k")))
+    return both.select("s.measure", "s.grp", "s.percentile", "s.n", "e.exact", (F.abs(F.col("s.value") - F.col("e.exact")) <= ERROR * F.abs(F.col("e.exact")) + 1e-12).alias("within"))
+
+
+_MEASURES = """
 with m as (
-  select 'similarity' measure, product_group grp, similarity v from (select distinct listing_id, product_group, similarity from validate_at_scale_nvidia)
+  select 'similarity' measure, product_group grp, scored_at::date d, similarity v from (select distinct listing_id, product_group, scored_at, similarity from validate_at_scale_nvidia)
   union all
-  select 'own_top_pct_in_category', main_category, own_top_pct_in_category from (select distinct export_id, main_category, own_top_pct_in_category from export_llm_data)),
-b as (select measure, grp, case when v = 0 then 0 else sign(v) * (ceil(ln(abs(v)) / ln({g!r}::double)) + {off}) end::bigint b, count(*) n
-  from m where v is not null and not isnan(v) group by all),
+  select 'own_top_pct_in_category', main_category, exported_at::date, own_top_pct_in_category from (select distinct export_id, main_category, exported_at, own_top_pct_in_category from export_llm_data)),
+f as (select * from m where v is not null and not isnan(v))"""
+
+#: Buckets of ratio 1.01 / 0.99, as for an error of 1 %; 750 / ln(1.01 / 0.99) rounded up is 37499.
+_BUCKET = "case when v = 0 then 0 else sign(v) * (ceil(ln(abs(v)) / ln(1.01::double / 0.99::double)) + 37499) end::bigint"
+
+P2_DAYS_SQL = f"""{_MEASURES}
+select measure, grp, d as "day", {_BUCKET} as bucket, count(*) as n from f group by all"""
+
+P2_SQL = f"""{_MEASURES},
+b as (select measure, grp, {_BUCKET} b, count(*) n from f group by all),
 c as (select *, sum(n) over (partition by measure, grp order by b) upto, sum(n) over (partition by measure, grp) total from b),
 p as (select unnest([{", ".join(map(str, WANTED))}]::double[]) percentile)
-select measure, grp, percentile, round(case when b = 0 then 0 else sign(b) * pow({g!r}::double, abs(b) - {off}) * {2 / (g + 1)!r}::double end, 6) as value, total::bigint as n
+select measure, grp, percentile, round(case when b = 0 then 0 else sign(b) * pow(1.01::double / 0.99::double, abs(b) - 37499) * 0.99::double end, 6) as value, total::bigint as n
 from c, p where floor(percentile * (total - 1)) >= upto - n and floor(percentile * (total - 1)) < upto"""
 
+#: Exact values by rank; the claim is that every answer lies within the error.
+P2_BOUND_SQL = f"""{_MEASURES},
+r as (select *, row_number() over (partition by measure, grp order by v) - 1 r, count(*) over (partition by measure, grp) n from f),
+p as (select unnest([{", ".join(map(str, WANTED))}]::double[]) percentile)
+select measure, grp, percentile, n, v as exact, true as within from r, p where r = floor(percentile * (n - 1))"""
+
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """The three best rows of each customer by own_similarity."""
@@ -126,6 +156,14 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.shares(drawn, targets, "source", "tokens")
 
 
+def p8_capped_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The shares reached where the budget is the size of the corpus, so that small sources run out at their caps."""
+    docs = table(spark, d, "documents").select("doc_id", "source", byte_bpe.token_count(F.col("text")).cast("long").alias("tokens"))
+    docs, targets = cut(docs), table(spark, d, "mix_targets")
+    budget = docs.agg(F.sum("tokens")).first()[0] or 0
+    return mixture.shares(mixture.draw(docs, targets, "doc_id", "source", "tokens", budget), targets, "source", "tokens")
+
+
 def _levels(spark: SparkSession, d: str) -> DataFrame:
     return reading.levels(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "reading_labels"), "doc_id", "rater", "reading_level")
 
@@ -146,6 +184,8 @@ QUERIES = {
     "p1_groups": p1_groups,
     "p2_percentiles": p2_percentiles,
     "p2_merged_days": p2_merged_days,
+    "p2_day_sketches": p2_day_sketches,
+    "p2_bound": p2_bound,
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_unmatched": p4_unmatched,
@@ -153,8 +193,9 @@ QUERIES = {
     "p7_ids": p7_ids,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
+    "p8_capped_shares": p8_capped_shares,
     "p9_found": p9_found,
     "p9_profile": p9_profile,
 }
 
-SQL = {"p2_percentiles": _p2_sql(), "p2_merged_days": _p2_sql(), "p3_found": P3_SQL}
+SQL = {"p2_percentiles": P2_SQL, "p2_merged_days": P2_SQL, "p2_day_sketches": P2_DAYS_SQL, "p2_bound": P2_BOUND_SQL, "p3_found": P3_SQL}

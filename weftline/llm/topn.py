@@ -2,8 +2,9 @@
 
 Each input partition becomes one run: its rows are sorted by group and order and only
 the first N of each group are kept, so a group of millions leaves N rows a partition.
-Runs are then bucketed by group; in each bucket a loser tree merges them, and after N
-outputs of a group every run seeks to its next group without reading the rest.
+Runs are then bucketed by group, buckets cut in parts that stream in one after the other; in each
+part a loser tree merges the runs, and after N outputs of a group every run seeks to its
+next group without reading the rest. A task holds the runs' rows of one part of its groups.
 
 Defined results: rows of a null group are left out; rows with an equal id and equal
 order columns (copies) count once; in an order column numbers come before NaN, NaN before
@@ -22,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Parts that a bucket's groups are merged in, one after the other.
+PARTS = 64
 #: Rows sorted at once while a run is built.
 CHUNK = 200_000
 
@@ -33,14 +36,24 @@ def _ranked(t: pa.Table, group: str, order: list[tuple[str, bool]], key: str, n:
     if not t.num_rows:
         return t
     codes = t[group].combine_chunks().dictionary_encode().indices.to_numpy()
-    ids = t[key].to_numpy()
     first = np.r_[True, codes[1:] != codes[:-1]]
-    new = first | np.r_[True, ids[1:] != ids[:-1]]
+    new = first.copy()
+    for c in (key, *(c for c, _ in order)):
+        new[1:] |= _unlike(t[c].combine_chunks())
     seen = np.cumsum(new)
     start = np.maximum.accumulate(np.where(first, seen - 1, 0))
     return t.filter(pa.array(new & (seen - start <= n)))
 
 
+def _unlike(x: pa.Array) -> np.ndarray:
+    """Whether each value but the first differs from the one before; null is like null, NaN like NaN."""
+    null = x.is_null().to_numpy(zero_copy_only=False)
+    v = x.fill_null(0).to_numpy(zero_copy_only=False)
+    nan = np.isnan(v) if v.dtype.kind == "f" else np.zeros(len(v), bool)
+    both = (null[1:] & null[:-1]) | (nan[1:] & nan[:-1])
+    return ~both & ((null[1:] != null[:-1]) | (v[1:] != v[:-1]))
+
+
 class LoserTree:
     """Tournament over the heads of runs; each inner node keeps the loser of its match."""
 
@@ -88,8 +101,11 @@ def _comparable(t: pa.Table, group: str, order: list[tuple[str, bool]], key: str
     """A tuple for each row whose order is that of the rows."""
     parts = [t[group].to_pylist()]
     for c, up in order:
-        x = t[c].cast(pa.float64())
+        x = t[c] if pa.types.is_integer(t[c].type) else t[c].cast(pa.float64())
         null = x.is_null().to_numpy()
+        if pa.types.is_integer(x.type):  # exact, however large
+            parts += [np.where(null, 2, 0).tolist(), [v if up else -v for v in x.fill_null(0).to_pylist()]]
+            continue
         v = x.fill_null(0.0).to_numpy()
         nan = np.isnan(v)
         parts += [np.where(null, 2, np.where(nan, 1, 0)).tolist(), np.where(null | nan, 0.0, v if up else -v).tolist()]
@@ -125,10 +141,22 @@ def top_n(df: DataFrame, group: str, order: list[tuple[str, bool]], key: str, n:
     out_type = T.StructType([*src.schema.fields, T.StructField("position", T.IntegerType())])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        if not held or not sum(b.num_rows for b in held):
-            return
-        t = pa.Table.from_batches(held).combine_chunks()
+        """Merge part by part as they stream in; only one part's rows are held."""
+        held, now = [], None
+        for b in batches:
+            at = b["_part"].to_numpy()
+            cuts = np.r_[0, np.flatnonzero(at[1:] != at[:-1]) + 1, len(at)] if len(at) else np.zeros(1, int)
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                if now is not None and at[i] != now:
+                    yield from merged(held)
+                    held = []
+                now = at[i]
+                held.append(b.slice(i, j - i))
+        if held:
+            yield from merged(held)
+
+    def merged(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held).drop_columns(["_part"]).combine_chunks()
         runs = t["_run"].to_numpy()
         bounds = np.r_[0, np.flatnonzero(runs[1:] != runs[:-1]) + 1, len(runs)]
         t = t.drop_columns(["_run", "_at"])
@@ -148,5 +176,6 @@ def top_n(df: DataFrame, group: str, order: list[tuple[str, bool]], key: str, n:
         out = t.take(pa.array(picked, pa.int64())).append_column("position", pa.array(places, pa.int32()))
         yield from out.to_batches(max_chunksize=50_000)
 
-    bucketed = src.mapInArrow(build, run_type).repartition(F.col(group)).sortWithinPartitions("_run", "_at")
+    part = F.pmod(F.xxhash64(F.col(group), F.lit(0)), F.lit(PARTS)).cast("int")
+    bucketed = src.mapInArrow(build, run_type).withColumn("_part", part).repartition(F.col(group)).sortWithinPartitions("_part", "_run", "_at")
     return bucketed.mapInArrow(merge, out_type)
