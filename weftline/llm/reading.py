@@ -29,6 +29,7 @@ from __future__ import annotations
 import re
 import warnings
 from collections.abc import Iterator
+from functools import cache, lru_cache
 from hashlib import blake2b
 
 import pandas as pd
@@ -40,21 +41,30 @@ from weftline.session import cut
 
 #: Words of a stretch without sentence signs that count as one sentence.
 STRETCH = 12
-#: Sentences a worker remembers.
+#: Stretches, sentences and words a worker remembers.
 MEMORY = 200_000
 _JUNK = re.compile(r"https?://\S+|<\|[^|>]*\|>|</?[a-z][^>]*>|&[a-z]+;|[#@]\w+", re.I)
 _SENTENCE = re.compile(r"(?<=[.!?;:])\s+|\s*\n+\s*|\s{2,}|\s+(?=[•*]|\d+\) )|,? (?:and|so|but) (?=[A-Z])|(?<=[฀-๿])\s+(?=[฀-๿])")
 _WORD = re.compile(r"[^\W\d_฀-๿]+|[฀-๿]+|\d+|[^\s\w]")
 
 
+@cache
+def _odd() -> re.Pattern:
+    """Characters that have another form of their own."""
+    return re.compile("[" + "".join(map(re.escape, sorted(transducer().one))) + "]")
+
+
 def stretches(text: str) -> list[str]:
-    """A text without tags and addresses, cut at sentence signs."""
-    return [s for s in _SENTENCE.split(_JUNK.sub(" ", transducer().form(text))) if s]
+    """A text without tags and addresses, cut at sentence signs. Odd characters are brought to
+    their form first; where there are none it suffices to do so with each stretch."""
+    if not text.isascii() and _odd().search(text):
+        text = transducer().form(text)
+    return [s for s in _SENTENCE.split(_JUNK.sub(" ", text)) if s]
 
 
 def sentences_of(stretch: str) -> list[list[str]]:
     """Words of each sentence of a stretch; long ones are cut."""
-    words = _WORD.findall(stretch.lower())
+    words = _WORD.findall((stretch if stretch.isascii() else transducer().form(stretch)).lower())
     if len(words) > 2.5 * STRETCH:
         return [words[i : i + STRETCH] for i in range(0, len(words), STRETCH)]
     return [words] if words else []
@@ -76,6 +86,7 @@ def has_sentence(parts: list[list[str]]) -> bool:
     return sum(w for w, _ in found) > 3 or sum(s for _, s in found) >= 8
 
 
+@lru_cache(MEMORY)
 def _key(text: str) -> int:
     return int.from_bytes(blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
@@ -94,32 +105,45 @@ def nodes(words: list[str]) -> list[int]:
     return sorted(map(_key, out))
 
 
-def _read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(id, s, size, new): sentence nodes of a document with their number of word nodes, and
-    those this worker meets for the first time as (s, words)."""
-    memo: dict[str, tuple] = {}
+#: What this worker has worked out: a stretch's sentences, a sentence's nodes, a word's node. Pure
+#: functions of their keys, so it doesn't matter which task filled them.
+_STRETCHES: dict[str, tuple] = {}
+_SENTENCES: dict[str, tuple] = {}
+
 
-    def look(stretch: str) -> tuple:
-        found = []
-        for w in sentences_of(stretch):
-            n = nodes(w)
-            found.append((_key(" ".join("0" if x.isdigit() else x for x in w)), n, extent(w)))
-        return [(k, len(n)) for k, n, _ in found], sum(e[0] for *_, e in found), sum(e[1] for *_, e in found), [{"s": k, "words": n} for k, n, _ in found]
+def _sentence(words: list[str]) -> tuple[int, list[int], int, int]:
+    """(node, word nodes, words, Thai signs) of a sentence; numbers are alike."""
+    masked = " ".join("0" if w.isdigit() else w for w in words)
+    if (got := _SENTENCES.get(masked)) is None:
+        got = (_key(masked), nodes(words), *extent(words))
+        if len(_SENTENCES) < MEMORY:
+            _SENTENCES[masked] = got
+    return got
 
+
+def _stretch(text: str) -> tuple:
+    if (got := _STRETCHES.get(text)) is None:
+        got = tuple(map(_sentence, sentences_of(text)))
+        if len(_STRETCHES) < MEMORY:
+            _STRETCHES[text] = got
+    return got
+
+
+def _read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(id, s, size, new): sentence nodes of a document with their number of word nodes, and
+    those this task meets for the first time as (s, words)."""
+    seen: set[int] = set()
     for p in parts:
         rows = []
         for key, text in zip(p["id"], p["text"], strict=True):
-            ids, new, words, signs = [], [], 0, 0
-            for s in stretches(text):
-                if (got := memo.get(s)) is None:
-                    got = look(s)
-                    new += got[3]
-                    if len(memo) < MEMORY:
-                        memo[s] = got[:3]
-                ids += got[0]
-                words, signs = words + got[1], signs + got[2]
-            if words > 3 or signs >= 8:
-                rows.append((key, [k for k, _ in ids], [n for _, n in ids], new))
+            found = [x for s in stretches(text) for x in _stretch(s)]
+            new = []
+            for k, n, _, _ in found:
+                if k not in seen:
+                    seen.add(k)
+                    new.append({"s": k, "words": n})
+            if sum(x[2] for x in found) > 3 or sum(x[3] for x in found) >= 8:
+                rows.append((key, [x[0] for x in found], [len(x[1]) for x in found], new))
             elif new:  # another document may hold the sentence
                 rows.append((None, [], [], new))
         yield pd.DataFrame(rows, columns=["id", "s", "size", "new"])
