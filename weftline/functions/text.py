@@ -134,3 +134,21 @@ def token_budget(text: Column, ratio: float = 4.0, least: int = 256) -> Column:
 def input_hash(*cols: Column) -> Column:
     """Digest of the values in their order; null and empty differ."""
     return F.sha2(F.to_json(F.struct(*(c.alias(f"c{i}") for i, c in enumerate(cols)))), 256)
+
+
+def with_tokens(df, tokens: dict[str, str]):
+    """df with {name} replaced by its value in every text, also in lists and structures."""
+
+    def apply(c: Column, kind) -> Column:
+        name = kind.typeName()
+        if name == "string":
+            for k, v in tokens.items():
+                c = F.replace(c, F.lit("{" + k + "}"), F.lit(v))
+            return c
+        if name == "array":
+            return F.transform(c, lambda x: apply(x, kind.elementType))
+        if name == "struct":
+            return F.when(c.isNotNull(), F.struct(*(apply(c[f.name], f.dataType).alias(f.name) for f in kind.fields)))
+        return c
+
+    return df.select(*(apply(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields))

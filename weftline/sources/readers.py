@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import csv
+import difflib
 import io
+import os
 import re
 import zipfile
 from html.parser import HTMLParser
@@ -195,5 +196,79 @@ class _WorkbookReader(DataSourceReader):
                 yield tuple((row + [None] * self.width)[: self.width])
 
 
-def parse_csv_text(text: str) -> list[list[str]]:
-    return list(csv.reader(io.StringIO(text)))
+def checked_pool(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A pool written by sinks.write_pool; files that are missing or differ from the manifest are an error."""
+    from weftline.sources.sinks import manifest
+
+    said = {(f["path"], f["digest"]) for f in spark.read.json(f"{path}/manifest").first()["files"]}
+    have = {(r["path"], r["digest"]) for r in manifest(spark, f"{path}/pool").where("path like '%.csv.gz'").select("path", "digest").collect()}  # one row a file
+    if said != have:
+        raise ValueError(f"files differ from the manifest: {sorted(p for p, _ in said ^ have)}")
+    return prepare(spark).read.schema(schema).option("header", True).csv(f"{path}/pool")
+
+
+def cached_sheets(spark: SparkSession, book: str, sheets: list[str], cache: str) -> dict[str, DataFrame]:
+    """A workbook's sheets as tables, by name in order. They are kept as Parquet under a key of
+    the file's size and time, so an unchanged workbook is parsed once."""
+    prepare(spark).dataSource.register(WorkbookSource)
+    st = os.stat(book)
+    folder = f"{cache}/{st.st_size}-{int(st.st_mtime)}"
+    out = {}
+    for i, name in enumerate(sheets, 1):
+        at = f"{folder}/{name}"
+        if not os.path.exists(f"{at}/_SUCCESS"):
+            spark.read.format("workbook").option("path", book).option("sheet", str(i)).load().write.mode("overwrite").parquet(f"file:{at}")
+        out[name] = spark.read.parquet(f"file:{at}")
+    return out
+
+
+def register(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """CSV files with a header, every column as text."""
+    return prepare(spark).read.schema(", ".join(f"`{c}` string" for c in columns)).option("header", True).csv(path)
+
+
+def rising_rows(spark: SparkSession, path: str, categories: DataFrame) -> DataFrame:
+    """(geo, cat, query, value, ...) of cached answers (geo, cat, rising), joined to their category
+    (cat, ...); answers without a query are left out."""
+    raw = prepare(spark).read.schema("geo string, cat string, rising array<struct<query: string, value: bigint>>").json(path)
+    return raw.select("geo", "cat", F.explode("rising").alias("r")).select("geo", "cat", "r.*").where("query is not null").join(categories, "cat")
+
+
+def with_defaults(df: DataFrame, config: DataFrame, key: str, defaults: dict) -> DataFrame:
+    """df with the settings its key has in config, or the defaults."""
+    x = df.join(config, key, "left")
+    return x.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in defaults.items()})
+
+
+def cached_fetch(wanted: DataFrame, url: str, cache: DataFrame, fetch) -> DataFrame:
+    """(url, page, status) of the wanted pages: those in the cache (key: SHA-1 of the address,
+    page), and the rest by `fetch`, a Column function that gives null for a failure. Only pages
+    fetched belong into the cache."""
+    keyed = wanted.withColumn("key", F.sha1(url))
+    hit = keyed.join(cache, "key").select(url, "page", F.lit("cached").alias("status"))
+    rest = keyed.join(cache, "key", "left_anti").withColumn("page", fetch(F.col(url)))
+    return hit.unionByName(rest.select(url, "page", F.when(F.col("page").isNull(), "failed").otherwise("fetched").alias("status")))
+
+
+def long_years(wide: DataFrame, year: str, value: str) -> DataFrame:
+    """Columns named like `2016 (%)` as rows (year, value); all other columns stay."""
+    years = [c for c in wide.columns if re.fullmatch(r"\d{4} \(%\)", c)]
+    kept = [c for c in wide.columns if c not in years]
+    pairs = F.explode(F.array(*(F.struct(F.lit(int(c[:4])).alias(year), F.col(f"`{c}`").cast("double").alias(value)) for c in years))).alias("_y")
+    return wide.select(*kept, pairs).select(*kept, "_y.*")
+
+
+def close_names(typed: DataFrame, value: str, names: DataFrame, name: str, least: float = 0.5, most: int = 5, limit: int = 100_000) -> DataFrame:
+    """(value, exact, close): the name a value equals but for case, else the up to five names that
+    are most alike, by the share of matching blocks. The list of names is shipped to the
+    workers, and must not be longer than `limit`."""
+    got = [r[0] for r in names.where(F.col(name).isNotNull()).select(name).distinct().orderBy(name).limit(limit + 1).collect()]
+    if len(got) > limit:
+        raise ValueError(f"more than {limit} names can't be shipped to all workers")
+    lower = {n.lower(): n for n in reversed(got)}
+
+    def look(s: pd.Series) -> pd.DataFrame:
+        rows = [(lower.get(v.lower()), [] if v.lower() in lower else difflib.get_close_matches(v, got, n=most, cutoff=least)) for v in s]
+        return pd.DataFrame(rows, columns=["exact", "close"])
+
+    return typed.select(value, F.pandas_udf(look, "exact string, close array<string>")(value).alias("r")).select(value, "r.*")
