@@ -9,12 +9,15 @@ from weftline.sources.tables import table
 
 
 def monthly(spark: SparkSession, d: str) -> DataFrame:
-    """(keyword, month, value): revenue of each part name and month, scaled to a maximum of 100."""
+    """(keyword, month, value): revenue of each part name and month, scaled to a maximum of 100, with
+    a row for every month between a keyword's first and last, so that rows are months."""
+    from weftline.operators.series import dense_months
+
     p = table(spark, d, "part").select("p_partkey", F.col("p_name").alias("keyword"))
     li = table(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.trunc("l_shipdate", "MM").alias("month"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("r"))
     # Partial sums by part before the join: rows shrink before they are moved.
     pre = li.groupBy("p_partkey", "month").agg(F.sum("r").alias("r"))
-    m = pre.join(p, "p_partkey").groupBy("keyword", "month").agg(F.round(F.sum("r"), 4).alias("r"))
+    m = dense_months(pre.join(p, "p_partkey").groupBy("keyword", "month").agg(F.round(F.sum("r").cast("double"), 4).alias("r")), "keyword", "month", "r")
     return m.select("keyword", "month", F.round(F.col("r") * 100 / F.max("r").over(Window.partitionBy("keyword")), 4).alias("value"))
 
 
@@ -41,7 +44,9 @@ def predictions(spark: SparkSession, d: str) -> DataFrame:
 #: The same inputs in SQL, for checks.
 MONTHLY_SQL = """m0 as (select p_name keyword, cast(date_trunc('month', l_shipdate) as date) as month, round(sum(l_extendedprice * (1 - l_discount)), 4) r
   from lineitem join part on l_partkey = p_partkey group by 1, 2),
-monthly as (select keyword, month, round(r * 100 / max(r) over (partition by keyword), 4) as value from m0)"""
+m1 as (select keyword, cast(unnest(generate_series(min(month), max(month), interval 1 month)) as date) as month from m0 group by 1),
+m2 as (select keyword, month, coalesce(r, 0) r from m1 left join m0 using (keyword, month)),
+monthly as (select keyword, month, round(r * 100 / max(r) over (partition by keyword), 4) as value from m2)"""
 MAPPING_SQL = "mapping as (select distinct p_name keyword, p_type cluster from part)"
 PREDICTIONS_SQL = MONTHLY_SQL + """,
 f0 as (select keyword, month, value, row_number() over w - 1 i,
