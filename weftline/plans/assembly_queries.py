@@ -265,9 +265,9 @@ def k18(spark, d):
 
 
 _PAIRS = """m as (select l_partkey entity, cast(date_trunc('month', l_shipdate) as date) as month, count(*) far, sum((l_quantity::double > 25)::int)::bigint near from lineitem group by 1, 2),
-e as (select distinct entity from m), s as (select cast(unnest(generate_series(date '1992-01-01', date '1998-11-01', interval 1 month)) as date) as month),
+e as (select distinct entity from m), s as (select cast(unnest(generate_series(date '1995-01-01', date '2001-12-01', interval 1 month)) as date) as month),
 f as (select entity, month, coalesce(far, 0) far, coalesce(near, 0) near from e cross join s left join m using (entity, month)),
-c as (select unnest([date '1995-01-01', date '1996-01-01']) cutoff),
+c as (select unnest([date '1998-01-01', date '1999-06-01']) cutoff),
 g as (select cutoff, entity, avg(far) filter (k between -11 and 0) f1, avg(far) filter (k between -23 and -12) f0, avg(near) filter (k between -11 and 0) n1, avg(near) filter (k between -23 and -12) n0, avg(near) filter (k between 1 and 24) af from (select *, date_diff('month', cutoff, month) k from f, c) group by 1, 2),
 p as (select cutoff, entity, case when (f1 + 1) / (f0 + 1) >= 1.05 and (n1 + 1) / (n0 + 1) >= 1.05 then 'both grow' when (f1 + 1) / (f0 + 1) >= 1.05 then 'window' when (n1 + 1) / (n0 + 1) >= 1.05 then 'local only' else 'both flat' end as box, round((af + 1) / (n1 + 1), 3) as future_ratio, round(af, 2) as future_level, (af + 1) / (n1 + 1) >= 1.05 and af >= 0.15 as rose from g)"""
 
@@ -276,9 +276,9 @@ def _points(spark, d):
     """Two series of each part on a spine of all months, and their points at two cut-offs."""
     li = table(spark, d, "lineitem").select(F.col("l_partkey").alias("entity"), F.to_date(F.trunc("l_shipdate", "MM")).alias("month"), (F.col("l_quantity").cast("double") > 25).cast("int").alias("near"))
     m = li.groupBy("entity", "month").agg(F.count(F.lit(1)).alias("far"), F.sum("near").alias("near"))
-    months = F.explode(F.sequence(F.lit("1992-01-01").cast("date"), F.lit("1998-11-01").cast("date"), F.expr("interval 1 month"))).alias("month")
+    months = F.explode(F.sequence(F.lit("1995-01-01").cast("date"), F.lit("2001-12-01").cast("date"), F.expr("interval 1 month"))).alias("month")
     full = m.select("entity").distinct().select("entity", months).join(m, ["entity", "month"], "left").fillna(0, ["far", "near"])
-    return A.growth_points(full, "entity", "month", "far", "near", ["1995-01-01", "1996-01-01"], 24, 1.05, 0.15)
+    return A.growth_points(full, "entity", "month", "far", "near", ["1998-01-01", "1999-06-01"], 24, 1.05, 0.15)
 
 
 @query("k16_backtest_points", f"with {_PAIRS} select cutoff, entity, box, future_ratio, future_level, rose from p")

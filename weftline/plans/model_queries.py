@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.operators import graph, learn, series
-from weftline.session import checkpoint_dir
+from weftline.operators import graph, growth, learn, series
+from weftline.session import checkpoint_dir, cut
 from weftline.sources import readers, sinks
-from weftline.sources.standins import MONTHLY_SQL, monthly
+from weftline.sources.standins import MONTHLY_SQL, mapping, monthly, predictions
 from weftline.sources.tables import table
 from weftline.streaming import events as stream
 
@@ -33,17 +34,62 @@ def place(spark: SparkSession, d: str, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _samples(spark, d) -> tuple[DataFrame, str]:
+    """Training rows of the monthly series, and their last month."""
+    m = monthly(spark, d)
+    last = m.agg(F.max("month")).first()[0]
+    return cut(series.samples(m, "1900-01-01")), str(last)
+
+
 @query("j01_forest_predictions")
 def j01(spark, d) -> DataFrame:
-    s = series.samples(monthly(spark, d), "1997-01-01")
-    model = learn.train(s, 1, 12, "2000-06-01")
-    return learn.predict(model, s.where("month = date '2001-06-01'"), learn.BASE).select("keyword", "month", "prediction")
+    """Each keyword's growth one to five years ahead of its last month, by a pooled forest a year."""
+    s, last = _samples(spark, d)
+    now = s.where(F.col("month") == F.lit(last).cast("date"))
+    return learn.pooled_predictions(s, now, last, place(spark, d, "j01_models")).select("keyword", "month", *(f"pred_y{h}" for h in range(1, 6)))
+
+
+@query("j02_frozen_model")
+def j02(spark, d):
+    """A model is fitted once for its data and parameters: asked again, it is loaded and says the same."""
+    s, last = _samples(spark, d)
+    folder = place(spark, d, "j02_models")
+    now = s.where(F.col("month") == F.lit(last).cast("date"))
+    told = [learn.predict(learn.frozen(s, 1, 12, last, folder), now, learn.BASE).select("keyword", F.col("prediction").alias(c)) for c in ("fitted", "loaded")]
+    return told[0].join(told[1], "keyword")
+
+
+def _cutoffs(last: str, n: int = 13, step: int = 2) -> list[str]:
+    """n months, step apart, the last a year before the end of the series."""
+    end = pd.Period(last, "M") - 12
+    return [str((end - step * i).to_timestamp().date()) for i in range(n)][::-1]
 
 
 @query("j03_walk_forward")
 def j03(spark, d):
-    s = series.samples(monthly(spark, d), "1997-01-01")
-    return learn.walk_forward(s, 1, 12, ["1999-06-01", "2000-06-01"], trees=20)
+    """How well 13 cut-offs' forests tell the years after them, with the band of their errors."""
+    s, last = _samples(spark, d)
+    return learn.calibration(cut(learn.walk_forward(s, _cutoffs(last))))
+
+
+@query("j04_contest")
+def j04(spark, d):
+    """The forests against momentum, mean reversion and a blend, walking forward."""
+    s, last = _samples(spark, d)
+    return learn.contest(cut(learn.walk_forward(s, _cutoffs(last))))
+
+
+@query("growth_score_model")
+def growth_score_model(spark, d):
+    """The whole growth analysis with the forests' predictions in place of a share of momentum."""
+    s, last = _samples(spark, d)
+    m = monthly(spark, d)
+    levels = predictions(spark, d).drop(*(f"pred_y{h}" for h in range(1, 6)))
+    rows = series.features(m).where(F.col("month") == F.lit(last).cast("date")).drop("value")
+    told = learn.pooled_predictions(s, rows, last, place(spark, d, "growth_models"), years=(1, 3))
+    kw = levels.join(told.select("keyword", "pred_y1", "pred_y3"), "keyword", "left")
+    g = growth.roll_up(kw, mapping(spark, d), "keyword", "cluster", (1, 3))
+    return growth.rerank(g, "score_y1", "cluster").select("cluster", "score_y1", "past_growth_pct", "rank")
 
 
 @query("j05_series_forecasts")
