@@ -111,3 +111,38 @@ def column_plan(df: DataFrame, group: str, category: str, kind: str, n: str, bes
     whole = c.where(F.col("_share") <= dominant).select(group, category, F.lit(None).cast("string").alias("shown"), "_n", "_b")
     r = F.row_number().over(Window.partitionBy(group).orderBy(F.col("_n").desc(), F.col("_b").desc_nulls_last(), category, "shown"))
     return split.unionByName(whole).where(F.col("_n") >= least).withColumn("place", r).where(F.col("place") <= columns).select(group, category, "shown", F.col("_n").alias("n"), "place")
+
+
+def balanced(text: str | None) -> str | None:
+    """A text from its first brace or bracket, with what is still open at its end closed."""
+    if not text:
+        return None
+    start = min((i for i in (text.find("{"), text.find("[")) if i >= 0), default=-1)
+    if start < 0:
+        return None
+    open_, quoted, skip, end = [], False, False, None
+    for i, c in enumerate(text[start:], start):
+        if skip:
+            skip = False
+        elif quoted:
+            skip, quoted = c == "\\", c != '"'
+        elif c == '"':
+            quoted = True
+        elif c in "{[":
+            open_.append("}" if c == "{" else "]")
+        elif c in "}]" and open_ and c == open_[-1]:
+            open_.pop()
+            if not open_:
+                end = i + 1
+                break
+    body = text[start:end]
+    return body if end else (body + ('"' if quoted else "")).rstrip().rstrip(",") + "".join(reversed(open_))
+
+
+def repaired_json(text: Column) -> Column:
+    """tolerant_json of a text whose open braces, brackets and quotes are closed first."""
+
+    def close(s):
+        return s.map(balanced)
+
+    return tolerant_json(F.pandas_udf(close, "string")(text))

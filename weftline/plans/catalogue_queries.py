@@ -57,11 +57,6 @@ def c20(spark, d):
     return t.select("trend_id", F.concat(F.trim(T.rewrite(F.col("trend_name"), [(r"(?i)\b(in|for)?\s*thailand\b", "")])), F.lit(" worldwide")).alias("query"))
 
 
-@query("c23_present_streams", "select coalesce(stream_name, 'none') as stream, count(*) > 0 as present from trends group by 1")
-def c23(spark, d):
-    return table(spark, d, "trends").groupBy(F.coalesce("stream_name", F.lit("none")).alias("stream")).agg((F.count(F.lit(1)) > 0).alias("present"))
-
-
 @query("i04_classify", "select p_partkey, case when p_name like '%widget%' then 'widgets' when p_size > 40 then 'large' when p_type = 'PROMO' then 'promo' else 'rest' end as class from part")
 def i04(spark, d):
     rules = [(F.contains("p_name", F.lit("widget")), "widgets"), (F.col("p_size") > 40, "large"), (F.col("p_type") == "PROMO", "promo")]
@@ -89,19 +84,6 @@ def a08(spark, d):
     return C.latest_by_variant(p, "key", "variant", "p_partkey", ["p_size"], ["PROMO", "ECONOMY"])
 
 
-@query("i07_answer_triples", "select p_partkey, p_size::int as n, p_name as path, 0.5::double as conf from part")
-def i07(spark, d):
-    text = F.concat(F.lit("Sure: [["), F.col("p_size").cast("string"), F.lit(', "'), F.col("p_name"), F.lit('", 0.5], [broken'))
-    return table(spark, d, "part").select("p_partkey", F.explode(C.answer_triples(text)).alias("t")).select("p_partkey", "t.*")
-
-
-@query("i08_tolerant_json", "select p_partkey, p_size::bigint as size, true as ok from part")
-def i08(spark, d):
-    text = F.concat(F.lit("```json\n{\"size\": "), F.col("p_size").cast("string"), F.lit(", \"ok\": True, \"x\": [1, 2,],}\n```"))
-    j = F.from_json(C.tolerant_json(text), "size bigint, ok boolean")
-    return table(spark, d, "part").select("p_partkey", j.alias("j")).select("p_partkey", "j.*")
-
-
 @query("i17_theme_assignment", "with m as (select p_brand k, p_partkey m from part), t as (select k, m, min(case when m % 3 = 0 then 1 when m % 2 = 0 then 2 end) pl from m group by all) select k, m as member, case when pl = 1 then 'threes' when pl = 2 then 'evens' else 'Other' end as theme from t")
 def i17(spark, d):
     m = table(spark, d, "part").select(F.col("p_brand").alias("k"), F.col("p_partkey").alias("member"))
@@ -123,17 +105,6 @@ def a14(spark, d):
     return C.by_priority([one("paper"), one("news"), one("social")], "title")
 
 
-@query("a16_year_windows", "select k.keyword_id, y as year, make_date(y, 1, 1) as since, make_date(y, 12, 31) as until from pmc_keywords k, (select unnest([2023, 2024, 2025])::int y)")
-def a16(spark, d):
-    k = table(spark, d, "pmc_keywords").select("keyword_id", F.explode(F.sequence(F.lit(2023), F.lit(2025))).alias("year"))
-    return k.select("keyword_id", "year", F.make_date("year", F.lit(1), F.lit(1)).alias("since"), F.make_date("year", F.lit(12), F.lit(31)).alias("until"))
-
-
-@query("a19_nested_posts", "select event_id, cast(json_extract(props, '$.k') as bigint) as k from events where json_extract(props, '$.k') is not null")
-def a19(spark, d):
-    return table(spark, d, "events").select("event_id", F.from_json("props", "k bigint").alias("j")).select("event_id", "j.k").where("k is not null")
-
-
 @query("a20_videos", "with v as (select event_id, event_type, (user_id % 90) * 60 + 13 s from events), o as (select *, row_number() over (partition by event_type order by event_id) r from v where s between 240 and 1200) select event_id, s::int as seconds from o where r <= 20")
 def a20(spark, d):
     e = table(spark, d, "events").withColumn("t", F.concat(F.lit("PT"), (F.col("user_id") % 90).cast("string"), F.lit("M13S")))
@@ -141,19 +112,6 @@ def a20(spark, d):
     return v.withColumn("r", F.row_number().over(Window.partitionBy("event_type").orderBy("event_id"))).where("r <= 20").select("event_id", "seconds")
 
 
-@query("a25_cache_key", "select keyword_id, sha1('{\"page\":\"1\",\"q\":\"' || keyword || '\"}') as key from pmc_keywords where not regexp_matches(keyword, '[\"\\\\]')")
-def a25(spark, d):
-    k = table(spark, d, "pmc_keywords").where(~F.col("keyword").rlike('["\\\\]'))
-    return k.select("keyword_id", F.sha1(F.to_json(F.struct(F.lit("1").alias("page"), F.col("keyword").alias("q")))).alias("key"))
-
-
-@query("a30_title_links", "with s as (select lower(trim(title)) t, min(link) link from documents where source in ('news', 'paper') and title is not null group by 1) select d.doc_id, s.link as best_link from documents d join s on lower(trim(d.title)) = s.t where d.source = 'social'")
-def a30(spark, d):
-    x = table(spark, d, "documents").withColumn("t", F.lower(F.trim("title"))).where("t is not null")
-    s = x.where("source in ('news', 'paper')").groupBy("t").agg(F.min("link").alias("best_link"))
-    return x.where("source = 'social'").select("doc_id", "t").join(s, "t").select("doc_id", "best_link")
-
-
 @query("f21_cagr", "select trend_id, round((pow(1 + expected_pct_y1 / 100, 1 / 3.0::double) - 1) * 100, 6) as cagr from trends where expected_pct_y1 > -100")
 def f21(spark, d):
     return table(spark, d, "trends").where("expected_pct_y1 > -100").select("trend_id", F.round(S.cagr_pct(F.col("expected_pct_y1"), 3), 6).alias("cagr"))
@@ -176,18 +134,6 @@ def f23(spark, d):
 _ONSET = "case when count(*) over w3 = 3 then avg(value) over w3 end m"
 
 
-@query("f25_onset_lag", f"""with {MONTHLY_SQL}, a as (select *, {_ONSET} from monthly window w3 as (partition by keyword order by month rows between 2 preceding and current row)), b as (select *, (m >= max(m) over (partition by keyword) * 0.75)::int x, (m >= max(m) over (partition by keyword) * 0.9)::int y from a),
-c as (select *, min(x) over w6 = 1 and count(x) over w6 = 2 hx, min(y) over w6 = 1 and count(y) over w6 = 2 hy from b window w6 as (partition by keyword order by month rows between current row and 1 following)), o as (select keyword, min(month) filter (hx) ox, min(month) filter (hy) oy from c group by 1),
-l as (select date_diff('month', ox, oy) lag from o where ox is not null and oy is not null) select count(*) as n, round(median(lag), 4) as median_lag, round(quantile_cont(lag, .75) - quantile_cont(lag, .25), 4) as iqr from l""")
-def f25(spark, d):
-    m = monthly(spark, d)
-    a = onset(m, "keyword", "month", "value", 0.75, 2).withColumnRenamed("onset", "a")
-    b = onset(m, "keyword", "month", "value", 0.9, 2).withColumnRenamed("onset", "b")
-    lag = a.join(b, "keyword").where("a is not null and b is not null").select((F.months_between("b", "a")).alias("lag"))
-    p = F.percentile("lag", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return lag.agg(F.count(F.lit(1)).alias("n"), p.alias("p")).select("n", F.round(F.col("p")[1], 4).alias("median_lag"), F.round(F.col("p")[2] - F.col("p")[0], 4).alias("iqr"))
-
-
 _BOX = f"""{MONTHLY_SQL}, g as (select keyword, month, value, case when count(*) over a = 12 then avg(value) over a end l, case when count(*) over b = 12 then avg(value) over b end p, case when count(*) over f = 12 then avg(value) over f end nx
   from monthly window a as (partition by keyword order by month rows between 11 preceding and current row), b as (partition by keyword order by month rows between 23 preceding and 12 preceding), f as (partition by keyword order by month rows between 1 following and 12 following)),
 pt as (select keyword, month, round((l + 1) / (p + 1), 6) r, round((nx + 1) / (l + 1), 6) f from g where month in (date '1998-06-01', date '1999-06-01', date '2000-06-01') and l is not null and p is not null and nx is not null)"""
@@ -206,18 +152,14 @@ def f26(spark, d):
     return _points(spark, d).select("keyword", "month", F.col("r").alias("growth_ratio"), F.when(F.col("r") >= 1.05, "rising").otherwise("still").alias("box"))
 
 
-@query("f27_hit_rates", f"with {_BOX} select line, case when r >= line then 'rising' else 'still' end as box, count(*) as n, round(avg((f >= 1.02)::int), 6) as hit_rate from pt, (select unnest([1.0, 1.05, 1.1])::double line) group by all")
+@query("f27_hit_rates", f"with {_BOX}, h as (select line, case when r >= line then 'rising' else 'still' end as box, count(*) as n, avg((f >= 1.02)::int) as h from pt, (select unnest([1.0, 1.05, 1.1])::double line) group by all) select line, box, n, round(h, 6) as hit_rate, round(h - min(case when box = 'still' then h end) over (partition by line), 6) as difference from h")
 def f27(spark, d):
+    """How often what grew went on growing, by where the line is drawn, and the difference to what stood still."""
     grid = F.explode(F.array(*(F.lit(x) for x in (1.0, 1.05, 1.1)))).alias("line")
     p = _points(spark, d).select("r", "f", grid).withColumn("box", F.when(F.col("r") >= F.col("line"), "rising").otherwise("still"))
-    return p.groupBy("line", "box").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("f") >= 1.02).cast("int")), 6).alias("hit_rate"))
-
-
-@query("f32_period_labels", "select y as year, strftime(cast(date '2001-11-01' + to_months(1 + 12 * (y - 1)) as date), '%b %Y') as first_month, strftime(cast(date '2001-11-01' + to_months(12 * y) as date), '%b %Y') as last_month from (select unnest([1, 2, 3, 4, 5])::int y)")
-def f32(spark, d):
-    y = spark.range(1, 6).select(F.col("id").cast("int").alias("year"))
-    m = lambda n: F.date_format(F.add_months(F.lit("2001-11-01").cast("date"), n), "MMM yyyy")
-    return y.select("year", m(1 + 12 * (F.col("year") - 1)).alias("first_month"), m(12 * F.col("year")).alias("last_month"))
+    h = p.groupBy("line", "box").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("f") >= 1.02).cast("int")).alias("h"))
+    still = h.where("box = 'still'").select("line", F.col("h").alias("s"))
+    return h.join(still, "line", "left").select("line", "box", "n", F.round("h", 6).alias("hit_rate"), F.round(F.col("h") - F.col("s"), 6).alias("difference"))
 
 
 @query("g04_column_plan", f"with {LISTINGS_SQL}, k as (select trend, grp, sub, count(*) n, max(sim) b from lst where trend is not null and grp is not null and sub is not null group by all), c as (select trend, grp, sum(n) n, max(b) b, sum(n) / sum(sum(n)) over (partition by trend)::double sh from k group by trend, grp), u as (select k.trend, k.grp, k.sub shown, k.n, k.b from k join c on k.trend = c.trend and k.grp = c.grp where sh > .5 union all select trend, grp, null, n, b from c where sh <= .5), r as (select *, row_number() over (partition by trend order by n desc, b desc nulls last, grp, shown nulls first) place from u where n >= 2) select trend, grp, shown, n::bigint as n, place from r where place <= 4")
@@ -231,13 +173,6 @@ def i32(spark, d):
     return table(spark, d, "trends").select("trend_id", S.grade(F.col("growth_score_y3")).alias("long_grade"))
 
 
-@query("i33_bar_geometry", "select trend_id, round((expected_pct_y1 - min(expected_pct_y1) over ()) / nullif(max(expected_pct_y1) over () - min(expected_pct_y1) over (), 0) * 100, 4) as position_pct from trends where expected_pct_y1 is not null")
-def i33(spark, d):
-    t = table(spark, d, "trends").where("expected_pct_y1 is not null")
-    e = t.agg(F.min("expected_pct_y1").alias("a"), F.max("expected_pct_y1").alias("b"))
-    return t.crossJoin(F.broadcast(e)).select("trend_id", F.round((F.col("expected_pct_y1") - F.col("a")) / F.nullif(F.col("b") - F.col("a"), F.lit(0.0)) * 100, 4).alias("position_pct"))  # one row
-
-
 @query("i40_search_parameters", "select keyword_id, keyword || ' -site:a.invalid -site:b.invalid' as q, 'after:2024-01-01' as since from pmc_keywords")
 def i40(spark, d):
     q = F.concat_ws(" ", "keyword", *(F.lit(f"-site:{s}.invalid") for s in "ab"))
@@ -249,12 +184,6 @@ def i41(spark, d):
     return table(spark, d, "trends").where("trend_name is not null").select("trend_id", C.display_names(F.col("trend_name"), {"Skin": "Face", "Skin Repair": "Repairing Care"}).alias("shown"))
 
 
-@query("i42_country", "select s_suppkey, n_name as country from supplier join nation on s_nationkey = n_nationkey")
-def i42(spark, d):
-    s = table(spark, d, "supplier").join(F.broadcast(table(spark, d, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
-    return s.select("s_suppkey", C.country_of(F.concat(F.lit("Dept. of Skin, Univ., "), "n_name", F.lit("."))).alias("country"))
-
-
 @query("i44_input_hash", "select p_partkey, sha256('{\"c0\":\"' || p_name || '\",\"c1\":' || p_size || '}') as digest from part")
 def i44(spark, d):
     return table(spark, d, "part").select("p_partkey", T.input_hash(F.col("p_name"), F.col("p_size")).alias("digest"))
@@ -299,14 +228,6 @@ def e33(spark, d):
     return table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("model")).agg(F.count(F.lit(1)).alias("calls"), F.round(F.sum("o_totalprice"), 2).alias("tokens"))
 
 
-@query("l02_triplet_recovery", "select p_partkey, p_brand as s, p_type as r, p_name as o from part")
-def l02(spark, d):
-    text = F.concat(F.lit('[["'), "p_brand", F.lit('", "'), "p_type", F.lit('", "'), "p_name", F.lit('"], ["cut'))
-    p = F.lit(r'\["([^"]*)",\s*"([^"]*)",\s*"([^"]*)"\]')
-    parts = F.arrays_zip(*(F.regexp_extract_all(text, p, F.lit(i)).alias(n) for i, n in ((1, "s"), (2, "r"), (3, "o"))))
-    return table(spark, d, "part").select("p_partkey", F.explode(parts).alias("t")).select("p_partkey", "t.*")
-
-
 @query("l05_ranked_reader", "select trend_id, rank_short from trends where rank_short is not null order by rank_short, trend_id limit 25")
 def l05(spark, d):
     return table(spark, d, "trends").where("rank_short is not null").orderBy("rank_short", "trend_id").limit(25).select("trend_id", "rank_short")
@@ -319,29 +240,12 @@ def l06(spark, d):
     return C.reuse(p.select("p_partkey", "digest"), old, ["p_partkey"], "digest", "text").select("p_partkey", "text")
 
 
-@query("l07_run_lookup", "select trend_id, coalesce(rank_short, n_keywords) as rank from trends")
-def l07(spark, d):
-    return table(spark, d, "trends").select("trend_id", F.coalesce("rank_short", "n_keywords").alias("rank"))
-
-
-@query("l15_run_date", "select run_id, min(exported_at)::date as run_day from export_llm_data group by 1")
-def l15(spark, d):
-    return table(spark, d, "export_llm_data").groupBy("run_id").agg(F.to_date(F.min("exported_at")).alias("run_day"))
-
-
 @query("l16_question_keywords", "with w as (select trend_id, list_distinct(list_concat(list_filter(regexp_extract_all(lower(coalesce(trend_name, '')), '[a-z0-9฀-๿]+'), lambda x: x not in ('and', 'care')), ['beauty'])) k from trends) select trend_id, array_to_string(list_sort(k), ' ') as keywords from w")
 def l16(spark, d):
     k = F.array_sort(F.array_union(T.tokens(F.col("trend_name"), ["and", "care"]), F.array(F.lit("beauty"))))
     return table(spark, d, "trends").select("trend_id", F.array_join(k, " ").alias("keywords"))
 
 
-@query("l19_content_waterfall", "select doc_id, coalesce(nullif(trim(text), ''), nullif(trim(title), ''), 'none') as content from documents")
-def l19(spark, d):
-    x = table(spark, d, "documents")
-    blank = lambda c: F.nullif(F.trim(c), F.lit(""))
-    return x.select("doc_id", F.coalesce(blank("text"), blank("title"), F.lit("none")).alias("content"))
-
-
 @query("l32_keyword_mapping", "with k as (select trend_name t, stream_name s, unnest(string_split(keywords, '; ')) keyword from trends where trend_name is not null) select keyword, string_agg(distinct t, ' | ' order by t) as trends from k group by 1")
 def l32(spark, d):
     k = table(spark, d, "trends").where("trend_name is not null").select(F.col("trend_name").alias("t"), F.explode(F.split("keywords", "; ")).alias("keyword"))

@@ -248,14 +248,6 @@ def d12(spark, d):
     return r6(series.lag_correlation(a, b, "month"), "corr", digits=5)
 
 
-@query("f30_best_lag", f"with {MONTHLY_SQL}, a as (select month, avg(value) v from monthly group by 1), b as (select month, max(value) v from monthly group by 1), c as (select lag, round(corr(a.v, b.v), 5) as corr from (select unnest(range(-12, 13))::int lag) join a on true join b on b.month = cast(a.month + to_months(lag) as date) group by 1) select lag as best_lag, corr from c order by abs(corr) desc, lag limit 1")
-def f30(spark, d):
-    m = monthly(spark, d)
-    a, b = (m.groupBy("month").agg(f("value").alias("value")) for f in (F.avg, F.max))
-    x = r6(series.lag_correlation(a, b, "month"), "corr", digits=5)
-    return x.orderBy(F.abs("corr").desc(), "lag").limit(1).select(F.col("lag").alias("best_lag"), "corr")
-
-
 @query("f24_onset", f"""with {MONTHLY_SQL}, a as (select *, case when count(*) over w3 = 3 then avg(value) over w3 end m from monthly window w3 as (partition by keyword order by month rows between 2 preceding and current row)),
 b as (select *, (m >= max(m) over (partition by keyword) * 0.75)::int ok from a), c as (select *, min(ok) over w6 = 1 and count(ok) over w6 = 3 held from b window w6 as (partition by keyword order by month rows between current row and 2 following))
 select keyword, min(month) filter (held) as onset from c group by 1""")

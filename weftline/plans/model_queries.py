@@ -97,15 +97,6 @@ def j05(spark, d):
     return learn.forecast_series(monthly(spark, d), "keyword", "month", "value")
 
 
-@query("j07_naive_contest", f"with {MONTHLY_SQL}, r as (select *, row_number() over (partition by keyword order by month desc) k from monthly), p as (select keyword, max(value) filter (k = 7) v from r group by 1) select keyword, round(sqrt(avg((value - v) ** 2)), 6) as rmse from r join p using (keyword) where k <= 6 group by 1")
-def j07(spark, d):
-    from pyspark.sql import Window
-
-    r = monthly(spark, d).withColumn("k", F.row_number().over(Window.partitionBy("keyword").orderBy(F.col("month").desc())))
-    v = F.max(F.when(F.col("k") == 7, F.col("value"))).over(Window.partitionBy("keyword"))
-    return r.withColumn("v", v).where("k <= 6").groupBy("keyword").agg(F.round(F.sqrt(F.avg(F.pow(F.col("value") - F.col("v"), 2))), 6).alias("rmse"))
-
-
 @query("f29_bootstrap")
 def f29(spark, d):
     return learn.bootstrap_mean(table(spark, d, "events"), "user_id", "value")

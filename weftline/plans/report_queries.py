@@ -151,7 +151,3 @@ def b02(spark, d):
     return sinks.closed(t, ["trend_id", "trend_name", "main_category", "glossary"])
 
 
-@query("h06_row_concat", "select p_partkey, p_size * 2 as size_std, case when p_size > 25 then 'large' else 'small' end as size_flag from part")
-def h06(spark, d):
-    both = F.struct((F.col("p_size") * 2).alias("size_std"), F.when(F.col("p_size") > 25, "large").otherwise("small").alias("size_flag"))
-    return table(spark, d, "part").select("p_partkey", both.alias("s")).select("p_partkey", "s.*")

@@ -47,13 +47,6 @@ def c07(spark, d):
     return v.withColumn("u", F.upper("v")).join(a, "u", "left").join(n, "u", "left").select("v", F.coalesce("a", "n", F.lit(0)).alias("brand_id"))
 
 
-@query("c08_in_stock", "with l as (select distinct listing_id, sold_count, is_mini, brand from validate_at_scale_nvidia) select count(*) as n, sum((sold_count is not null)::int)::bigint as kept, sum((sold_count is null and brand is null)::int)::bigint as dropped_unlabelled, sum(coalesce(is_mini, false)::int)::bigint as minis from l")
-def c08(spark, d):
-    x = table(spark, d, "validate_at_scale_nvidia").select("listing_id", "sold_count", "is_mini", "brand").distinct()
-    n = lambda c: F.sum(c.cast("int"))
-    return x.agg(F.count(F.lit(1)).alias("n"), n(F.col("sold_count").isNotNull()).alias("kept"), n(F.col("sold_count").isNull() & F.col("brand").isNull()).alias("dropped_unlabelled"), n(F.coalesce("is_mini", F.lit(False))).alias("minis"))
-
-
 @query("c10_clean_terms", "with t as (select trend_id, unnest(string_split(keywords, ';')) k, generate_subscripts(string_split(keywords, ';'), 1) i from trends where keywords is not null), c as (select trend_id, trim(regexp_replace(lower(replace(k, ',', ' ')), '\\s+', ' ', 'g')) k, i from t), f as (select trend_id, k, min(i) i from c where k <> '' and len(string_split(k, ' ')) <= 4 group by all), r as (select *, row_number() over (partition by trend_id order by i) n from f) select trend_id, string_agg(k, '|' order by n) as terms from r where n <= 5 group by 1")
 def c10(spark, d):
     t = table(spark, d, "trends").where("keywords is not null")
@@ -183,11 +176,6 @@ def d19(spark, d):
     return V.round_robin(x, "n", "p", "link").select("doc_id", "place")
 
 
-@query("d20_attribution", "select trend_id, coalesce(stream_name, 'unmatched') as stream, count(*) over (partition by stream_name) as n_in_stream from trends")
-def d20(spark, d):
-    return table(spark, d, "trends").select("trend_id", F.coalesce("stream_name", F.lit("unmatched")).alias("stream"), F.count(F.lit(1)).over(Window.partitionBy("stream_name")).alias("n_in_stream"))
-
-
 @query("f34_budget", "with l as (select l_orderkey k, l_linenumber p, l_returnflag || '-' || l_linestatus || '-' || l_linenumber t from lineitem), u as (select *, sum(length(t) + 1) over (partition by k order by p, t rows unbounded preceding) u from l) select k, p from u where u <= 20")
 def f34(spark, d):
     x = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("p"), F.concat_ws("-", "l_returnflag", "l_linestatus", F.col("l_linenumber").cast("string")).alias("t"))
@@ -212,11 +200,6 @@ def h01(spark, d):
     return a.unionByName(b, allowMissingColumns=True)
 
 
-@query("h02_first_by_link", "select outlet, min(doc_id) as doc_id from documents where outlet is not null group by 1")
-def h02(spark, d):
-    return V.first_by(docs(spark, d).where("outlet is not null").select("outlet", "doc_id"), ["outlet"], ["doc_id"])
-
-
 @query("h04_except_keywords", "select distinct lower(matched_keyword) as keyword from documents where matched_keyword is not null except select lower(keyword) from pmc_keywords")
 def h04(spark, d):
     return docs(spark, d).where("matched_keyword is not null").select(F.lower("matched_keyword").alias("keyword")).subtract(table(spark, d, "pmc_keywords").select(F.lower("keyword")))
@@ -228,12 +211,6 @@ def h05(spark, d):
     return table(spark, d, "trends").select("trend_id", F.round(T.jaccard(t("trend_name"), t("keywords")), 6).alias("jaccard"))
 
 
-@query("g06_top_with_promotion", "select trend_id, row_number() over (order by rank_short, trend_id) as place from trends where above_market_line = 1 and rank_short is not null qualify place <= 20")
-def g06(spark, d):
-    x = table(spark, d, "trends").where("above_market_line = 1 and rank_short is not null")
-    return x.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("rank_short", "trend_id"))).where("place <= 20").select("trend_id", "place")
-
-
 @query("g07_detail_set", "with a as (select trend_id from trends where above_market_line = 1), b as (select trend_id from trends order by growth_score_y1 desc nulls last, trend_id limit 5), c as (select trend_id from trends order by growth_score_y3 desc nulls last, trend_id limit 5) select trend_id from a union select trend_id from b union select trend_id from c")
 def g07(spark, d):
     t = table(spark, d, "trends")
@@ -241,24 +218,6 @@ def g07(spark, d):
     return t.where("above_market_line = 1").select("trend_id").union(best("growth_score_y1")).union(best("growth_score_y3")).distinct()
 
 
-@query("g10_pick_pages", "select source, doc_id from documents where source is not null and text is not null and length(trim(text)) > 100 qualify row_number() over (partition by source order by doc_id) <= 3")
-def g10(spark, d):
-    x = docs(spark, d).where("source is not null and text is not null and length(trim(text)) > 100").select("source", "doc_id")
-    return x.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))).where("k <= 3").drop("k")
-
-
-@query("g11_passages", "select doc_id, kind from (select doc_id, case when length(text) > 500 then 1 else 2 end kind, source from documents where text is not null and source = 'news') qualify row_number() over (order by kind, doc_id) <= 12")
-def g11(spark, d):
-    x = docs(spark, d).where("text is not null and source = 'news'").select("doc_id", F.when(F.length("text") > 500, 1).otherwise(2).alias("kind"))
-    return x.orderBy("kind", "doc_id").limit(12)
-
-
-@query("g12_paginate", "select trend_id, ((row_number() over (order by rank_short nulls last, trend_id) - 1) // 2)::int as page from trends")
-def g12(spark, d):
-    r = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("rank_short").asc_nulls_last(), "trend_id"))
-    return table(spark, d, "trends").select("trend_id", F.floor((r - 1) / 2).cast("int").alias("page"))
-
-
 @query("g14_preselect", "with n as (select doc_id, title, count(*) over () n from documents where source = 'news'), f as (select * from n where n <= 30 or regexp_matches(lower(coalesce(title, '')), 'skin|hair|lip')) select doc_id from f order by doc_id limit 30")
 def g14(spark, d):
     n = docs(spark, d).where("source = 'news'").select("doc_id", "title")
@@ -291,37 +250,18 @@ def i23(spark, d):
     return table(spark, d, "trends").select("trend_id", V.investment_signal(F.col("expected_pct_y1")).alias("signal"))
 
 
-@query("i24_stage", "select trend_id, case when l <= -5 then 'Declining' when l < 5 then 'Stable' when l <= s then 'Peaking' when s >= 10 then 'Growing' else 'Emerging' end as stage from (select trend_id, expected_pct_y1 s, expected_pct_y1 * growth_score_y3 * 2 l from trends where expected_pct_y1 is not null and growth_score_y3 is not null)")
-def i24(spark, d):
-    t = table(spark, d, "trends").where("expected_pct_y1 is not null and growth_score_y3 is not null")
-    return t.select("trend_id", V.trend_stage(F.col("expected_pct_y1"), F.col("expected_pct_y1") * F.col("growth_score_y3") * 2, 5, 10).alias("stage"))
-
-
 @query("i27_product_text", "with p as (select distinct listing_id, concat_ws(' | ', product_name, brand, subgroup) t from validate_at_scale_nvidia) select listing_id, sha256(t) as digest from p")
 def i27(spark, d):
     x = table(spark, d, "validate_at_scale_nvidia").select("listing_id", F.concat_ws(" | ", "product_name", "brand", "subgroup").alias("t")).distinct()
     return x.select("listing_id", F.sha2("t", 256).alias("digest"))
 
 
-@query("i34_dates")
-def i34(spark, d):
-    return docs(spark, d).where("published_at is not null").select("doc_id", T.any_date(F.col("published_at")).alias("day"))
-
-
 @query("i35_midpoint", "select o_custkey, (min(o_orderdate)::date + (date_diff('day', min(o_orderdate), max(o_orderdate)) // 2)::int)::date as middle from orders group by 1")
 def i35(spark, d):
     g = table(spark, d, "orders").groupBy("o_custkey").agg(F.min(F.to_date("o_orderdate")).alias("a"), F.max(F.to_date("o_orderdate")).alias("b"))
     return g.select("o_custkey", T.midpoint(F.col("a"), F.col("b")).alias("middle"))
 
 
-@query("i09_number_gate", "with p as (select trend_id, 'It grows ' || round(expected_pct_y1)::int || '% with ' || n_keywords || ' words' t, 'expected ' || round(expected_pct_y1)::int || '%' e, n_keywords, round(expected_pct_y1)::int x from trends where expected_pct_y1 >= 10 and n_keywords is not null and expected_pct_y1 - floor(expected_pct_y1) <> 0.5) select trend_id, n_keywords < 10 or n_keywords = x as ok from p")
-def i09(spark, d):
-    t = table(spark, d, "trends").where("expected_pct_y1 >= 10 and n_keywords is not null and expected_pct_y1 - floor(expected_pct_y1) <> 0.5")
-    x = F.round("expected_pct_y1").cast("int").cast("string")
-    said = F.concat(F.lit("It grows "), x, F.lit("% with "), F.col("n_keywords").cast("string"), F.lit(" words"))
-    return t.select("trend_id", V.numbers_supported(said, F.concat(F.lit("expected "), x, F.lit("%"))).alias("ok"))
-
-
 @query("i12_profile_gate", "select trend_id, case when keywords is null then 'no quote' when not contains(lower(keywords), lower(split_part(trend_name, ' ', 1))) or length(split_part(trend_name, ' ', 1)) < 3 then 'quote not in evidence' else 'ok' end as result from trends where trend_name is not null")
 def i12(spark, d):
     t = table(spark, d, "trends").where("trend_name is not null")
@@ -344,12 +284,6 @@ def l24(spark, d):
     return docs(spark, d).agg(F.countDistinct(F.lower(F.trim("matched_keyword"))).alias("n_keywords"), F.countDistinct("source").alias("n_sources"))
 
 
-@query("l01_largest_clusters", "select p_name, count(*) as size, row_number() over (order by count(*) desc, p_name) as place from part group by 1 qualify place <= 10")
-def l01(spark, d):
-    g = table(spark, d, "part").groupBy("p_name").agg(F.count(F.lit(1)).alias("size"))
-    return g.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("size"), "p_name"))).where("place <= 10")
-
-
 @query("l03_keyword_columns", "select source, string_agg(distinct matched_keyword, ', ' order by matched_keyword) as keywords from documents where source in ('news', 'paper') and matched_keyword is not null group by 1")
 def l03(spark, d):
     x = docs(spark, d).where("source in ('news', 'paper') and matched_keyword is not null")
