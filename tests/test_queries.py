@@ -9,7 +9,7 @@ from compare import plain
 from weftline.plans import registry
 
 FOLDER = "/root/testdata/sf0.001"
-SLOW = {"j01_forest_predictions", "j03_walk_forward"}  # a smaller sample has too few months
+SLOW = {"j01_forest_predictions", "j02_frozen_model", "j03_walk_forward", "j04_contest", "growth_score_model"}  # a smaller sample has too few months
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings validate_at_scale_nvidia export_llm_data pmc_timeseries pmc_keywords trends brand_list brand_aliases reading_labels mix_targets".split()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")

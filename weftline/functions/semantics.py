@@ -39,23 +39,6 @@ def pool_size(n: Column, share: float = 0.01) -> Column:
     return F.greatest(F.lit(1), F.rint(n * share).cast("int"))
 
 
-def market_cuts(sorted_values: Column, tiers: int) -> Column:
-    """Cuts at half-even n i / k: the value below each, strictly rising, below the maximum."""
-    n = F.size(sorted_values)
-    at = F.array(*(F.rint(n * F.lit(i) / F.lit(tiers)).cast("int") for i in range(1, tiers)))
-    cuts = F.transform(F.filter(at, lambda j: (j > 0) & (j < n)), lambda j: F.element_at(sorted_values, j))
-    return F.array_sort(F.array_distinct(F.filter(cuts, lambda c: c < F.element_at(sorted_values, -1))))
-
-
-def brand_cuts(sorted_values: Column, tiers: int) -> Column:
-    """Cuts midway between neighbours; at most half as many tiers as values."""
-    n = F.size(sorted_values)
-    k = F.greatest(F.lit(1), F.least(F.lit(tiers), F.floor(n / 2)).cast("int"))
-    at = F.transform(F.filter(F.sequence(F.lit(1), F.lit(max(1, tiers - 1))), lambda i: i < k), lambda i: F.rint(n * i / k).cast("int"))
-    cuts = F.transform(F.filter(at, lambda j: (j > 0) & (j < n)), lambda j: (F.element_at(sorted_values, j) + F.element_at(sorted_values, j + 1)) / 2)
-    return F.array_sort(F.array_distinct(F.filter(cuts, lambda c: c < F.element_at(sorted_values, -1))))
-
-
 def tier_of(value: Column, cuts: Column) -> Column:
     """Tier from 1; a value equal to a cut is in the lower tier."""
     return F.size(F.filter(cuts, lambda c: value > c)) + 1

@@ -41,8 +41,9 @@ def label_propagation(e: DataFrame, guard: int = 1000) -> DataFrame:
     return label
 
 
-def components(e: DataFrame, rounds: int = 50) -> DataFrame:
-    """(node, component): the least node each is connected with."""
+def components(e: DataFrame, rounds: int = 100) -> DataFrame:
+    """(node, component): the least node each is connected with; an error if the rounds don't suffice,
+    which halve the distance each."""
     both = cut(e.select("a", "b").unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     label = both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component"))
     for _ in range(rounds):
@@ -52,8 +53,8 @@ def components(e: DataFrame, rounds: int = 50) -> DataFrame:
         new = cut(step.join(far, "c", "left").select("node", "old", F.least("c", F.coalesce("far", "c")).alias("component")))
         label = new.select("node", "component")
         if not new.where("old != component").limit(1).count():
-            break
-    return label
+            return label
+    raise RuntimeError(f"components are not settled after {rounds} rounds")
 
 
 def louvain(links: list[tuple[str, str, float]], seed: int) -> dict[str, str]:

@@ -147,8 +147,38 @@ def s02(spark, d):
     e = table(spark, d, "events")
     s = spark.readStream.schema(e.schema).option("pathGlobFilter", "events.parquet").parquet(d)
     name = f"t{uuid.uuid4().hex}"
-    t = stream.run_once(stream.run_totals(s, "event_type", "value"), name, "update", place(spark, d, name))
-    return t.groupBy("event_type").agg(F.max("n").alias("n"), F.round(F.max_by("total", "n"), 2).alias("total"), F.max("top").alias("top"))
+    # A type may hold a third of all events, so its state is kept in 32 parts.
+    s = s.withColumn("part", F.concat_ws("|", "event_type", F.pmod(F.xxhash64("event_id"), F.lit(32)).cast("string")))
+    t = stream.run_once(stream.run_totals(s, "part", "value"), name, "update", place(spark, d, name))
+    last = t.groupBy("part").agg(F.max("n").alias("n"), F.max_by("total", "n").alias("total"), F.max("top").alias("top"))
+    of = F.regexp_extract("part", r"^(.*)\|\d+$", 1).alias("event_type")
+    return last.groupBy(of).agg(F.sum("n").alias("n"), F.round(F.sum("total"), 2).alias("total"), F.max("top").alias("top"))
+
+
+@query("s03_once_only_stream", "select event_type, count(distinct event_id) as n from events group by 1")
+def s03(spark, d):
+    """A stream in which some events are delivered twice, each counted once."""
+    e = table(spark, d, "events")
+    s = spark.readStream.schema(e.schema).option("pathGlobFilter", "events.parquet").parquet(d).withColumn("ts", F.col("ts").cast("timestamp"))
+    twice = s.select("*", F.explode(F.when(F.col("event_id") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
+    name = f"o{uuid.uuid4().hex}"
+    return stream.run_once(stream.once_only(twice, "ts", "event_id", "4000 days").select("event_type", "event_id"), name, "append", place(spark, d, name)).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("b02_sqlite_star", "select trend_id, trend_name, n_keywords::bigint as n_keywords, growth_score_y1 from trends")
+def b02_sqlite(spark, d):
+    """A small database with a trend table, a glossary and the run's facts, written and read again."""
+    import sqlite3
+
+    path = place(spark, d, "star").removeprefix("file:") + ".db"
+    t = table(spark, d, "trends").select("trend_id", "trend_name", "n_keywords", "growth_score_y1")
+    glossary = spark.createDataFrame([("growth_score_y1", "percentile of the expected growth one year ahead")], "term string, meaning string")
+    sinks.write_sqlite({"trends": t, "glossary": glossary, "run_info": t.agg(F.count(F.lit(1)).alias("n_trends"))}, path)
+    with sqlite3.connect(path) as con:
+        if con.execute("select n_trends from run_info").fetchone()[0] != con.execute("select count(*) from trends").fetchone()[0] or not con.execute("select * from glossary").fetchall():
+            raise ValueError("the database doesn't hold what was written")
+        rows = con.execute("select trend_id, trend_name, n_keywords, growth_score_y1 from trends").fetchall()  # the size of a hand-over
+    return spark.createDataFrame(rows, "trend_id string, trend_name string, n_keywords long, growth_score_y1 double")
 
 
 @query("a02_csv_round_trip", "select p_partkey, p_name, p_retailprice from part")
@@ -241,8 +271,21 @@ def b06(spark, d):
     return sinks.latest(table(spark, d, "orders").select("o_custkey", "o_orderkey"), "o_custkey", "o_orderkey")
 
 
-@query("b11_manifest")
+@query("b11_stale_inputs", "select 'nation' as input, true as stale union all select 'region', false")
 def b11(spark, d):
+    """Inputs whose digest is no longer what their producer wrote: one of two is written anew with other rows."""
     path = place(spark, d, "manifest")
-    table(spark, d, "nation").coalesce(1).write.parquet(path)
-    return sinks.manifest(spark, path).where("path like '%.parquet'").select(F.length("digest").alias("digest_length"), (F.col("bytes") > 0).alias("has_bytes"))
+    rows = {n: table(spark, d, n).coalesce(1) for n in ("nation", "region")}
+    for n, x in rows.items():
+        x.write.parquet(f"{path}/{n}")
+
+    def digests():
+        parts = [sinks.manifest(spark, f"{path}/{n}").where("path like '%.parquet'").agg(F.array_join(F.array_sort(F.collect_list("digest")), ",").alias("digest")).select(F.lit(n).alias("path"), "digest") for n in rows]
+        return cut(parts[0].unionByName(parts[1]))
+
+    produced = digests()
+    rows["nation"].where("n_nationkey > 0").write.mode("overwrite").parquet(f"{path}/nation")
+    stale = sinks.stale_inputs(digests(), produced).select("path", F.lit(True).alias("stale"))
+    return produced.join(stale, "path", "left").select(F.col("path").alias("input"), F.coalesce("stale", F.lit(False)).alias("stale"))
+
+

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +25,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set from spark.checkpoint.dir, or a default in local mode."""
+    """The shared checkpoint folder; set from spark.checkpoint.dir, or a default in local mode that
+    is removed at the end. On a cluster spark.cleaner.referenceTracking.cleanCheckpoints lets
+    Spark remove checkpoints that are no longer used."""
     sc = spark.sparkContext
     now = sc._jsc.sc().getCheckpointDir()
     if now.isDefined():
@@ -33,6 +37,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file:///tmp/weftline-checkpoints"
+        sc.setCheckpointDir(folder)
+        atexit.register(shutil.rmtree, sc._jsc.sc().getCheckpointDir().get().removeprefix("file:"), True)
+        return sc._jsc.sc().getCheckpointDir().get()
     sc.setCheckpointDir(folder)
     return sc._jsc.sc().getCheckpointDir().get()
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import re
 import sqlite3
@@ -9,6 +10,7 @@ import uuid
 import zipfile
 from xml.sax.saxutils import escape
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,12 +51,14 @@ def compact_json(*cols: Column) -> Column:
     return F.to_json(F.struct(*cols), {"ignoreNullFields": "true"})
 
 
-def flat(df: DataFrame, most: int = 32_000) -> DataFrame:
-    """Lists joined by a bar, structures as JSON, texts cut to what a spreadsheet cell holds."""
+def flat(df: DataFrame, most: int | None = None) -> DataFrame:
+    """Lists joined by a bar, structures as JSON; texts cut to `most` characters only where a limit
+    is given, as for the cells of a spreadsheet."""
     out = []
     for c, t in df.dtypes:
         x = F.array_join(F.col(c).cast("array<string>"), " | ") if t.startswith("array<") and "struct" not in t else F.to_json(c) if t.startswith(("struct", "map", "array<struct")) else F.col(c)
-        out.append((F.substring(x, 1, most) if t == "string" or t.startswith(("array", "struct", "map")) else x).alias(c))
+        text = t == "string" or t.startswith(("array", "struct", "map"))
+        out.append((F.substring(x, 1, most) if text and most else x).alias(c))
     return df.select(*out)
 
 
@@ -63,10 +67,27 @@ def latest(log: DataFrame, key: str, order: str) -> DataFrame:
     return log.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.col(order).desc()))).where("_r = 1").drop("_r")
 
 
+def _digests(paths: pd.Series) -> pd.Series:
+    """SHA-256 of each file, read in pieces of a megabyte."""
+    from pyarrow.fs import FileSystem
+
+    out = []
+    for p in paths:
+        fs, at = FileSystem.from_uri(p)
+        h = hashlib.sha256()
+        with fs.open_input_stream(at) as f:
+            while piece := f.read(1 << 20):
+                h.update(piece)
+        out.append(h.hexdigest())
+    return pd.Series(out)
+
+
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """(path, bytes, digest) of the files of a folder."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("digest"))
+    """(path, bytes, digest) of the files of a folder. Files are listed without their contents and
+    digested in pieces, so a file may be of any size."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+    uri = F.regexp_replace("path", "^file:/+", "file:///")
+    return files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("path"), F.col("length").alias("bytes"), F.pandas_udf(_digests, "string")(uri).alias("digest"))
 
 
 def stale_inputs(inputs: DataFrame, outputs: DataFrame) -> DataFrame:

@@ -5,15 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def file_stream(spark: SparkSession, path: str, schema, files: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
-
-
 def windowed(events: DataFrame, time: str, keys: list[str], value: str, width: str = "1 day", late: str = "1 day") -> DataFrame:
     """Count and mean by key and window; events later than the watermark are left out."""
     g = events.withWatermark(time, late).groupBy(F.window(time, width), *keys).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(value), 6).alias("mean"))
@@ -21,6 +17,7 @@ def windowed(events: DataFrame, time: str, keys: list[str], value: str, width: s
 
 
 def once_only(events: DataFrame, time: str, key: str, late: str = "1 day") -> DataFrame:
+    """Events without those of a key seen before within the watermark."""
     return events.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
 
 
