@@ -144,7 +144,7 @@ def conclusions(text: str | None) -> str | None:
     if not text:
         return None
     heads = list(_HEADING.finditer(text))
-    blocks = [text[h.end() : n.start() if n else len(text)].strip() for h, n in zip(heads, [*heads[1:], None], strict=True) if _ENDS.search(h["h"])]
+    blocks = [text[h.end() : n.start() if n else len(text)].strip() for h, n in zip(heads, [*heads[1:], None], strict=False) if _ENDS.search(h["h"])]
     if any(blocks):
         return "\n\n".join(b for b in blocks if b)
     said = _LABEL.search(text)
