@@ -60,21 +60,21 @@ def j13(spark, d):
     return G.retry(v.where("subgroup is null").select("listing_id").distinct(), tries, "listing_id", "round")
 
 
-@query("l27_bullets", "with b as (select trend_id, unnest(string_split(keywords, ';')) t from trends where keywords is not null) select sha256(trim(t)) as digest, min(trim(t)) as bullet, count(*)::bigint as n_uses from b where trim(t) <> '' group by 1")
+@query("l27_bullets", "with b as (select trend_id, unnest(string_split(keywords, '; ')) t from trends where keywords is not null) select sha256(trim(t)) as digest, min(trim(t)) as bullet, count(*)::bigint as n_uses from b where trim(t) <> '' group by 1")
 def l27(spark, d):
     """Bullets to embed: each text once, by its digest, whoever uses it."""
-    b = table(spark, d, "trends").where("keywords is not null").select(F.explode(F.split("keywords", ";")).alias("t")).select(F.trim("t").alias("t")).where("t != ''")
+    b = table(spark, d, "trends").where("keywords is not null").select(F.explode(F.split("keywords", "; ")).alias("t")).select(F.trim("t").alias("t")).where("t != ''")
     return b.groupBy(F.sha2("t", 256).alias("digest")).agg(F.min("t").alias("bullet"), F.count(F.lit(1)).alias("n_uses"))
 
 
 # -- search stream -------------------------------------------------------------------------
 
-_TALK = "select source as category, lower(matched_keyword) as q, case when source_region = 'TH' then 'th' else 'ww' end as place, matched_keyword in (select unnest(string_split(keywords, ';')) from trends) as fed from documents where source is not null and matched_keyword is not null"
+_TALK = "select source as category, lower(matched_keyword) as q, case when source_region = 'TH' then 'th' else 'ww' end as place, matched_keyword in (select unnest(string_split(keywords, '; ')) from trends) as fed from documents where source is not null and matched_keyword is not null"
 
 
 @query("k14_search_talk", f"with x as ({_TALK}), g as (select category, q, count(distinct place) n, min(place) p, max(fed::int) f from x group by 1, 2) select category, count(*) as n, sum((n = 1 and p = 'th')::int)::bigint as th, sum((n = 1 and p = 'ww')::int)::bigint as ww, sum((n > 1)::int)::bigint as both, sum(f)::bigint as fed from g group by 1")
 def k14(spark, d):
-    fed = table(spark, d, "trends").where("keywords is not null").select(F.explode(F.split("keywords", ";")).alias("matched_keyword")).distinct().withColumn("fed", F.lit(True))
+    fed = table(spark, d, "trends").where("keywords is not null").select(F.explode(F.split("keywords", "; ")).alias("matched_keyword")).distinct().withColumn("fed", F.lit(True))
     x = docs(spark, d).where("source is not null and matched_keyword is not null").join(fed, "matched_keyword", "left")
     x = x.select(F.col("source").alias("category"), F.lower("matched_keyword").alias("q"), F.when(F.col("source_region") == "TH", "th").otherwise("ww").alias("place"), F.coalesce("fed", F.lit(False)).alias("fed"))
     return A.search_talk(x, "category", "q", "place", "fed")
@@ -97,12 +97,12 @@ def k19(spark, d):
     return p.join(have, "link", "left").withColumn("cached", F.coalesce("cached", F.lit(False)))
 
 
-@query("l17_synthesis_status", "with q as (select trend_id, sha256(coalesce(keywords, '')) g from trends), c as (select trend_id, sha256(coalesce(keywords, '')) c from trends where stream_name = 'paper'), p as (select t.trend_id, count(*) n from trends t join documents d on d.matched_keyword = t.trend_name group by 1) select q.trend_id, case when c = g then 'cached' when coalesce(n, 0) = 0 then 'no evidence' else 'ask' end as status from q left join c using (trend_id) left join p using (trend_id)")
+@query("l17_synthesis_status", "with q as (select trend_id, sha256(coalesce(keywords, '')) g from trends), c as (select trend_id, sha256(coalesce(keywords, '')) c from trends where stream_name = 'Paper'), p as (select t.trend_id, count(*) n from trends t join documents d on d.matched_keyword = t.trend_name group by 1) select q.trend_id, case when c = g then 'cached' when coalesce(n, 0) = 0 then 'no evidence' else 'ask' end as status from q left join c using (trend_id) left join p using (trend_id)")
 def l17(spark, d):
     t = table(spark, d, "trends")
     digest = F.sha2(F.coalesce("keywords", F.lit("")), 256).alias("digest")
     passages = t.select("trend_id", F.col("trend_name").alias("matched_keyword")).join(docs(spark, d).select("matched_keyword"), "matched_keyword")
-    return A.synthesis_status(t.select("trend_id", digest), t.where("stream_name = 'paper'").select("trend_id", digest), passages, "trend_id", "digest")
+    return A.synthesis_status(t.select("trend_id", digest), t.where("stream_name = 'Paper'").select("trend_id", digest), passages, "trend_id", "digest")
 
 
 _SAID = "list_transform(regexp_extract_all({}, '([0-9][0-9,.]*%?)'), lambda x: regexp_replace(x, '[.,]+$', ''))"

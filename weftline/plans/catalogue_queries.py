@@ -252,14 +252,3 @@ def l32(spark, d):
     return k.groupBy("keyword").agg(F.array_join(F.array_sort(F.collect_set("t")), " | ").alias("trends"))
 
 
-@query("k11_trend_context", "select t.trend_id, t.main_category, count(distinct v.listing_id) as n_listings, count(distinct e.customer) as n_customers from trends t left join (select distinct listing_id, trend_id from validate_at_scale_nvidia) v on v.trend_id = t.trend_id left join (select distinct customer, trend_id from export_llm_data) e on e.trend_id = t.trend_id group by all")
-def k11(spark, d):
-    n = lambda name, key, c: table(spark, d, name).groupBy("trend_id").agg(F.countDistinct(key).alias(c))
-    t = table(spark, d, "trends").select("trend_id", "main_category")
-    return t.join(n("validate_at_scale_nvidia", "listing_id", "n_listings"), "trend_id", "left").join(n("export_llm_data", "customer", "n_customers"), "trend_id", "left").fillna(0, ["n_listings", "n_customers"])
-
-
-@query("k17_growth_facts_json", "select trend_id, '{\"name\":\"' || trend_name || '\",\"words\":' || n_keywords || '}' as facts from trends where trend_name is not null and n_keywords is not null")
-def k17(spark, d):
-    t = table(spark, d, "trends").where("trend_name is not null and n_keywords is not null")
-    return t.select("trend_id", F.to_json(F.struct(F.col("trend_name").alias("name"), F.col("n_keywords").alias("words"))).alias("facts"))

@@ -254,13 +254,6 @@ def b01(spark, d):
     return sinks.closed(table(spark, d, "nation").select("n_name", "n_nationkey"), ["n_nationkey", "n_name", "note"])
 
 
-@query("b03_star_export", "select c_mktsegment, count(*) as n from customer group by 1")
-def b03(spark, d):
-    path = place(spark, d, "star")
-    sinks.write_star({"customers": table(spark, d, "customer")}, path, {"customers": ["c_mktsegment"]})
-    return spark.read.parquet(f"{path}/customers").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("b05_flat_rows", "select p_brand, string_agg(distinct p_type, ' | ' order by p_type) as types from part group by 1")
 def b05(spark, d):
     return sinks.flat(table(spark, d, "part").groupBy("p_brand").agg(F.array_sort(F.collect_set("p_type")).alias("types")))

@@ -229,11 +229,11 @@ def c09(spark, d):
     return k.select("keyword", F.regexp_replace(F.trim(F.regexp_replace(F.lower("keyword"), r"\s+", " ")), "(?<=[฀-๿]) (?=[฀-๿])", "").alias("norm"))
 
 
-@query("c19_horizon_tokens", "select trend_id, list_transform(string_split(keywords, ';'), lambda k: 'In 3 years ' || k || ' up, 5y') as lines from trends where keywords is not null")
+@query("c19_horizon_tokens", "select trend_id, list_transform(string_split(keywords, '; '), lambda k: 'In 3 years ' || k || ' up, 5y') as lines from trends where keywords is not null")
 def c19(spark, d):
     """Tokens of the horizons replaced in every text of a nested value."""
     t = table(spark, d, "trends").where("keywords is not null")
-    nested = t.select("trend_id", F.transform(F.split("keywords", ";"), lambda k: F.concat(F.lit("In {short} years "), k, F.lit(" up, {long}y"))).alias("lines"))
+    nested = t.select("trend_id", F.transform(F.split("keywords", "; "), lambda k: F.concat(F.lit("In {short} years "), k, F.lit(" up, {long}y"))).alias("lines"))
     return T.with_tokens(nested, {"short": "3", "long": "5"})
 
 
@@ -282,20 +282,20 @@ def i01_unsized(spark, d):
     return i01(spark, d).where("flag = 'no_size'").select("listing_id")
 
 
-@query("i13_dimension_gate", "select trend_id, case when keywords is null then 'no quote' when not contains(lower(coalesce(display_name, '') || ' ' || keywords), lower(string_split(keywords, ';')[1])) then 'quote not in evidence' when n_keywords is not null and not contains(keywords, n_keywords::varchar) and n_keywords >= 10 then 'number not in evidence' else 'ok' end as topic from trends")
+@query("i13_dimension_gate", "select trend_id, case when keywords is null then 'no quote' when not contains(lower(coalesce(display_name, '') || ' ' || keywords), lower(string_split(keywords, '; ')[1])) then 'quote not in evidence' when n_keywords is not null and not contains(keywords, n_keywords::varchar) and n_keywords >= 10 then 'number not in evidence' else 'ok' end as topic from trends")
 def i13(spark, d):
     """A dimension's field passes with a quote that stands in the evidence and no number that doesn't."""
     from weftline.operators.evidence import gate
 
     t = table(spark, d, "trends")
     said = F.concat(F.lit("It has "), F.coalesce(F.col("n_keywords").cast("string"), F.lit("some")), F.lit(" words"))
-    return t.select("trend_id", gate(said, F.split("keywords", ";")[0], F.concat_ws(" ", F.coalesce("display_name", F.lit("")), "keywords"), "worried").alias("topic"))
+    return t.select("trend_id", gate(said, F.split("keywords", "; ")[0], F.concat_ws(" ", F.coalesce("display_name", F.lit("")), "keywords"), "worried").alias("topic"))
 
 
-@query("i22_cross_source", "with w as (select trend_id, stream_name, unnest(string_split(keywords, ';')) k from trends where keywords is not null), s as (select a.trend_id, count(distinct b.stream_name) n from w a join w b using (k) where b.stream_name is not null group by 1) select t.trend_id, coalesce(n, 0)::int as n_streams, coalesce(n, 0) > 1 and coalesce(t.above_market_line, 0) <> 1 as applied from trends t left join s using (trend_id)")
+@query("i22_cross_source", "with w as (select trend_id, stream_name, unnest(string_split(keywords, '; ')) k from trends where keywords is not null), s as (select a.trend_id, count(distinct b.stream_name) n from w a join w b using (k) where b.stream_name is not null group by 1) select t.trend_id, coalesce(n, 0)::int as n_streams, coalesce(n, 0) > 1 and coalesce(t.above_market_line, 0) <> 1 as applied from trends t left join s using (trend_id)")
 def i22(spark, d):
     t = table(spark, d, "trends").select("trend_id", "stream_name", "keywords", "above_market_line")
-    words = t.where("keywords is not null").select("trend_id", "stream_name", F.explode(F.split("keywords", ";")).alias("k"))
+    words = t.where("keywords is not null").select("trend_id", "stream_name", F.explode(F.split("keywords", "; ")).alias("k"))
     return G.cross_source(t.drop("keywords", "stream_name"), words, "trend_id", "stream_name", "k", "above_market_line").select("trend_id", "n_streams", "applied")
 
 
@@ -308,13 +308,13 @@ def i25(spark, d):
     return t.select("trend_id", (F.size(allowed) > 0).alias("has_path"), G.percents_allowed(said, allowed).alias("exact_ok"))
 
 
-@query("i25_trend_facts", "select trend_id, trend_name as trend, string_split(keywords, ';') as keywords, round(expected_pct_y1, 1) as expected_y1, case when growth_score_y1 >= 0.5 then 'above' when growth_score_y1 is not null then 'below' end as market, 'Search interest in ' || trend_name || ' is expected to change ' || case when round(expected_pct_y1) >= 0 then '+' else '' end || round(expected_pct_y1)::bigint || '% in year 1.' as summary from trends where expected_pct_y1 is not null and trend_name is not null")
+@query("i25_trend_facts", "select trend_id, trend_name as trend, string_split(keywords, '; ') as keywords, round(expected_pct_y1, 1) as expected_y1, case when growth_score_y1 >= 0.5 then 'above' when growth_score_y1 is not null then 'below' end as market, 'Search interest in ' || trend_name || ' is expected to change ' || case when round(expected_pct_y1) >= 0 then '+' else '' end || round(expected_pct_y1)::bigint || '% in year 1.' as summary from trends where expected_pct_y1 is not null and trend_name is not null")
 def i25_facts(spark, d):
     """The facts of a trend as one row, with the sentence that stands in where no text passes."""
     t = table(spark, d, "trends").where("expected_pct_y1 is not null and trend_name is not null")
     p = F.round("expected_pct_y1").cast("long")
     said = F.concat(F.lit("Search interest in "), "trend_name", F.lit(" is expected to change "), F.when(p >= 0, "+").otherwise(""), p.cast("string"), F.lit("% in year 1."))
-    return t.select("trend_id", F.col("trend_name").alias("trend"), F.split("keywords", ";").alias("keywords"), F.round("expected_pct_y1", 1).alias("expected_y1"), F.when(F.col("growth_score_y1") >= 0.5, "above").when(F.col("growth_score_y1").isNotNull(), "below").alias("market"), said.alias("summary"))
+    return t.select("trend_id", F.col("trend_name").alias("trend"), F.split("keywords", "; ").alias("keywords"), F.round("expected_pct_y1", 1).alias("expected_y1"), F.when(F.col("growth_score_y1") >= 0.5, "above").when(F.col("growth_score_y1").isNotNull(), "below").alias("market"), said.alias("summary"))
 
 
 _PURPOSE_SQL = "(in order to|so that|because|due to|as a result|therefore|(to|for) prepare|prepar(e|es|ing|ation) for|in preparation|get(ting)? ready|to plan|planning|plans? ahead|feel(s|ing|ings)?|confident|confidence|worr(y|ies|ied)|anxious|relief|peace of mind)"

@@ -232,14 +232,6 @@ def i18(spark, d):
     return x.where(F.size(T.tokens(F.col("matched_keyword"))) > 0).select("doc_id", s.alias("match"))
 
 
-@query("i19_durability", "with v as (select trend_id, (rank_short % 3 - 1)::int a, (n_keywords % 3 - 1)::int b, rank_short % 5 = 0 h from trends where rank_short is not null and n_keywords is not null), s as (select trend_id, greatest(5, least(95, 50 + a * 15 + b * 10 + case when h then -10 else 0 end))::int score from v) select trend_id, score, case when score >= 90 then 'durable' when score >= 70 then 'likely_durable' when score >= 55 then 'leaning_durable' when score >= 40 then 'undetermined' when score >= 25 then 'leaning_fad' else 'likely_fad' end as band from s")
-def i19(spark, d):
-    t = table(spark, d, "trends").where("rank_short is not null and n_keywords is not null")
-    v = [((F.col("rank_short") % 3 - 1).cast("int"), 15), ((F.col("n_keywords") % 3 - 1).cast("int"), 10)]
-    s = V.durability(v, [F.col("trend_name"), F.col("keywords")], F.when(F.col("rank_short") % 5 == 0, F.array(F.lit("E"))))
-    return t.select("trend_id", s.alias("s")).select("trend_id", F.col("s.score").cast("int").alias("score"), "s.band")
-
-
 @query("i20_novelty", "with t as (select trend_id, lower(coalesce(trend_name, '')) n, lower(coalesce(trend_name, '')) || ' | ' || lower(coalesce(keywords, '')) b from trends), h as (select *, (contains(n, 'micro') or contains(n, 'ferment') or contains(n, 'smart')) nn, (contains(n, 'barrier') or contains(n, 'gentle')) nm, contains(b, 'micro')::int + contains(b, 'ferment')::int nov, contains(b, 'barrier')::int + contains(b, 'gentle')::int mat from t) select trend_id, (nn and not nm) or (nov >= 2 and mat <= nov + 1) as novel from h")
 def i20(spark, d):
     return table(spark, d, "trends").select("trend_id", V.novelty(F.col("trend_name"), F.split("keywords", "; "), ["barrier", "gentle"], ["micro", "ferment"], ["smart"]).alias("novel"))
@@ -262,13 +254,6 @@ def i35(spark, d):
     return g.select("o_custkey", T.midpoint(F.col("a"), F.col("b")).alias("middle"))
 
 
-@query("i12_profile_gate", "select trend_id, case when keywords is null then 'no quote' when not contains(lower(keywords), lower(split_part(trend_name, ' ', 1))) or length(split_part(trend_name, ' ', 1)) < 3 then 'quote not in evidence' else 'ok' end as result from trends where trend_name is not null")
-def i12(spark, d):
-    t = table(spark, d, "trends").where("trend_name is not null")
-    q = F.when(F.col("keywords").isNotNull(), F.split("trend_name", " ")[0])
-    return t.select("trend_id", V.gate(F.lit("plain words"), q, F.col("keywords"), "worried|planning").alias("result"))
-
-
 @query("i43_token_budget", "select doc_id, greatest(256, ceil(length(text) / 4.0::double))::int as budget from documents where text is not null")
 def i43(spark, d):
     return docs(spark, d).where("text is not null").select("doc_id", T.token_budget(F.col("text")).alias("budget"))
@@ -279,25 +264,6 @@ def i47(spark, d):
     return table(spark, d, "trends").select("trend_id", T.glued_thai(F.col("trend_name")).alias("query"))
 
 
-@query("l24_refresh", "select count(distinct lower(trim(matched_keyword))) as n_keywords, count(distinct source) as n_sources from documents")
-def l24(spark, d):
-    return docs(spark, d).agg(F.countDistinct(F.lower(F.trim("matched_keyword"))).alias("n_keywords"), F.countDistinct("source").alias("n_sources"))
-
-
-@query("l03_keyword_columns", "select source, string_agg(distinct matched_keyword, ', ' order by matched_keyword) as keywords from documents where source in ('news', 'paper') and matched_keyword is not null group by 1")
-def l03(spark, d):
-    x = docs(spark, d).where("source in ('news', 'paper') and matched_keyword is not null")
-    return x.groupBy("source").agg(F.array_join(F.array_sort(F.collect_set("matched_keyword")), ", ").alias("keywords"))
-
-
-@query("l04_batches", "with b as (select doc_id, source, (row_number() over (partition by source order by doc_id) - 1) // 8 batch, length(text) n from documents where source is not null), m as (select source, batch, count(*) c, sum(n) n from b group by all) select source, count(*) as n_batches, sum(c)::bigint as n_docs, sum(n)::bigint as n_chars from m group by 1")
-def l04(spark, d):
-    x = docs(spark, d).where("source is not null").select("source", "doc_id", F.length("text").alias("n"))
-    x = x.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1) / 8))
-    m = x.groupBy("source", "batch").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
-    return m.groupBy("source").agg(F.count(F.lit(1)).alias("n_batches"), F.sum("c").alias("n_docs"), F.sum("n").alias("n_chars"))
-
-
 @query("l33_complete_paths", "select trend_id, growth_score_y1 is not null and growth_score_y3 is not null and expected_pct_y1 is not null as complete from trends")
 def l33(spark, d):
     parts = F.array("growth_score_y1", "growth_score_y3", "expected_pct_y1")

@@ -87,10 +87,10 @@ def c08(spark, d):
     return v.join(keep, "trend_id", "left").select("listing_id", ((F.coalesce("sold_count", F.lit(0.0)) > 0) | F.coalesce("on_list", F.lit(False))).alias("kept")).distinct()
 
 
-@query("c23_present_streams", "with e as (select unnest(['paper', 'news', 'social', 'search', 'video']) stream) select e.stream, count(t.trend_id) > 0 as present, count(t.trend_id) as n from e left join trends t on t.stream_name = e.stream group by 1")
+@query("c23_present_streams", "with e as (select unnest(['Paper', 'News', 'Social', 'Search', 'Video']) stream) select e.stream, count(t.trend_id) > 0 as present, count(t.trend_id) as n from e left join trends t on t.stream_name = e.stream group by 1")
 def c23(spark, d):
     """Which of the streams a run may have are there, by their results."""
-    e = spark.createDataFrame([(s,) for s in ("paper", "news", "social", "search", "video")], "stream string")
+    e = spark.createDataFrame([(s,) for s in ("Paper", "News", "Social", "Search", "Video")], "stream string")
     t = table(spark, d, "trends").groupBy(F.col("stream_name").alias("stream")).agg(F.count("trend_id").alias("n"))
     return e.join(t, "stream", "left").select("stream", (F.coalesce("n", F.lit(0)) > 0).alias("present"), F.coalesce("n", F.lit(0)).alias("n"))
 
@@ -330,3 +330,91 @@ def l19(spark, d):
     long = F.col("a").isNotNull() & (F.length("a") >= 200)
     ratio = (F.length("a") - F.length(F.replace(F.col("a"), F.lit(" "), F.lit("")))) / F.length("a")
     return x.select("doc_id", F.when(long & (ratio >= 0.05), "text").when(long, "text without spaces").when(F.col("b").isNotNull(), "title").otherwise("none").alias("how"))
+
+
+# -- exports, gates and contexts -----------------------------------------------------------
+
+
+@query("b03_star_export", "with c as (select distinct customer from export_llm_data where customer is not null and checked = 1) select 'briefs' as name, count(*) as n from c union all select 'trends', count(*) from trends union all select 'brands', count(*) from brand_list union all select 'aliases', count(*) from brand_aliases union all select 'rows', count(distinct export_id) from export_llm_data")
+def b03(spark, d):
+    """A star of four tables and a brief for each customer; briefs of customers who are gone go with the next export."""
+    from weftline.plans.run_queries import place
+    from weftline.sources import sinks
+
+    path = place(spark, "b03_star")
+    e = table(spark, d, "export_llm_data")
+    rows = e.select("export_id", "customer", "trend_id", "checked").distinct()
+    star = {"trends": table(spark, d, "trends"), "brands": table(spark, d, "brand_list"), "aliases": table(spark, d, "brand_aliases"), "rows": rows.select("export_id").distinct()}
+    sinks.write_star(star, path)
+    brief = lambda x: x.where("customer is not null").groupBy("customer").agg(F.countDistinct("trend_id").alias("n_trends"))
+    for part in (rows, rows.where("checked = 1")):  # the second export replaces the first whole
+        sinks.replace_whole(brief(part), f"{path}/briefs")
+    out = None
+    for name in (*star, "briefs"):
+        n = spark.read.parquet(f"{path}/{name}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+@query("i12_profile_gate", "with t as (select trend_id, keywords k, trend_name tn, n_keywords n from trends where trend_name is not null) select trend_id, case when k is null then 'no quote' when length(trim(split_part(tn, ' ', 1))) < 3 or not contains(lower(k), lower(split_part(tn, ' ', 1))) then 'quote not in evidence' when n >= 10 and not regexp_matches(k, '(^|[^0-9])' || n || '([^0-9]|$)') then 'number not in evidence' when trend_id like '%7' and not contains(lower(k), 'planning') then 'unsupported wording' else 'ok' end as result from t")
+def i12(spark, d):
+    """A profile's field against its evidence: quote, then numbers, then wording."""
+    t = table(spark, d, "trends").where("trend_name is not null")
+    q = F.when(F.col("keywords").isNotNull(), F.split("trend_name", " ")[0])
+    said = F.concat(F.lit("People search for it"), F.when(F.col("trend_id").endswith("7"), F.lit(" when planning")).otherwise(""), F.lit(", with "), F.coalesce(F.col("n_keywords").cast("string"), F.lit("some")), F.lit(" words"))
+    return t.select("trend_id", V.gate(said, q, F.col("keywords"), "worried|planning").alias("result"))
+
+
+@query("i19_durability", "with v as (select trend_id, case when above_market_line = 1 then 1 when expected_pct_y1 > 5 then 1 when expected_pct_y1 < -5 then -1 else 0 end a, case when growth_score_y3 >= 0.6 then 1 when growth_score_y3 < 0.3 then -1 else 0 end b, (expected_pct_y1 < 0)::int + (growth_score_y3 < growth_score_y1)::int h, (trim(coalesce(trend_name, '')) <> '')::int + (trim(coalesce(keywords, '')) <> '')::int c from trends where expected_pct_y1 is not null and growth_score_y3 is not null and growth_score_y1 is not null), s as (select trend_id, c, greatest(5, least(95, 50 + a * 25 + b * 20 - h * 10))::int score from v) select trend_id, score, case when score >= 90 then 'durable' when score >= 70 then 'likely_durable' when score >= 55 then 'leaning_durable' when score >= 40 then 'undetermined' when score >= 25 then 'leaning_fad' else 'likely_fad' end as band, c::int as coverage, c <= 2 as insufficient from s")
+def i19(spark, d):
+    """Durability from the expected path and the long score; a trend confirmed across sources has its first verdict turned to +1."""
+    t = table(spark, d, "trends").where("expected_pct_y1 is not null and growth_score_y3 is not null and growth_score_y1 is not null")
+    sign = lambda c, hi, lo: F.when(F.col(c) >= hi, 1).when(F.col(c) < lo, -1).otherwise(0)
+    first = F.when(F.col("expected_pct_y1") > 5, 1).when(F.col("expected_pct_y1") < -5, -1).otherwise(0)
+    winds = F.filter(F.array(F.when(F.col("expected_pct_y1") < 0, "falling"), F.when(F.col("growth_score_y3") < F.col("growth_score_y1"), "fading")), lambda x: x.isNotNull())
+    s = V.durability([(first, 25), (sign("growth_score_y3", 0.6, 0.3), 20)], [F.col("trend_name"), F.col("keywords")], winds, F.coalesce(F.col("above_market_line") == 1, F.lit(False)), 0)
+    return t.select("trend_id", s.alias("s")).select("trend_id", F.col("s.score").cast("int").alias("score"), "s.band", F.col("s.coverage").cast("int").alias("coverage"), "s.insufficient")
+
+
+@query("l03_keyword_columns", "with k as (select trend_id, unnest(string_split(keywords, '; ')) k, generate_subscripts(string_split(keywords, '; '), 1) i from trends where keywords is not null), f as (select trend_id, lower(trim(k)) k, min(i) i from k where trim(k) <> '' group by all) select trend_id, string_agg(k, ', ' order by i) as words, count(*) as n from f group by 1")
+def l03(spark, d):
+    """A trend's keywords, each once, in their order, as one column."""
+    k = F.filter(F.transform(F.split("keywords", "; "), lambda x: F.lower(F.trim(x))), lambda x: x != "")
+    return table(spark, d, "trends").where("keywords is not null").select("trend_id", F.array_distinct(k).alias("k")).where("size(k) > 0").select("trend_id", F.array_join("k", ", ").alias("words"), F.size("k").cast("long").alias("n"))
+
+
+@query("l04_batches", "with b as (select source, (row_number() over (partition by source order by doc_id) - 1) // 8 batch, doc_id, coalesce(length(text), 0) n from documents where source is not null), m as (select source, batch, count(*) c, sum(n) n, min(doc_id) f, max(n) longest from b group by all) select source, count(*) as n_batches, sum(c)::bigint as n_docs, sum(n)::bigint as n_chars, sha256(string_agg(f || ':' || longest, ',' order by batch)) as digest from m group by 1")
+def l04(spark, d):
+    """Two levels of summaries: documents in batches of eight, then the batches of a source, in order."""
+    x = running(docs(spark, d).where("source is not null").select("source", "doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("n")), ["source"], ["doc_id"], None, "i")
+    m = x.groupBy("source", F.floor((F.col("i") - 1) / 8).alias("batch")).agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"), F.min("doc_id").alias("f"), F.max("n").alias("longest"))
+    line = F.struct("batch", F.concat(F.col("f").cast("string"), F.lit(":"), F.col("longest").cast("string")).alias("t"))
+    g = m.groupBy("source").agg(F.count(F.lit(1)).alias("n_batches"), F.sum("c").alias("n_docs"), F.sum("n").alias("n_chars"), F.sort_array(F.collect_list(line)).alias("l"))
+    return g.select("source", "n_batches", "n_docs", "n_chars", F.sha2(F.array_join("l.t", ","), 256).alias("digest"))
+
+
+@query("k11_trend_context", f"with {LISTINGS_SQL}, r as (select *, row_number() over (partition by trend order by sim desc nulls last, id) k from lst where trend is not null), p as (select trend, count(*) n, count(distinct brand) b, string_agg(id::varchar, ' ' order by k) filter (k <= 3) top, round(max(sim), 4) best from r group by 1), e as (select trend_id, count(distinct customer) c, min(own_rank_in_category) best_rank from export_llm_data group by 1) select t.trend_id, coalesce(display_name, trend_name) as name, main_category, coalesce(p.n, 0)::bigint as n_listings, coalesce(p.b, 0)::bigint as n_brands, p.top as top_products, p.best, coalesce(e.c, 0)::bigint as n_customers, e.best_rank, len(string_split(keywords, '; '))::int as n_words from trends t left join p on p.trend = t.trend_id left join e on e.trend_id = t.trend_id")
+def k11(spark, d):
+    """What a trend's page needs: name, category, market, first products, customers, words."""
+    l = listings(spark, d).where("trend is not null")  # noqa: E741
+    top = U.top_per_group(l, ["trend"], "sim", "id", 3).groupBy("trend").agg(F.sort_array(F.collect_list(F.struct("rank", F.col("id").cast("string").alias("i")))).alias("t"))
+    p = l.groupBy("trend").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("brand").alias("b"), F.round(F.max("sim"), 4).alias("best")).join(top, "trend").select(F.col("trend").alias("trend_id"), "n", "b", "best", F.array_join("t.i", " ").alias("top_products"))
+    e = table(spark, d, "export_llm_data").groupBy("trend_id").agg(F.countDistinct("customer").alias("c"), F.min("own_rank_in_category").alias("best_rank"))
+    t = table(spark, d, "trends").join(p, "trend_id", "left").join(e, "trend_id", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return t.select("trend_id", F.coalesce("display_name", "trend_name").alias("name"), "main_category", zero("n").alias("n_listings"), zero("b").alias("n_brands"), "top_products", "best", zero("c").alias("n_customers"), "best_rank", F.array_size(F.split("keywords", "; ")).alias("n_words"))
+
+
+@query("k17_growth_facts_json", "select trend_id, json_object('name', trend_name, 'stream', stream_name, 'rank', rank_short, 'expected', round(expected_pct_y1)::bigint, 'words', string_split(keywords, '; '))::varchar as facts from trends where trend_name is not null and stream_name is not null and rank_short is not null and expected_pct_y1 is not null and keywords is not null")
+def k17(spark, d):
+    """A trend's growth facts as JSON."""
+    t = table(spark, d, "trends").where("trend_name is not null and stream_name is not null and rank_short is not null and expected_pct_y1 is not null and keywords is not null")
+    facts = F.to_json(F.struct(F.col("trend_name").alias("name"), F.col("stream_name").alias("stream"), F.col("rank_short").alias("rank"), F.round("expected_pct_y1").cast("long").alias("expected"), F.split("keywords", "; ").alias("words")))
+    return t.select("trend_id", facts.alias("facts"))
+
+
+@query("l24_refresh", "with y as (select source, try_cast(regexp_extract(published_at, '(20[0-9]{2})', 1) as int) y, lower(trim(matched_keyword)) k, loaded_at from documents where source is not null) select source as topic, min(y) as first_year, max(y) as last_year, least(count(distinct k), 25)::bigint as top_n, left(max(loaded_at)::varchar, 10) as as_of from y group by 1")
+def l24(spark, d):
+    """What a refresh of each source starts from: years, how many keywords to take, and as of which day."""
+    y = docs(spark, d).where("source is not null").select("source", F.expr("try_cast(nullif(regexp_extract(published_at, '(20[0-9]{2})', 1), '') as int)").alias("y"), F.lower(F.trim("matched_keyword")).alias("k"), "loaded_at")
+    return y.groupBy(F.col("source").alias("topic")).agg(F.min("y").alias("first_year"), F.max("y").alias("last_year"), F.least(F.countDistinct("k"), F.lit(25)).alias("top_n"), F.substring(F.max("loaded_at").cast("string"), 1, 10).alias("as_of"))
