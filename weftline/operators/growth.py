@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions.semantics import cagr_pct, grade, log_growth, pct_change, status
 from weftline.operators.ranking import average_rank, running
+from weftline.session import cut
 
 #: 80 % band of each year ahead (fixed values).
 BAND_80 = {1: (-0.10, 0.12), 2: (-0.15, 0.19), 3: (-0.21, 0.26), 4: (-0.25, 0.35), 5: (-0.27, 0.48)}
@@ -15,7 +16,7 @@ BAND_80 = {1: (-0.10, 0.12), 2: (-0.15, 0.19), 3: (-0.21, 0.26), 4: (-0.25, 0.35
 def scores(kw: DataFrame, years: tuple[int, ...] = (1, 2, 3, 4, 5), blend: bool = False) -> DataFrame:
     """score_y* of the rows that are not thin: percentile of the prediction, or of the mean
     of the percentiles of prediction and momentum."""
-    x = kw
+    x = cut(kw)  # a row a keyword; each year below reads it again
     ok = ~F.col("thin")
     for h in years:
         x = x.withColumn("_p", F.when(ok, F.col(f"pred_y{h}")))
@@ -43,6 +44,7 @@ def expected_levels(kw: DataFrame, mapping: DataFrame, key: str, group: str, ban
 def roll_up(kw: DataFrame, mapping: DataFrame, key: str, group: str, years: tuple[int, ...] = (1, 2, 3, 4, 5)) -> DataFrame:
     """A row for each group: keyword counts, mid-rank score and grade of its expected growth
     against all scored keywords, past and recent change, decline flag."""
+    kw = cut(kw)  # a row a keyword; each year below reads it again
     ok = ~F.col("thin")
     cols = [f"pred_y{h}" for h in years]
     lost = F.max(F.when(ok, F.greatest(*(F.col(c).isNull().cast("int") for c in cols))))
@@ -51,7 +53,7 @@ def roll_up(kw: DataFrame, mapping: DataFrame, key: str, group: str, years: tupl
         F.count(F.lit(1)).alias("n_keywords"), F.sum(ok.cast("int")).alias("n_scored"), lost.alias("_lost"), *(mean(c).alias(f"_{c}") for c in ("last12_mean", "prev12_mean", "recent_mean", "year_ago_mean")),
         *(F.avg(F.when(ok, (F.col("last12_mean") + 1) * F.exp(f"pred_y{h}") - 1)).alias(f"_l{h}") for h in years),
     )
-    market = kw.where(ok)
+    g, market = cut(g), kw.where(ok)
     for h in years:
         growth = F.when(F.col("_lost") == 0, log_growth(F.col(f"_l{h}"), F.col("_last12_mean")))
         g = g.withColumn("_g", growth)

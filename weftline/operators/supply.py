@@ -228,11 +228,14 @@ def cosine(a: Column, b: Column) -> Column:
 def nearest(queries: DataFrame, items: DataFrame, k: int, most: int = 100_000) -> DataFrame:
     """(query, item, similarity, rank): the k items nearest to each query, exactly.
 
-    queries (query, qv) is the stated set, of a checked size, and is shipped to the item
-    partitions; a task keeps its k best a query, so the shuffle moves k rows a query and task.
+    queries (query, qv) is the stated set. It is shipped to the item partitions in blocks of about
+    `most`; a task keeps its k best a query, so the shuffle moves k rows a query and task.
     """
-    n = queries.limit(most + 1).count()
-    if n > most:
-        raise ValueError(f"more than {most} queries: run them in blocks")
-    x = items.crossJoin(F.broadcast(queries)).select("query", "item", F.round(cosine(F.col("qv"), F.col("iv")), 6).alias("similarity"))
-    return top_per_group(x, ["query"], "similarity", "item", k)
+    blocks = max(1, -(-queries.count() // most))
+    out = None
+    for b in range(blocks):
+        part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == b)
+        x = items.crossJoin(F.broadcast(part)).select("query", "item", F.round(cosine(F.col("qv"), F.col("iv")), 6).alias("similarity"))
+        best = top_per_group(x, ["query"], "similarity", "item", k)
+        out = best if out is None else out.unionByName(best)
+    return out

@@ -238,7 +238,7 @@ def e09(spark, d):
 
 @query("d01_bridge_join", f"with {PREDICTIONS_SQL}, {MAPPING_SQL} select cluster, keyword, momentum from mapping join pred using (keyword)")
 def d01(spark, d):
-    return mapping(spark, d).join(F.broadcast(predictions(spark, d).select("keyword", "momentum")), "keyword").select("cluster", "keyword", "momentum")
+    return mapping(spark, d).join(predictions(spark, d).select("keyword", "momentum"), "keyword").select("cluster", "keyword", "momentum")
 
 
 @query("d12_lag_correlation", f"with {MONTHLY_SQL}, a as (select month, avg(value) v from monthly group by 1), b as (select month, max(value) v from monthly group by 1) select lag, round(corr(a.v, b.v), 5) as corr, count(*) as n from (select unnest(range(-12, 13))::int lag) join a on true join b on b.month = cast(a.month + to_months(lag) as date) group by 1")

@@ -205,7 +205,7 @@ def i31(spark, d):
 @query("k05_l2_ranks", "select t.trend_id as trend, l.id, row_number() over (partition by t.trend_id order by sim desc nulls last, l.id) as rank from lst l join trends t on l.trend = t.trend_id and l.grp = t.main_category")
 def k05(spark, d):
     t = table(spark, d, "trends").select(F.col("trend_id").alias("trend"), F.col("main_category").alias("grp")).where("grp is not null")
-    return U.rank_in(listings(spark, d).join(F.broadcast(t), ["trend", "grp"]), ["trend"], "sim", "id").select("trend", "id", "rank")
+    return U.rank_in(listings(spark, d).join(t, ["trend", "grp"]), ["trend"], "sim", "id").select("trend", "id", "rank")
 
 
 @query("f33_l2_grid", ", r as (select l.*, row_number() over (partition by trend order by sim desc nulls last, id) rk, count(*) over (partition by trend) n from lst l), g as (select trend, id, rk, case when rk <= greatest(1, trunc(n * .01::double)) then 4 when rk <= greatest(1, trunc(n * .05::double)) then 3 when rk <= greatest(1, trunc(n * .2::double)) then 2 else 1 end lv from r) select trend, lv as level, count(*) as n, arg_min(id, rk) as first_id from g group by all")
@@ -218,7 +218,7 @@ def f33(spark, d):
 @query("i28_category_agreement", f", r as (select l.trend, l.grp, t.main_category m, {RANKED.replace('trend order', 'l.trend order')} k from lst l join trends t on l.trend = t.trend_id), c as (select trend, coalesce(sum((grp = m)::int), 0)::bigint n from r where k <= 5 group by 1) select trend, n as n_close, n < 2 as no_close_product from c")
 def i28(spark, d):
     t = table(spark, d, "trends").select(F.col("trend_id").alias("trend"), F.col("main_category").alias("main"))
-    x = U.rank_in(listings(spark, d), ["trend"], "sim", "id").join(F.broadcast(t), "trend")
+    x = U.rank_in(listings(spark, d), ["trend"], "sim", "id").join(t, "trend")
     return U.category_agreement(x, "trend", "grp", "main")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import text as T
 from weftline.operators import evidence as V
-from weftline.operators.ranking import with_total
+from weftline.operators.ranking import running, with_total
 from weftline.plans.supply_queries import LISTINGS_SQL, listings
 from weftline.sources.tables import table
 
@@ -122,7 +122,7 @@ def d13(spark, d):
 @query("d15_resolve_brand", "with w as (select distinct upper(brand) b from validate_at_scale_nvidia where brand is not null) select b, brand_id from w left join brand_list on upper(brand_name) = b")
 def d15(spark, d):
     w = table(spark, d, "validate_at_scale_nvidia").where("brand is not null").select(F.upper("brand").alias("b")).distinct()
-    return w.join(F.broadcast(table(spark, d, "brand_list").select("brand_id", F.upper("brand_name").alias("b"))), "b", "left")
+    return w.join(table(spark, d, "brand_list").select("brand_id", F.upper("brand_name").alias("b")), "b", "left")
 
 
 @query("d05_composite_lookup", "select p.p_partkey, coalesce(m.n, 0) as n from part p left join (select l_partkey, count(*) n from lineitem where l_returnflag = 'R' group by 1) m on p.p_partkey = m.l_partkey")
@@ -153,11 +153,16 @@ def d07(spark, d):
 
 @query("d09_cluster_jaccard", "with s as (select p_type k, list(distinct p_name) s from part group by 1), t as (select p_brand k, list(distinct p_name) s from part group by 1), j as (select s.k a, t.k b, len(list_intersect(s.s, t.s)) / len(list_distinct(list_concat(s.s, t.s)))::double j from s, t) select a, first(b order by round(j, 9) desc, b) as b, round(max(j), 6) as best from j group by 1")
 def d09(spark, d):
+    """The cluster each one shares most with, found through shared members; who shares none gets the first at 0."""
     p = table(spark, d, "part")
-    sets = lambda c, n: p.groupBy(F.col(c).alias(n)).agg(F.collect_set("p_name").alias(f"s{n}"))
-    # One row a cluster on either side: bounded by the numbers of types and brands.
-    j = sets("p_type", "a").crossJoin(F.broadcast(sets("p_brand", "b"))).withColumn("j", T.jaccard(F.col("sa"), F.col("sb")))
-    return j.groupBy("a").agg(F.min_by("b", F.struct(-F.round("j", 9), F.col("b"))).alias("b"), F.round(F.max("j"), 6).alias("best"))
+    sets = lambda c, n: p.select(F.col(c).alias(n), "p_name").distinct()
+    left, right = sets("p_type", "a"), sets("p_brand", "b")
+    size = lambda x, n: x.groupBy(n).agg(F.count(F.lit(1)).alias(f"n_{n}"))
+    both = left.join(right, "p_name").groupBy("a", "b").agg(F.count(F.lit(1)).alias("i"))
+    j = both.join(size(left, "a"), "a").join(size(right, "b"), "b").withColumn("j", F.col("i") / (F.col("n_a") + F.col("n_b") - F.col("i")))
+    best = j.groupBy("a").agg(F.min_by("b", F.struct(-F.round("j", 9), F.col("b"))).alias("b"), F.round(F.max("j"), 6).alias("best"))
+    first = right.agg(F.min("b").alias("first"))
+    return left.select("a").distinct().join(best, "a", "left").crossJoin(F.broadcast(first)).select("a", F.coalesce("b", "first").alias("b"), F.coalesce("best", F.lit(0.0)).alias("best"))  # one row
 
 
 @query("d18_catalogue_index", "with i as (select p_brand, p_name, min(p_partkey) k from part group by all) select l.l_orderkey, l.l_linenumber, i.k as first_partkey from lineitem l join part p on l.l_partkey = p.p_partkey left join i on i.p_brand = p.p_brand and i.p_name = p.p_name")
@@ -172,7 +177,7 @@ def d18(spark, d):
 def d19(spark, d):
     x = docs(spark, d).where("source is not null and link is not null").select("doc_id", "link", "source")
     n = x.select("source").distinct().withColumn("n", F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy("source")))
-    x = x.withColumn("p", F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))).join(F.broadcast(n), "source")
+    x = running(x, ["source"], ["doc_id"], None, "p").join(n, "source")
     return V.round_robin(x, "n", "p", "link").select("doc_id", "place")
 
 
