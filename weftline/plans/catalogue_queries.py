@@ -40,12 +40,6 @@ def c04(spark, d):
     return v.select("listing_id", F.upper(C.fold_accents(F.col("brand"))).alias("key")).distinct()
 
 
-@query("c12_logistics_noise", "select distinct listing_id, regexp_matches(lower(product_name), 'free shipping|ส่งฟรี|พร้อมส่ง') as noise from validate_at_scale_nvidia where product_name is not null")
-def c12(spark, d):
-    v = table(spark, d, "validate_at_scale_nvidia").where("product_name is not null")
-    return v.select("listing_id", F.lower("product_name").rlike("free shipping|ส่งฟรี|พร้อมส่ง").alias("noise")).distinct()
-
-
 @query("c13_clean_documents")
 def c13(spark, d):
     return table(spark, d, "documents").where("text is not null").select("doc_id", C.clean_document(F.col("text"), "cookies|all rights reserved|reproduction prohibited|subscribe|หน้าแรก").alias("clean"))
@@ -168,11 +162,6 @@ def g04(spark, d):
     return C.column_plan(k, "trend", "grp", "sub", "n", "b", 4, 2)
 
 
-@query("i32_durable_grade", "select trend_id, case when growth_score_y3 is null then null when growth_score_y3 >= .8 then 4 when growth_score_y3 >= .5 then 3 when growth_score_y3 >= .2 then 2 else 1 end as long_grade from trends")
-def i32(spark, d):
-    return table(spark, d, "trends").select("trend_id", S.grade(F.col("growth_score_y3")).alias("long_grade"))
-
-
 @query("i40_search_parameters", "select keyword_id, keyword || ' -site:a.invalid -site:b.invalid' as q, 'after:2024-01-01' as since from pmc_keywords")
 def i40(spark, d):
     q = F.concat_ws(" ", "keyword", *(F.lit(f"-site:{s}.invalid") for s in "ab"))
@@ -228,11 +217,6 @@ def e33(spark, d):
     return table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("model")).agg(F.count(F.lit(1)).alias("calls"), F.round(F.sum("o_totalprice"), 2).alias("tokens"))
 
 
-@query("l05_ranked_reader", "select trend_id, rank_short from trends where rank_short is not null order by rank_short, trend_id limit 25")
-def l05(spark, d):
-    return table(spark, d, "trends").where("rank_short is not null").orderBy("rank_short", "trend_id").limit(25).select("trend_id", "rank_short")
-
-
 @query("l06_reuse", "select p_partkey, case when p_size % 2 = 0 then 'kept ' || p_name end as text from part")
 def l06(spark, d):
     p = table(spark, d, "part").select("p_partkey", F.sha2("p_name", 256).alias("digest"), "p_name", "p_size")
@@ -240,12 +224,6 @@ def l06(spark, d):
     return C.reuse(p.select("p_partkey", "digest"), old, ["p_partkey"], "digest", "text").select("p_partkey", "text")
 
 
-@query("l16_question_keywords", "with w as (select trend_id, list_distinct(list_concat(list_filter(regexp_extract_all(lower(coalesce(trend_name, '')), '[a-z0-9฀-๿]+'), lambda x: x not in ('and', 'care')), ['beauty'])) k from trends) select trend_id, array_to_string(list_sort(k), ' ') as keywords from w")
-def l16(spark, d):
-    k = F.array_sort(F.array_union(T.tokens(F.col("trend_name"), ["and", "care"]), F.array(F.lit("beauty"))))
-    return table(spark, d, "trends").select("trend_id", F.array_join(k, " ").alias("keywords"))
-
-
 @query("l32_keyword_mapping", "with k as (select trend_name t, stream_name s, unnest(string_split(keywords, '; ')) keyword from trends where trend_name is not null) select keyword, string_agg(distinct t, ' | ' order by t) as trends from k group by 1")
 def l32(spark, d):
     k = table(spark, d, "trends").where("trend_name is not null").select(F.col("trend_name").alias("t"), F.explode(F.split("keywords", "; ")).alias("keyword"))

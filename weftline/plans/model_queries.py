@@ -102,11 +102,6 @@ def f29(spark, d):
     return learn.bootstrap_mean(table(spark, d, "events"), "user_id", "value")
 
 
-@query("f36_spearman", "with r as (select event_type, rank() over (partition by event_type order by value) + (count(*) over (partition by event_type, value) - 1) / 2.0::double a, rank() over (partition by event_type order by user_id) + (count(*) over (partition by event_type, user_id) - 1) / 2.0::double b from events) select event_type, count(*) as n, round(corr(a, b), 6) as spearman from r group by 1")
-def f36(spark, d):
-    return learn.spearman(table(spark, d, "events"), ["event_type"], "value", "user_id")
-
-
 def _triplets(spark, d):
     p = table(spark, d, "part")
     return p.select(F.col("p_brand").alias("s"), F.col("p_type").alias("r"), F.col("p_name").alias("o"))

@@ -79,12 +79,6 @@ def i37(spark, d):
     return table(spark, d, "documents").select("doc_id", R.lint(F.col("text"), 25).alias("n_long"))
 
 
-@query("l34_place_phrase", "with p as (select n_regionkey r, list_sort(list(n_name)) p from nation group by 1) select r, array_to_string(p[1:len(p) - 1], ', ') || ' and ' || p[-1] as phrase from p")
-def l34(spark, d):
-    p = table(spark, d, "nation").groupBy(F.col("n_regionkey").alias("r")).agg(F.array_sort(F.collect_list("n_name")).alias("p"))
-    return p.select("r", R.place_phrase(F.col("p")).alias("phrase"))
-
-
 @query("i30_quadrant", "with m as (select median(growth_score_y1) a, median(growth_score_y3) b from trends) select trend_id, case when growth_score_y1 >= a and growth_score_y3 >= b then 'defend' when growth_score_y1 >= a then 'maintain' when growth_score_y3 >= b then 'build' else 'monitor' end as quadrant from trends, m")
 def i30(spark, d):
     t = table(spark, d, "trends")

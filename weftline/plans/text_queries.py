@@ -237,11 +237,6 @@ def i18(spark, d):
     return x.where(F.size(T.tokens(F.col("matched_keyword"))) > 0).select("doc_id", s.alias("match"))
 
 
-@query("i20_novelty", "with t as (select trend_id, lower(coalesce(trend_name, '')) n, lower(coalesce(trend_name, '')) || ' | ' || lower(coalesce(keywords, '')) b from trends), h as (select *, (contains(n, 'micro') or contains(n, 'ferment') or contains(n, 'smart')) nn, (contains(n, 'barrier') or contains(n, 'gentle')) nm, contains(b, 'micro')::int + contains(b, 'ferment')::int nov, contains(b, 'barrier')::int + contains(b, 'gentle')::int mat from t) select trend_id, (nn and not nm) or (nov >= 2 and mat <= nov + 1) as novel from h")
-def i20(spark, d):
-    return table(spark, d, "trends").select("trend_id", V.novelty(F.col("trend_name"), F.split("keywords", "; "), ["barrier", "gentle"], ["micro", "ferment"], ["smart"]).alias("novel"))
-
-
 @query("i23_signal", "select trend_id, case when expected_pct_y1 is null or abs(expected_pct_y1) > 20 then 'Monitor' when expected_pct_y1 > 0.2 then 'Invest Now' when expected_pct_y1 < -0.2 then 'Wait' else 'Monitor' end as signal from trends")
 def i23(spark, d):
     return table(spark, d, "trends").select("trend_id", V.investment_signal(F.col("expected_pct_y1")).alias("signal"))

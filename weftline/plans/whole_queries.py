@@ -418,3 +418,105 @@ def l24(spark, d):
     """What a refresh of each source starts from: years, how many keywords to take, and as of which day."""
     y = docs(spark, d).where("source is not null").select("source", F.expr("try_cast(nullif(regexp_extract(published_at, '(20[0-9]{2})', 1), '') as int)").alias("y"), F.lower(F.trim("matched_keyword")).alias("k"), "loaded_at")
     return y.groupBy(F.col("source").alias("topic")).agg(F.min("y").alias("first_year"), F.max("y").alias("last_year"), F.least(F.countDistinct("k"), F.lit(25)).alias("top_n"), F.substring(F.max("loaded_at").cast("string"), 1, 10).alias("as_of"))
+
+
+# -- word lists (fixed values) -------------------------------------------------------------
+
+#: Phrases of bullets about delivery rather than products.
+LOGISTICS = ("does not ship", "ship to", "shipping", "delivery to", "not available in", "access may be", "access to the", "eligible-order threshold")
+#: Ingredients proven for decades, those still unproven, and words of novelty in names.
+MATURE = (
+    "niacinamide", "retinol", "retinoid", "retinal", "retinaldehyde", "tretinoin", "adapalene", "vitamin c", "ascorbic", "ascorbyl", "hyaluronic", "sodium hyaluronate", "ceramide",
+    "salicylic", "bha", "glycolic", "lactic", "mandelic", "aha", "pha", "benzoyl peroxide", "azelaic", "zinc", "zinc oxide", "titanium dioxide", "panthenol", "peptide", "collagen",
+    "spf", "sunscreen", "uv filter", "avobenzone", "octocrylene", "tinosorb", "mexoryl", "urea", "glycerin", "squalane", "allantoin", "centella", "cica", "madecassoside", "aloe",
+    "kojic", "arbutin", "tranexamic", "shea", "argan", "jojoba", "clay", "charcoal", "amino acid", "vitamin e", "vitamin b5", "caffeine", "green tea", "witch hazel",
+)
+NOVEL = (
+    "pdrn", "polydeoxyribonucleotide", "polynucleotide", "salmon dna", "exosome", "growth factor", "epidermal growth factor", "egf", "postbiotic", "probiotic", "prebiotic", "lysate", "ferment filtrate",
+    "spermidine", "nad", "nmn", "ectoin", "ectoine", "encapsulat", "n-capsule", "nanocapsule", "microbiome", "copper tripeptide", "bioregulator", "stem cell", "pdt", "blue light",
+)
+SIGNALS = ("regenerativ", "innovation", "next-gen", "next gen", "breakthrough", "encapsulat", "biotech", "microbiome-first")
+_list = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+@query("c12_logistics_noise", f"with b as (select doc_id, unnest(string_split(text, chr(10))) t from documents where text is not null), n as (select doc_id, t, len(list_filter({_list(LOGISTICS)}, lambda w: contains(lower(t), w))) > 0 x from b where trim(t) <> '') select doc_id, count(*) filter (not x) as kept, count(*) filter (x) as noise from n group by 1")
+def c12(spark, d):
+    """Bullets of each document without those about delivery."""
+    b = docs(spark, d).where("text is not null").select("doc_id", F.explode(F.split("text", "\n")).alias("t")).where("trim(t) != ''")
+    noise = F.exists(F.array(*map(F.lit, LOGISTICS)), lambda w: F.contains(F.lower("t"), w))
+    return b.groupBy("doc_id").agg(F.count(F.when(~noise, 1)).alias("kept"), F.count(F.when(noise, 1)).alias("noise"))
+
+
+@query("i20_novelty", f"with t as (select doc_id, lower(coalesce(title, '')) n, lower(coalesce(title, '')) || ' | ' || lower(coalesce(text, '')) b from documents), h as (select doc_id, len(list_filter({_list(NOVEL + SIGNALS)}, lambda w: contains(n, w))) > 0 and len(list_filter({_list(MATURE)}, lambda w: contains(n, w))) = 0 by_name, len(list_filter({_list(NOVEL)}, lambda w: contains(b, w))) nov, len(list_filter({_list(MATURE)}, lambda w: contains(b, w))) mat from t) select doc_id, by_name or (nov >= 2 and mat <= nov + 1) as novel from h")
+def i20(spark, d):
+    """Whether a text rests on unproven ingredients."""
+    return docs(spark, d).select("doc_id", V.novelty(F.col("title"), F.array(F.coalesce("text", F.lit(""))), list(MATURE), list(NOVEL), list(SIGNALS)).alias("novel"))
+
+
+@query("i32_growth_helpers", "select trend_id, case when growth_score_y3 is null then null when growth_score_y3 >= .8 then 4 when growth_score_y3 >= .5 then 3 when growth_score_y3 >= .2 then 2 else 1 end as long_grade, case when expected_pct_y1 > 0 then '+' else '' end || round(expected_pct_y1)::bigint || '%' as growth, (floor(expected_pct_y1 / 10) * 10)::bigint as tick from trends where expected_pct_y1 is not null")
+def i32(spark, d):
+    """A trend's long grade, its growth as text and the tick of the axis it lies above."""
+    from weftline.functions.semantics import grade
+
+    t = table(spark, d, "trends").where("expected_pct_y1 is not null")
+    p = F.col("expected_pct_y1")
+    return t.select("trend_id", grade(F.col("growth_score_y3")).alias("long_grade"), F.concat(F.when(p > 0, "+").otherwise(""), F.round(p).cast("long").cast("string"), F.lit("%")).alias("growth"), (F.floor(p / 10) * 10).cast("long").alias("tick"))
+
+
+@query("f26_boxes", f"with {MONTHLY_SQL}, c as (select p_name keyword, p_type cluster from part group by all), g as (select cluster, month, avg(value) far from monthly join c using (keyword) group by 1, 2), s as (select m.keyword, c.cluster, m.month, g.far, m.value near from monthly m join c using (keyword) join g using (cluster, month)), k as (select unnest([date '1998-06-01', date '1999-06-01']) cutoff), w as (select cutoff, keyword || '/' || cluster entity, avg(far) filter (x between -11 and 0) f1, avg(far) filter (x between -23 and -12) f0, avg(near) filter (x between -11 and 0) n1, avg(near) filter (x between -23 and -12) n0, count(*) filter (x between -23 and 24) n from (select *, date_diff('month', cutoff, month) x from s, k) group by 1, 2) select cutoff, entity, case when (f1 + 1) / (f0 + 1) >= 1.02 and (n1 + 1) / (n0 + 1) >= 1.02 then 'both grow' when (f1 + 1) / (f0 + 1) >= 1.02 then 'window' when (n1 + 1) / (n0 + 1) >= 1.02 then 'local only' else 'both flat' end as box from w where n = 48")
+def f26(spark, d):
+    """The box of each keyword at two cut-offs: whether its cluster grows, and whether it does itself."""
+    from weftline.sources.standins import mapping
+
+    m = monthly(spark, d).join(mapping(spark, d), "keyword")
+    far = m.groupBy("cluster", "month").agg(F.avg("value").alias("far"))
+    s = m.join(far, ["cluster", "month"]).select(F.concat_ws("/", "keyword", "cluster").alias("entity"), "month", "far", F.col("value").alias("near"))
+    return A.growth_points(s, "entity", "month", "far", "near", ["1998-06-01", "1999-06-01"], 24, 1.02, 0.0).select("cutoff", "entity", "box")
+
+
+@query("f36_spearman", "with r as (select event_type, rank() over (partition by event_type order by value) + (count(*) over (partition by event_type, value) - 1) / 2.0::double a, rank() over (partition by event_type order by user_id) + (count(*) over (partition by event_type, user_id) - 1) / 2.0::double b, row_number() over (partition by event_type order by value desc, event_id) p, row_number() over (partition by event_type order by user_id desc, event_id) q, count(*) over (partition by event_type) n from events where value is not null and user_id is not null) select event_type, count(*) as n, round(corr(a, b), 6) as spearman, round(sum((p <= floor(n * 0.2) and q <= floor(n * 0.2))::int) / max(floor(n * 0.2))::double, 6) as top_hit_rate from r group by 1")
+def f36(spark, d):
+    """Rank correlation of a prediction with what came, and how much of its best fifth was among the best fifth."""
+    from weftline.operators.learn import spearman
+    from weftline.operators.ranking import with_total
+
+    e = table(spark, d, "events").where("value is not null and user_id is not null").select("event_id", "event_type", "value", "user_id")
+    r = running(e, ["event_type"], [F.desc("value"), "event_id"], None, "p")
+    r = with_total(running(r, ["event_type"], [F.desc("user_id"), "event_id"], None, "q"), ["event_type"], "m")
+    k = F.floor(F.col("m") * 0.2)
+    hits = r.groupBy("event_type").agg((F.sum(((F.col("p") <= k) & (F.col("q") <= k)).cast("int")) / F.max(k)).alias("h"))
+    return spearman(e, ["event_type"], "value", "user_id").join(hits.select("event_type", F.round("h", 6).alias("top_hit_rate")), "event_type")
+
+
+@query("l05_ranked_reader", "with n as (select greatest(1, least(count(*), 25)) n from trends where rank_short is not null) select trend_id, rank_short, place::int as place from (select trend_id, rank_short, row_number() over (order by rank_short, trend_id) place from trends where rank_short is not null), n where place <= n")
+def l05(spark, d, environment: dict | None = None):
+    """The ranked list in order. How many are read is said by TREND_TOP_N: a number, or all; 25 where nothing or nonsense is said."""
+    import os
+
+    said = (os.environ if environment is None else environment).get("TREND_TOP_N", "").strip().lower()
+    n = None if said == "all" else int(said) if said.isdigit() and int(said) else 25
+    r = running(table(spark, d, "trends").where("rank_short is not null"), [], ["rank_short", "trend_id"], None, "place").select("trend_id", "rank_short", F.col("place").cast("int").alias("place"))
+    return r if n is None else r.where(F.col("place") <= n)
+
+
+@query("l16_question_keywords", "with t as (select term_of, unnest(terms) w from (values ('Skin Care', ['serum', 'moisturiser', 'ครีม']), ('Hair Care', ['shampoo', 'conditioner', 'แชมพู']), ('Fragrances', ['perfume', 'น้ำหอม'])) v(term_of, terms)), w as (select trend_id, unnest(regexp_split_to_array(lower(regexp_replace(replace(trend_name || ' -site:a.invalid', '\"', ' '), '-site:[^ ]+', ' ', 'g')), ' +')) w from trends where trend_name is not null union select trend_id, w from trends join t on t.term_of = main_category) select trend_id, string_agg(distinct w, ' ' order by w) as keywords from w where length(w) >= 3 and w not in ('and', 'care', 'the', 'for', 'rising') group by 1")
+def l16(spark, d):
+    """A question's keywords: the terms of its category and the words of its query, without sites, short words and stop words."""
+    terms = {"Skin Care": ["serum", "moisturiser", "ครีม"], "Hair Care": ["shampoo", "conditioner", "แชมพู"], "Fragrances": ["perfume", "น้ำหอม"]}
+    t = table(spark, d, "trends")
+    of = F.lit(None).cast("array<string>")
+    for c, words in terms.items():
+        of = F.when(F.col("main_category") == c, F.array(*map(F.lit, words))).otherwise(of)
+    q = F.regexp_replace(F.replace(F.concat("trend_name", F.lit(" -site:a.invalid")), F.lit('"'), F.lit(" ")), "-site:[^ ]+", " ")
+    words = F.concat(F.coalesce(F.split(F.lower(q), " +"), F.array().cast("array<string>")), F.coalesce(of, F.array().cast("array<string>")))
+    kept = F.filter(F.array_distinct(words), lambda w: (F.length(w) >= 3) & ~w.isin("and", "care", "the", "for", "rising"))
+    return t.select("trend_id", F.array_join(F.array_sort(kept), " ").alias("keywords")).where("keywords != ''")
+
+
+@query("l34_evidence_lines", "with p as (select matched_keyword k, list_sort(list(distinct source)) s, count(*) n from documents where matched_keyword is not null and source is not null group by 1) select k as keyword, n || ' documents from ' || case when len(s) = 1 then s[1] else array_to_string(s[1:len(s) - 1], ', ') || ' and ' || s[-1] end as line from p")
+def l34(spark, d):
+    """What a keyword rests on: how many documents, from which sources."""
+    from weftline.operators.report import place_phrase
+
+    p = docs(spark, d).where("matched_keyword is not null and source is not null").groupBy(F.col("matched_keyword").alias("keyword")).agg(F.array_sort(F.collect_set("source")).alias("s"), F.count(F.lit(1)).alias("n"))
+    return p.select("keyword", F.concat(F.col("n").cast("string"), F.lit(" documents from "), place_phrase(F.col("s"))).alias("line"))
