@@ -3,7 +3,7 @@ import statistics
 
 from pyspark.sql import functions as F
 
-from weftline.llm import canonical, mixture, reading, topn
+from weftline.llm import canonical, look, mixture, reading, topn
 
 
 def test_copies_are_told_apart_by_the_order_columns(spark):
@@ -69,3 +69,10 @@ def test_levels_follow_most_sentences(spark):
     got = {r.id: r for r in reading.levels(d, "id", "text", lab, "id", "rater", "reading_level").collect()}
     assert {i: r.reading_level for i, r in got.items()} == truth
     assert statistics.mean(r.difficulty for i, r in got.items() if truth[i] == 4) > statistics.mean(r.difficulty for i, r in got.items() if truth[i] == 1)
+
+
+def test_look_classes(spark):
+    df = spark.createDataFrame([(1, "Cream A"), (2, "Cream\u00a0A"), (2, "Cream\u00a0A"), (3, "Ｃream A"), (4, "Cream B"), (5, "Cream B"), (6, None), (7, " ")], "id long, t string")
+    got = {r.id: (r.look, r.n_texts) for r in look.look_classes(df, "id", "t").collect()}
+    assert set(got) == {1, 2, 3} and len({x for x, _ in got.values()}) == 1 and got[1][1] == 3
+    assert {(r.left_id, r.right_id) for r in look.same_look(df, "id", "t").collect()} == {(1, 2), (1, 3), (2, 3)}

@@ -134,3 +134,11 @@ def same_look(df: DataFrame, key: str, text: str) -> DataFrame:
     left = m.select(F.col("id").alias("left_id"), "l1", "l2", F.col("t1").alias("a1"), F.col("t2").alias("a2"))
     right = m.select(F.col("id").alias("right_id"), "l1", "l2", "t1", "t2")
     return left.join(right, ["l1", "l2"]).where("left_id < right_id and (a1 != t1 or a2 != t2)").select("left_id", "right_id").distinct()
+
+
+def look_classes(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, look, n_texts) of the rows whose look is written in several ways: one class a look,
+    with the number of its different texts. No pair is expanded."""
+    a = cut(_keyed(df, key, text).distinct())
+    texts = a.select("l1", "l2", "t1", "t2").distinct().groupBy("l1", "l2").agg(F.count(F.lit(1)).alias("n_texts")).where("n_texts > 1")
+    return a.join(texts, ["l1", "l2"]).select(F.col("id").alias(key), F.xxhash64("l1", "l2").alias("look"), "n_texts").distinct()

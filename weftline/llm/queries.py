@@ -134,6 +134,11 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return words.select(F.lit("keyword").alias("field_name"), "left_id", "right_id").unionAll(names.select(F.lit("product_name"), "left_id", "right_id"))
 
 
+def p5_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Each listing whose name looks like another text's, with the class of its look."""
+    return look.look_classes(table(spark, d, "validate_at_scale_nvidia"), "listing_id", "product_name")
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document."""
     return table(spark, d, "documents").select("doc_id", byte_bpe.token_ids(F.col("text")).alias("ids"))
@@ -190,6 +195,7 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_unmatched": p4_unmatched,
     "p5_found": p5_found,
+    "p5_classes": p5_classes,
     "p7_ids": p7_ids,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
