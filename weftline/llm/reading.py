@@ -171,13 +171,14 @@ def levels(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: s
     def sentence_levels(values: DataFrame) -> DataFrame:
         """(s, level) from documents (row, a, b, c, d, weight)."""
         part = F.col("n") / F.col("of") * F.col("weight")
-        at = edges.join(values, "row").groupBy("s").agg(*(F.sum(F.col(c) * part).alias(c) for c in "abcd"), F.sum(part).alias("m"))
-        w = words.join(at, "s").groupBy("w").agg(*(F.sum(c).alias(c) for c in "abcdm"))
+        # Shares sum to one, so the weight behind a word is the sum of its four.
+        at = edges.join(values, "row").groupBy("s").agg(*(F.sum(F.col(c) * part).cast("float").alias(c) for c in "abcd"))
+        w = words.join(at, "s").groupBy("w").agg(*(F.sum(c).alias(c) for c in "abcd")).withColumn("m", F.col("a") + F.col("b") + F.col("c") + F.col("d"))
         # Shares divided by the mean ones, brought to sum to one.
         q = w.select("w", *(((F.col(c) + doubt * p) / (F.col("m") + doubt) / p).alias(c) for c, p in zip("abcd", prior, strict=True)))
         q = q.select("w", *((F.col(c) / (F.col("a") + F.col("b") + F.col("c") + F.col("d"))).alias(c) for c in "abcd"))
         tells = sum(((F.col(c) - 0.25) * (F.col(c) - 0.25) for c in "abcd"), F.lit(0.0))
-        q = q.select("w", *((F.col(c) * tells).alias(c) for c in "abcd")).where("a + b + c + d > 1e-9")
+        q = q.select("w", *((F.col(c) * tells).cast("float").alias(c) for c in "abcd")).where("a + b + c + d > 1e-9")
         s = words.join(q, "w").groupBy("s").agg(*(F.sum(c).alias(c) for c in "abcd"))
         most = F.greatest(*"abcd")
         return s.select("s", F.when(F.col("a") == most, 1).when(F.col("b") == most, 2).when(F.col("c") == most, 3).otherwise(4).alias("level"))
