@@ -51,20 +51,6 @@ def c20(spark, d):
     return t.select("trend_id", F.concat(F.trim(T.rewrite(F.col("trend_name"), [(r"(?i)\b(in|for)?\s*thailand\b", "")])), F.lit(" worldwide")).alias("query"))
 
 
-@query("i04_classify", "select p_partkey, case when p_name like '%widget%' then 'widgets' when p_size > 40 then 'large' when p_type = 'PROMO' then 'promo' else 'rest' end as class from part")
-def i04(spark, d):
-    rules = [(F.contains("p_name", F.lit("widget")), "widgets"), (F.col("p_size") > 40, "large"), (F.col("p_type") == "PROMO", "promo")]
-    return table(spark, d, "part").select("p_partkey", C.classify(rules, F.lit("rest")).alias("class"))
-
-
-@query("i05_taxonomy_resolve", "with t as (select grp, sub, count(*) n from (select distinct listing_id, product_group grp, subgroup sub from validate_at_scale_nvidia where product_group is not null and subgroup is not null) group by all), b as (select sub, first(grp order by n desc, grp) parent from t group by 1) select distinct v.listing_id, coalesce(v.product_group, b.parent) as grp from validate_at_scale_nvidia v left join b on v.subgroup = b.sub")
-def i05(spark, d):
-    v = table(spark, d, "validate_at_scale_nvidia").select("listing_id", F.col("product_group").alias("g"), F.col("subgroup").alias("sub")).distinct()
-    n = v.where("g is not null and sub is not null").groupBy("sub", "g").agg(F.count(F.lit(1)).alias("n"))
-    parent = n.groupBy("sub").agg(F.min_by("g", F.struct(-F.col("n"), F.col("g"))).alias("parent"))
-    return v.join(parent, "sub", "left").select("listing_id", F.coalesce("g", "parent").alias("grp")).distinct()
-
-
 @query("i06_pick_label", "select p_partkey, case when p_brand = b2 then p_brand when p_brand = r then p_brand when b2 = r then b2 when p_size > 25 then p_brand else b2 end as label from (select *, 'Brand#' || (p_size % 3 + 1) b2, 'Brand#' || (p_partkey % 5 + 1) r from part)")
 def i06(spark, d):
     p = table(spark, d, "part")
@@ -212,11 +198,6 @@ def e02(spark, d):
     return table(spark, d, "part").groupBy(F.col("p_type").alias("cluster"), F.col("p_brand").alias("model"), (F.col("p_size") % 2).alias("kind")).agg(F.round(F.avg("p_retailprice"), 6).alias("z"))
 
 
-@query("e33_models_used", "select o_orderpriority as model, count(*) as calls, round(sum(o_totalprice), 2) as tokens from orders group by 1")
-def e33(spark, d):
-    return table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("model")).agg(F.count(F.lit(1)).alias("calls"), F.round(F.sum("o_totalprice"), 2).alias("tokens"))
-
-
 @query("l06_reuse", "select p_partkey, case when p_size % 2 = 0 then 'kept ' || p_name end as text from part")
 def l06(spark, d):
     p = table(spark, d, "part").select("p_partkey", F.sha2("p_name", 256).alias("digest"), "p_name", "p_size")

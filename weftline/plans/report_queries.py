@@ -132,13 +132,6 @@ def j06(spark, d):
     return growth.master_report(fit.select("cluster_id", "model", "date", F.lit("Fit").alias("type"), "z_score").unionByName(ahead))
 
 
-@query("j10_embedding_cache", "with t as (select distinct sha256(product_name) h from validate_at_scale_nvidia where product_name is not null), c as (select distinct sha256(own_product) h from export_llm_data where own_product is not null) select count(*) as n_texts, count(*) filter (h not in (select h from c)) as to_embed from t")
-def j10(spark, d):
-    h = lambda n, c: table(spark, d, n).where(F.col(c).isNotNull()).select(F.sha2(c, 256).alias("h")).distinct()
-    t, c = h("validate_at_scale_nvidia", "product_name"), h("export_llm_data", "own_product").withColumn("known", F.lit(1))
-    return t.join(c, "h", "left").agg(F.count(F.lit(1)).alias("n_texts"), F.count(F.when(F.col("known").isNull(), 1)).alias("to_embed"))
-
-
 @query("b02_closed_export", "select distinct trend_id, trend_name, main_category, null::varchar as glossary from trends")
 def b02(spark, d):
     t = table(spark, d, "trends").select("trend_id", "trend_name", "main_category").distinct()

@@ -164,11 +164,6 @@ def g03(spark, d):
     return U.category_breakdown(listings(spark, d), "trend", "grp", "sim", "id", 0.05, 1000, 1).select("trend", "grp", "n_pool", "place")
 
 
-@query("g09_type_distribution", f"{POOL}, c as (select trend, sub, count(*) n from pool group by all), r as (select *, row_number() over (partition by trend order by n desc, sub nulls last) k from c) select trend, case when k <= 2 then sub end as kind, sum(n)::bigint as n from r group by all")
-def g09(spark, d):
-    return U.type_distribution(U.pool_of(listings(spark, d), "trend", "sim", "id", 0.05), "trend", "sub", 2)
-
-
 FIT = f", b as (select * from lst where grp is not null and trend is not null), {_cuts('trend, grp', 3, 'price', 'b')}, fit as (select b.*, 1 + coalesce(len(list_filter(cuts, lambda c: price > c)), 0)::int tier from b left join cut on b.trend = cut.trend and b.grp = cut.grp where price is not null), fr as (select *, row_number() over (partition by trend, grp order by sim desc nulls last, id) category_rank, row_number() over (partition by trend, grp, tier order by sim desc nulls last, id) tier_rank, count(*) over (partition by trend, grp, tier) tier_size from fit)"
 
 

@@ -242,12 +242,6 @@ def i23(spark, d):
     return table(spark, d, "trends").select("trend_id", V.investment_signal(F.col("expected_pct_y1")).alias("signal"))
 
 
-@query("i27_product_text", "with p as (select distinct listing_id, concat_ws(' | ', product_name, brand, subgroup) t from validate_at_scale_nvidia) select listing_id, sha256(t) as digest from p")
-def i27(spark, d):
-    x = table(spark, d, "validate_at_scale_nvidia").select("listing_id", F.concat_ws(" | ", "product_name", "brand", "subgroup").alias("t")).distinct()
-    return x.select("listing_id", F.sha2("t", 256).alias("digest"))
-
-
 @query("i35_midpoint", "select o_custkey, (min(o_orderdate)::date + (date_diff('day', min(o_orderdate), max(o_orderdate)) // 2)::int)::date as middle from orders group by 1")
 def i35(spark, d):
     g = table(spark, d, "orders").groupBy("o_custkey").agg(F.min(F.to_date("o_orderdate")).alias("a"), F.max(F.to_date("o_orderdate")).alias("b"))

@@ -520,3 +520,76 @@ def l34(spark, d):
 
     p = docs(spark, d).where("matched_keyword is not null and source is not null").groupBy(F.col("matched_keyword").alias("keyword")).agg(F.array_sort(F.collect_set("source")).alias("s"), F.count(F.lit(1)).alias("n"))
     return p.select("keyword", F.concat(F.col("n").cast("string"), F.lit(" documents from "), place_phrase(F.col("s"))).alias("line"))
+
+
+# -- catalogue and caches ------------------------------------------------------------------
+
+
+@query("e33_models_used", "with e as (select distinct export_id, run_id, quadrant, fit_level from export_llm_data where run_id is not null), s as (select run_id, quadrant as model, fit_level as stage, count(*) n from e where quadrant is not null and fit_level is not null group by all) select run_id, model, sum(n)::bigint as calls, count(*) as stages from s group by 1, 2")
+def e33(spark, d):
+    """How often each model was called in a run, summed over its stages."""
+    e = table(spark, d, "export_llm_data").where("run_id is not null and quadrant is not null and fit_level is not null").select("export_id", "run_id", "quadrant", "fit_level").distinct()
+    s = e.groupBy("run_id", F.col("quadrant").alias("model"), "fit_level").agg(F.count(F.lit(1)).alias("n"))
+    return s.groupBy("run_id", "model").agg(F.sum("n").alias("calls"), F.count(F.lit(1)).alias("stages"))
+
+
+@query("g09_type_distribution", f"with {LISTINGS_SQL}, m as (select trend, count(*) n from lst group by 1), r as (select lst.*, m.n, row_number() over (partition by lst.trend order by sim desc nulls last, id) k from lst join m on m.trend is not distinct from lst.trend), pool as (select * from r where k <= greatest(1, round_even(n * 0.05::double, 0)::int)), c as (select trend, sub, count(*) n from pool group by all), q as (select trend, sub, n, row_number() over (partition by trend order by n desc, sub nulls last) k, sum(n) over (partition by trend) t from c) select trend, case when k <= 5 then sub end as kind, k > 5 as rest, sum(n)::bigint as n, round(sum(n) / max(t)::double, 6) as share from q group by all")
+def g09(spark, d):
+    """The five commonest kinds of a trend's pool and the rest, with their shares."""
+    c = U.pool_of(listings(spark, d), "trend", "sim", "id", 0.05).groupBy("trend", "sub").agg(F.count(F.lit(1)).alias("n"))
+    k = F.row_number().over(Window.partitionBy("trend").orderBy(F.col("n").desc(), F.col("sub").asc_nulls_last()))
+    c = c.withColumns({"k": k, "t": F.sum("n").over(Window.partitionBy("trend"))})  # a row a kind
+    g = c.groupBy("trend", F.when(F.col("k") <= 5, F.col("sub")).alias("kind"), (F.col("k") > 5).alias("rest")).agg(F.sum("n").alias("n"), F.max("t").alias("t"))
+    return g.select("trend", "kind", "rest", "n", F.round(F.col("n") / F.col("t"), 6).alias("share"))
+
+
+@query("i04_classify", "select distinct listing_id, case when regexp_matches(lower(product_name), 'wax strip|eye patch') then 'Tools' when regexp_matches(lower(product_name), 'sunscreen|sunblock|spf ?[0-9]') then 'Sun Care' when regexp_matches(lower(product_name), 'shampoo|conditioner|แชมพู') then 'Hair Care' when regexp_matches(lower(product_name), 'serum|toner|moistur') then 'Skin Care' when product_group is not null then product_group when subgroup is not null then 'by ' || subgroup else 'rest' end as class, case when regexp_matches(lower(product_name), 'professional|paris') then 'premium' when sale_price_thb >= 1000 then 'premium' when sale_price_thb is null then null else 'mass' end as segment from validate_at_scale_nvidia")
+def i04(spark, d):
+    """Class by ordered rules on the name, then the catalogue's labels; the segment by an override in the name, else by price."""
+    n = F.lower("product_name")
+    has = lambda p: F.coalesce(n.rlike(p), F.lit(False))
+    rules = [(has("wax strip|eye patch"), "Tools"), (has("sunscreen|sunblock|spf ?[0-9]"), "Sun Care"), (has("shampoo|conditioner|แชมพู"), "Hair Care"), (has("serum|toner|moistur"), "Skin Care")]
+    rest = F.coalesce("product_group", F.concat(F.lit("by "), "subgroup"), F.lit("rest"))
+    segment = F.when(has("professional|paris"), "premium").when(F.col("sale_price_thb") >= 1000, "premium").when(F.col("sale_price_thb").isNull(), None).otherwise("mass")
+    return table(spark, d, "validate_at_scale_nvidia").select("listing_id", C.classify(rules, rest).alias("class"), segment.alias("segment")).distinct()
+
+
+@query("i05_taxonomy_resolve", "with v as (select distinct listing_id, product_group g, subgroup sub, lower(coalesce(product_name, '')) nm, sale_price_thb p from validate_at_scale_nvidia), t as (select g, sub, count(*) n from (select distinct listing_id, g, sub from v where g is not null and sub is not null) group by all), b as (select sub, first(g order by n desc, g) parent from t group by 1), s as (select sub from t group by 1) select distinct v.listing_id, case when v.g is null and regexp_matches(nm, '(^|[^a-z])(men|for men|homme)([^a-z]|$)') then 'Grooming' else coalesce(v.g, b.parent) end as grp, coalesce(v.sub, (select min(sub) from s where contains(v.nm, rtrim(lower(sub), 's')))) as sub, case when p is null then null when p >= 1000 then 'premium' else 'mass' end as tier from v left join b on v.sub = b.sub")
+def i05(spark, d):
+    """Parent of a subgroup by majority, or by words of gender where it is missing; a missing subgroup by its name in the text; premium or mass by price."""
+    v = table(spark, d, "validate_at_scale_nvidia").select("listing_id", F.col("product_group").alias("g"), F.col("subgroup").alias("sub"), F.lower(F.coalesce("product_name", F.lit(""))).alias("nm"), F.col("sale_price_thb").alias("p")).distinct()
+    n = v.where("g is not null and sub is not null").select("listing_id", "g", "sub").distinct().groupBy("sub", "g").agg(F.count(F.lit(1)).alias("n"))
+    parent = n.groupBy("sub").agg(F.min_by("g", F.struct(-F.col("n"), F.col("g"))).alias("parent"))
+    names = sorted(r[0] for r in n.select("sub").distinct().limit(5000).collect())  # the subgroups of a taxonomy
+    if len(names) == 5000:
+        raise ValueError("more than 5,000 subgroups: join them by their words")
+    told = F.array_min(F.filter(F.array(*map(F.lit, names)), lambda s: F.contains(F.col("nm"), F.rtrim(F.lower(s), F.lit("s")))))
+    grp = F.when(F.col("g").isNull() & F.col("nm").rlike("(^|[^a-z])(men|for men|homme)([^a-z]|$)"), "Grooming").otherwise(F.coalesce("g", "parent"))
+    tier = F.when(F.col("p").isNull(), None).when(F.col("p") >= 1000, "premium").otherwise("mass")
+    return v.join(parent, "sub", "left").select("listing_id", grp.alias("grp"), F.coalesce("sub", told).alias("sub"), tier.alias("tier")).distinct()
+
+
+@query("i27_product_text", "with r as (select own_listing_id listing_id, min(own_reason_en) reason from export_llm_data where own_reason_en is not null group by 1), p as (select distinct v.listing_id, concat_ws(' | ', product_name, brand, product_group, subgroup, left(reason, 500)) t from validate_at_scale_nvidia v left join r using (listing_id)) select listing_id, sha256(t) as digest, length(t) as n_chars from p")
+def i27(spark, d):
+    """The text a product is embedded by: name, brand, labels and the start of what is said of it."""
+    r = table(spark, d, "export_llm_data").where("own_reason_en is not null").groupBy(F.col("own_listing_id").alias("listing_id")).agg(F.min("own_reason_en").alias("reason"))
+    v = table(spark, d, "validate_at_scale_nvidia").select("listing_id", "product_name", "brand", "product_group", "subgroup").distinct().join(r, "listing_id", "left")
+    t = F.concat_ws(" | ", "product_name", "brand", "product_group", "subgroup", F.substring("reason", 1, 500))
+    return v.select("listing_id", F.sha2(t, 256).alias("digest"), F.length(t).cast("long").alias("n_chars")).distinct()
+
+
+@query("j10_embedding_cache", "with t as (select distinct sha256(product_name) digest, length(product_name) n from validate_at_scale_nvidia where product_name is not null), c as (select distinct sha256(own_product) digest from export_llm_data where own_product is not null) select t.digest, case when c.digest is not null then 'cached' when n % 50 = 7 then 'failed' else 'embedded' end as status from t left join c using (digest)")
+def j10(spark, d):
+    """Texts to embed: known digests come from the cache, equal texts are embedded once, failures are told and
+    not kept; more than a tenth of failures stops the run."""
+    from weftline.plans.run_queries import place
+    from weftline.sources.readers import embedded
+
+    def embed(texts):
+        return texts.map(lambda t: None if len(t) % 50 == 7 else [float(len(t)), 1.0])
+
+    path = place(spark, "j10_cache")
+    known = table(spark, d, "export_llm_data").where("own_product is not null").select(F.sha2("own_product", 256).alias("digest"), F.array(F.lit(1.0)).alias("vector")).dropDuplicates(["digest"])
+    known.write.parquet(path)
+    texts = table(spark, d, "validate_at_scale_nvidia").where("product_name is not null").select(F.col("product_name").alias("text"))
+    return embedded(texts, "text", spark.read.parquet(path), path, F.pandas_udf(embed, "array<double>")).select("digest", "status")

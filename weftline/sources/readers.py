@@ -272,3 +272,19 @@ def close_names(typed: DataFrame, value: str, names: DataFrame, name: str, least
         return pd.DataFrame(rows, columns=["exact", "close"])
 
     return typed.select(value, F.pandas_udf(look, "exact string, close array<string>")(value).alias("r")).select(value, "r.*")
+
+
+def embedded(texts: DataFrame, text: str, cache: DataFrame, path: str, embed, most_failed: float = 0.1) -> DataFrame:
+    """(digest, vector, status) of the distinct texts: cached, embedded or failed. cache (digest, vector)
+    lies at path and grows by the new vectors; failures aren't kept. Where more than a part
+    of those asked fails, nothing is kept and an error is raised."""
+    from weftline.session import cut
+
+    x = texts.select(F.sha2(text, 256).alias("digest"), F.col(text).alias("_t")).dropDuplicates(["digest"])
+    hit = cut(x.join(cache, "digest").select("digest", "vector", F.lit("cached").alias("status")))
+    new = cut(x.join(cache, "digest", "left_anti").select("digest", embed(F.col("_t")).alias("vector")))
+    n, failed = new.agg(F.count(F.lit(1)), F.count(F.when(F.col("vector").isNull(), 1))).first()
+    if failed > most_failed * max(n, 1):
+        raise RuntimeError(f"{failed} of {n} texts failed")
+    new.where("vector is not null").write.mode("append").parquet(path)
+    return hit.unionByName(new.select("digest", "vector", F.when(F.col("vector").isNull(), "failed").otherwise("embedded").alias("status")))
