@@ -40,9 +40,12 @@ def c04(spark, d):
     return v.select("listing_id", F.upper(C.fold_accents(F.col("brand"))).alias("key")).distinct()
 
 
-@query("c13_clean_documents")
+_BOILER = "cookies|all rights reserved|reproduction prohibited|subscribe|หน้าแรก"
+
+
+@query("c13_clean_documents", f"with l as (select doc_id, text, list_filter(list_transform(regexp_split_to_array(text, '\\r?\\n'), lambda x: trim(x, ' ')), lambda x: x <> '' and not regexp_matches(x, '^[=_*#\\t\\n\\f\\r\\x0b -]+$') and not regexp_matches(lower(x), '{_BOILER}')) k from documents where text is not null), o as (select doc_id, text, trim(regexp_replace(array_to_string(k, ' '), '[\\t\\n\\f\\r\\x0b ]+', ' ', 'g'), ' ') o from l) select doc_id, case when length(o) < 50 then trim(text, ' ') else o end as clean from o")
 def c13(spark, d):
-    return table(spark, d, "documents").where("text is not null").select("doc_id", C.clean_document(F.col("text"), "cookies|all rights reserved|reproduction prohibited|subscribe|หน้าแรก").alias("clean"))
+    return table(spark, d, "documents").where("text is not null").select("doc_id", C.clean_document(F.col("text"), _BOILER).alias("clean"))
 
 
 @query("c20_worldwide_query", "select trend_id, trim(regexp_replace(trend_name, '(?i)\\b(in|for)?\\s*thailand\\b', '', 'g')) || ' worldwide' as query from trends where trend_name is not null")
