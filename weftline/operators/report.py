@@ -46,10 +46,16 @@ def comparative_delta(score: Column, peers: Column, matched: Column) -> Column:
     return F.when((score >= 70) & (matched >= 0.6), score - F.when(peers > 0.5, 22).otherwise(12)).otherwise(score)
 
 
-def lint(text: Column, longest: int) -> Column:
-    """Sentences of more words than `longest`."""
-    parts = F.split(F.coalesce(text, F.lit("")), r"(?<=[.!?])\s+")
-    return F.size(F.filter(parts, lambda s: F.size(F.split(F.trim(s), r"\s+")) > longest))
+def lint(text: Column, longest: int, clause: int = 15) -> Column:
+    """STRUCT(n_long, n_clauses, n_foreign, n_leaks): sentences of more words than `longest`, clauses of
+    more than `clause`, Latin words of four letters or more in a Thai text, and traces of templates or addresses."""
+    t = F.coalesce(text, F.lit(""))
+    more = lambda parts, n: F.size(F.filter(parts, lambda s: F.size(F.split(F.trim(s), r"\s+")) > n))
+    sentences = F.split(t, r"(?<=[.!?])\s+")
+    clauses = F.split(t, r"(?<=[.!?,;:])\s+")
+    foreign = F.when(t.rlike("[฀-๿]"), F.size(F.regexp_extract_all(t, F.lit("([A-Za-z]{4,})"), F.lit(1)))).otherwise(0)
+    leaks = F.size(F.regexp_extract_all(t, F.lit(r"(\{[A-Za-z_]+\}|https?://|<\|)"), F.lit(1)))
+    return F.struct(more(sentences, longest).alias("n_long"), more(clauses, clause).alias("n_clauses"), foreign.alias("n_foreign"), leaks.alias("n_leaks"))
 
 
 def match_text(need: Column, evidence: Column, most: int = 12) -> Column:

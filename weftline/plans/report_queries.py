@@ -74,11 +74,6 @@ def i36(spark, d):
     return table(spark, d, "events").select("event_id", R.flatten_value(F.col("props")).alias("text"))
 
 
-@query("i37_lint")
-def i37(spark, d):
-    return table(spark, d, "documents").select("doc_id", R.lint(F.col("text"), 25).alias("n_long"))
-
-
 @query("i30_quadrant", "with m as (select median(growth_score_y1) a, median(growth_score_y3) b from trends) select trend_id, case when growth_score_y1 >= a and growth_score_y3 >= b then 'defend' when growth_score_y1 >= a then 'maintain' when growth_score_y3 >= b then 'build' else 'monitor' end as quadrant from trends, m")
 def i30(spark, d):
     t = table(spark, d, "trends")

@@ -593,3 +593,15 @@ def j10(spark, d):
     known.write.parquet(path)
     texts = table(spark, d, "validate_at_scale_nvidia").where("product_name is not null").select(F.col("product_name").alias("text"))
     return embedded(texts, "text", spark.read.parquet(path), path, F.pandas_udf(embed, "array<double>")).select("digest", "status")
+
+
+_WS = "[\\t\\n\\f\\r\\x0b ]+"
+_LONG = "len(list_filter(string_split(regexp_replace(t, '([{}])" + _WS + "', '\\1' || chr(1), 'g'), chr(1)), lambda s: len(regexp_split_to_array(trim(s, ' '), '" + _WS + "')) > {}))"
+
+
+@query("i37_lint", f"with d as (select doc_id, coalesce(text, '') t from documents) select doc_id, {_LONG.format('.!?', 25)} as n_long, {_LONG.format('.!?,;:', 15)} as n_clauses, case when regexp_matches(t, '[฀-๿]') then len(regexp_extract_all(t, '[A-Za-z]{{4,}}')) else 0 end as n_foreign, len(regexp_extract_all(t, '\\{{[A-Za-z_]+\\}}|https?://|<\\|')) as n_leaks from d")
+def i37(spark, d):
+    """Faults of a text that a reader would stumble over."""
+    from weftline.operators.report import lint
+
+    return docs(spark, d).select("doc_id", lint(F.col("text"), 25).alias("l")).select("doc_id", "l.*")
