@@ -98,13 +98,6 @@ def k07(spark, d):
     return z.join(r.groupBy("category").agg(F.round(F.sum("share"), 6).alias("top_share"), F.array_join(names, ", ").alias("brands")), "category")
 
 
-@query("k13_search_stream", "with ev as (select event_type l1, 'p' || (user_id % 3) place, json_extract_string(props, '$.k') q, value from events), t as (select l1, 'theme ' || (cast(q as int) % 7) theme, count(distinct q) n_searches, count(distinct place) n_places, max(value) top from ev where q is not null group by all) select l1, theme, n_searches, n_places, top, row_number() over (partition by l1 order by n_places desc, n_searches desc, top desc, theme) as place from t")
-def k13(spark, d):
-    s = searches(spark, d).where("q is not null").withColumn("theme", F.concat(F.lit("theme "), (F.col("q").cast("int") % 7).cast("string")))
-    t = s.groupBy("l1", "theme").agg(F.countDistinct("q").alias("n_searches"), F.countDistinct("place").alias("n_places"), F.max("value").alias("top"))
-    return t.withColumn("place", F.row_number().over(Window.partitionBy("l1").orderBy(F.desc("n_places"), F.desc("n_searches"), F.desc("top"), "theme")))
-
-
 @query("k10_brand_category", f"with {LISTINGS_SQL}, r as (select *, row_number() over (partition by trend, grp order by sim desc nulls last, id) rk, count(*) over (partition by trend, grp) n from lst where trend is not null and grp is not null) select brand, grp, count(*) as n_products, min(rk) as best_rank, sum((rk <= greatest(1, trunc(n * .05::double)))::int)::bigint as in_best_5pct from r where brand is not null group by all")
 def k10(spark, d):
     x = listings(spark, d).where("trend is not null and grp is not null")

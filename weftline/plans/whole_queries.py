@@ -605,3 +605,12 @@ def i37(spark, d):
     from weftline.operators.report import lint
 
     return docs(spark, d).select("doc_id", lint(F.col("text"), 25).alias("l")).select("doc_id", "l.*")
+
+
+@query("k13_search_stream", "with s as (select source l1, lower(matched_keyword) q, coalesce(source_region, '?') place, doc_id from documents where source is not null and matched_keyword is not null), t as (select l1, split_part(q, ' ', 1) theme, count(distinct q) n_searches, count(distinct place) n_places, count(*) n_documents, count(distinct case when q in (select lower(trend_name) from trends where trend_name is not null) then q end) n_trends from s group by all) select *, row_number() over (partition by l1 order by n_places desc, n_searches desc, n_documents desc, theme)::int as place from t")
+def k13(spark, d):
+    """Searches of each category by theme - the first word -, with places, documents and the trends they are, in the order of candidates."""
+    trends = table(spark, d, "trends").where("trend_name is not null").select(F.lower("trend_name").alias("q"), F.lit(1).alias("is_trend")).distinct()
+    s = docs(spark, d).where("source is not null and matched_keyword is not null").select(F.col("source").alias("l1"), F.lower("matched_keyword").alias("q"), F.coalesce("source_region", F.lit("?")).alias("p")).join(trends, "q", "left")
+    t = s.groupBy("l1", F.split("q", " ")[0].alias("theme")).agg(F.countDistinct("q").alias("n_searches"), F.countDistinct("p").alias("n_places"), F.count(F.lit(1)).alias("n_documents"), F.countDistinct(F.when(F.col("is_trend") == 1, F.col("q"))).alias("n_trends"))
+    return running(t, ["l1"], [F.desc("n_places"), F.desc("n_searches"), F.desc("n_documents"), "theme"], None, "place").withColumn("place", F.col("place").cast("int"))
