@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions.semantics import canonical_tier, pool_size, tier_of
 from weftline.operators.ranking import average_rank, running, with_total
+from weftline.session import cut
 
 
 def rank_in(df: DataFrame, groups: list[str], score: str, key: str, name: str = "rank") -> DataFrame:
@@ -98,9 +99,11 @@ def unit_tiers(df: DataFrame, levels: list[str], value: str, size: str, tiers: i
     minis and left out of the cut lines unless fewer rows than tiers remain. Fewer tiers
     than asked are spread over the scale.
     """
-    ok = df.where(F.col(value).isNotNull())
+    df = cut(df.where(F.col(value).isNotNull()))  # read once for each level below
+    ok = df
     for lv in levels:
-        ok = with_total(ok, [lv], f"_n_{lv}")
+        n = df.groupBy(F.col(lv).alias("_l")).agg(F.count(F.lit(1)).alias(f"_n_{lv}"))
+        ok = ok.join(n, F.col(lv).eqNullSafe(F.col("_l"))).drop("_l")
     level = F.coalesce(*(F.when(F.col(lv).isNotNull() & (F.col(f"_n_{lv}") >= least), F.lit(lv)) for lv in levels[:-1]), F.lit(levels[-1]))
     ok = ok.withColumn("cohort_level", level)
     name = F.coalesce(*(F.when(F.col("cohort_level") == lv, F.concat_ws(":", F.lit(lv), F.col(lv))) for lv in levels))
@@ -108,7 +111,7 @@ def unit_tiers(df: DataFrame, levels: list[str], value: str, size: str, tiers: i
     # A cohort holds all rows of its level, not only those that fell back to it.
     members = None
     for lv in levels:
-        part = df.where(F.col(value).isNotNull()).select(F.concat_ws(":", F.lit(lv), F.col(lv)).alias("cohort"), F.col(value).alias("_v"), F.col(size).alias("_s"))
+        part = df.select(F.concat_ws(":", F.lit(lv), F.col(lv)).alias("cohort"), F.col(value).alias("_v"), F.col(size).alias("_s"))
         members = part if members is None else members.unionByName(part)
     members = members.join(ok.select("cohort").distinct(), "cohort", "left_semi")
     median = members.groupBy("cohort").agg((F.median("_s") * mini).alias("_line"))
@@ -135,6 +138,7 @@ def sales_level(df: DataFrame, groups: list[str], sold: str, reviews: str, least
     """Sales percentile within (group, tier): average rank of sold counts; rows without one
     take the mid rank of their reviews among the reviews of rows with one; pools under
     `least` are unknown."""
+    df = cut(df)  # read several times below
     has = F.col(sold).isNotNull()
     x = average_rank(with_total(df, groups, "_have", F.col(sold)), groups, sold, "_direct").withColumn("_k", has.cast("int"))
     # Rows with counts on the review scale: running counts over distinct values.
@@ -170,8 +174,8 @@ def type_distribution(pool: DataFrame, trend: str, kind: str, keep: int = 5) ->
 
 def category_fit(df: DataFrame, trend: str, category: str, brand: str, score: str, price: str, key: str, tiers: int = 3) -> DataFrame:
     """Every product's tier within (trend, category) and its ranks in the category and the tier."""
-    x = assign_tiers(df, [trend, category], price, tiers).where(F.col("tier").isNotNull())
-    x = rank_in(x, [trend, category], score, key, "category_rank")
+    x = cut(assign_tiers(cut(df), [trend, category], price, tiers).where(F.col("tier").isNotNull()))
+    x = cut(rank_in(x, [trend, category], score, key, "category_rank"))
     return with_total(rank_in(x, [trend, category, "tier"], score, key, "tier_rank"), [trend, category, "tier"], "tier_size")
 
 
