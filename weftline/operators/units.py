@@ -69,35 +69,43 @@ def unit_mixture(known: DataFrame, unknown: DataFrame, rounds: int = 50) -> Data
     name = F.coalesce("category", F.lit("")).alias("category")
     x = known.where("size > 0").select(name, "base", F.log("size").alias("x"), F.when(F.col("price") > 0, F.log(F.col("price") / F.col("size"))).alias("y"))
     spread = lambda c: F.greatest(F.coalesce(F.stddev_samp(c), F.lit(0.5)), F.lit(0.25))
-    shape = x.groupBy("category", "base").agg(F.avg("x").alias("mu"), spread("x").alias("sd"), F.avg("y").alias("mu_y"), spread("y").alias("sd_y"), F.count(F.lit(1)).alias("n"))
-    shape = shape.withColumn("prior", F.col("n") / F.sum("n").over(Window.partitionBy("category"))).drop("n")
+    shape = x.groupBy("category", "base").agg(F.avg("x").alias("mu"), spread("x").alias("sd"), F.avg("y").alias("mu_y"), spread("y").alias("sd_y"), F.count(F.lit(1)).cast("double").alias("n"))
+    shape = shape.groupBy("category").agg(F.map_from_entries(F.collect_list(F.struct("base", F.struct("mu", "sd", "mu_y", "sd_y", "n")))).alias("shape"), F.sum("n").alias("all"))
     factors = list(dict.fromkeys(UNITS.values()))
-    unit_rows = F.explode(F.array(*(F.struct(F.lit(b).alias("base"), F.lit(f).alias("factor"), F.lit(i).alias("part")) for i, (b, f) in enumerate(factors)))).alias("u")
-    parts = unknown.where("size > 0").select("id", name, "size", "price", unit_rows).select("id", "category", "size", "price", "u.*").join(shape, ["category", "base"])
-    whole = F.col("size") * F.col("factor")
-    z = (F.log(whole) - F.col("mu")) / F.col("sd")
-    zy = (F.log(F.col("price") / whole) - F.col("mu_y")) / F.col("sd_y")
-    priced = F.when((F.col("price") > 0) & F.col("mu_y").isNotNull(), F.exp(-zy * zy / 2) / F.col("sd_y")).otherwise(F.lit(1.0))
-    parts = cut(parts.withColumn("like", F.exp(-z * z / 2) / F.col("sd") * F.col("prior") * priced))
-    weight = {i: 1.0 / len(factors) for i in range(len(factors))}
+
+    def likelihood(base: str, factor: float) -> Column:
+        s = F.try_element_at("shape", F.lit(base))
+        whole = F.col("size") * factor
+        z = (F.log(whole) - s["mu"]) / s["sd"]
+        zy = (F.log(F.col("price") / whole) - s["mu_y"]) / s["sd_y"]
+        priced = F.when((F.col("price") > 0) & s["mu_y"].isNotNull(), F.exp(-zy * zy / 2) / s["sd_y"]).otherwise(F.lit(1.0))
+        return F.coalesce(F.exp(-z * z / 2) / s["sd"] * s["n"] / F.col("all") * priced, F.lit(0.0))
+
+    # A row holds the likelihoods of all components, so a round moves one row of sums a task.
+    rows = unknown.where("size > 0").select("id", name, "size", "price").join(shape, "category")
+    rows = cut(rows.select("id", "size", F.array(*(likelihood(b, f) for b, f in factors)).alias("like")))
+    weight = [1.0 / len(factors)] * len(factors)
+
+    def weighed(weight: list[float]) -> DataFrame:
+        w = F.zip_with("like", F.array(*map(F.lit, weight)), lambda x, y: x * y)
+        x = rows.select("id", "size", w.alias("w"))
+        return x.withColumn("all", F.aggregate("w", F.lit(0.0), lambda s, v: s + v)).where(F.col("all") > 0)
+
     for _ in range(rounds):
-        w = F.col("like") * F.create_map(*(F.lit(v) for kv in weight.items() for v in kv))[F.col("part")]
-        p = parts.select("part", F.try_divide(w, F.sum(w).over(Window.partitionBy("id", "size"))).alias("p"))
-        sums = {r["part"]: r["s"] or 0.0 for r in p.groupBy("part").agg(F.sum("p").alias("s")).collect()}  # one row a component
-        total = sum(sums.values())
-        if not total:
+        sums = weighed(weight).agg(*(F.sum(F.col("w")[i] / F.col("all")) for i in range(len(factors)))).first()
+        if sums[0] is None:
             break
-        new = {i: (sums.get(i, 0.0) + 0.01) / (total + 0.01 * len(factors)) for i in weight}
-        done = max(abs(math.log(new[i] / weight[i])) for i in weight) < 1e-2
+        total = sum(sums)
+        new = [(v + 0.01) / (total + 0.01 * len(factors)) for v in sums]
+        done = max(abs(math.log(n / w)) for n, w in zip(new, weight, strict=True)) < 1e-2
         weight = new
         if done:
             break
     else:
         warnings.warn(f"the weights of units still move after {rounds} rounds", stacklevel=2)
-    w = F.col("like") * F.create_map(*(F.lit(v) for kv in weight.items() for v in kv))[F.col("part")]
-    best = parts.withColumn("posterior", F.try_divide(w, F.sum(w).over(Window.partitionBy("id", "size"))))
-    top = F.max_by(F.struct("base", "factor", "posterior"), F.struct("posterior", -F.col("part"))).alias("b")
-    return best.groupBy("id", "size").agg(top).select("id", "size", "b.*")
+    best = weighed(weight).withColumn("i", F.array_position("w", F.array_max("w")).cast("int"))
+    of = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("i"))
+    return best.select("id", "size", of([b for b, _ in factors]).alias("base"), of([f for _, f in factors]).alias("factor"), (F.array_max("w") / F.col("all")).alias("posterior"))
 
 
 def _rows(df: DataFrame, key: str, size: str, label: str, text: str, category: str, price: str, unit_price: str) -> tuple[DataFrame, DataFrame]:
