@@ -3,7 +3,7 @@ import statistics
 
 from pyspark.sql import functions as F
 
-from weftline.llm import canonical, look, mixture, reading, topn
+from weftline.llm import canonical, look, mixture, queries, reading, topn
 
 
 def test_copies_are_told_apart_by_the_order_columns(spark):
@@ -71,6 +71,25 @@ def test_levels_follow_most_sentences(spark):
     assert statistics.mean(r.difficulty for i, r in got.items() if truth[i] == 4) > statistics.mean(r.difficulty for i, r in got.items() if truth[i] == 1)
 
 
+def test_levels_send_nothing_through_the_driver(spark, tmp_path, monkeypatch):
+    rnd = random.Random(4)
+    docs = [(i, ". ".join(rnd.choices(["the cat ran to me", "we had a big red ball"] if i % 2 else ["stratified covariance attenuates expression", "endpoints corroborate filaggrin"], k=5)), "s") for i in range(40)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, "r", 1 if i % 2 else 4) for i in range(8)], "doc_id long, rater string, reading_level int").coalesce(1).write.parquet(f"{tmp_path}/reading_labels.parquet")
+    plans, real = [], reading.cut
+
+    def watched(df):
+        out = real(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(reading, "cut", watched)
+    found = queries.p9_profile(spark, str(tmp_path))
+    assert {r.reading_level: r.n_docs for r in found.collect()} == {1: 20, 4: 20}
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert "SortMergeJoin" in "".join(plans) and not [p for p in plans if "Broadcast" in p]
+
+
 def test_look_classes(spark):
     df = spark.createDataFrame([(1, "Cream A"), (2, "Cream\u00a0A"), (2, "Cream\u00a0A"), (3, "Ｃream A"), (4, "Cream B"), (5, "Cream B"), (6, None), (7, " ")], "id long, t string")
     got = {r.id: (r.look, r.n_texts) for r in look.look_classes(df, "id", "t").collect()}

@@ -180,7 +180,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_profile(spark: SparkSession, d: str) -> DataFrame:
     """Documents and mean difficulty of each source and level."""
-    x = _levels(spark, d).join(table(spark, d, "documents").select("doc_id", "source"), "doc_id")
+    x = reading.joined(_levels(spark, d), table(spark, d, "documents").select("doc_id", "source"), "doc_id")
     return x.groupBy("source", "reading_level").agg(F.count(F.lit(1)).alias("n_docs"), F.round(F.avg("difficulty"), 4).alias("mean_difficulty"))
 
 

@@ -149,6 +149,12 @@ def _read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["id", "s", "size", "new"])
 
 
+def joined(a: DataFrame, b: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """a and b joined by merging. Sizes behind Python and explode are guessed far too small, so left to
+    itself Spark sends the words of the whole corpus through the driver."""
+    return a.join(b.hint("merge"), on, how)
+
+
 def levels(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, rater: str, level: str, trust: float = 0.5, doubt: float = 0.05, rounds: int = 12, settled: float = 0.01) -> DataFrame:
     """(key, reading_level, difficulty) of each document that holds sentences. trust: weight of
     an ungraded document against a graded one. doubt: documents' worth of the mean that a
@@ -158,12 +164,12 @@ def levels(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: s
     read = docs.where(F.col(text).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInPandas(_read, "id long, s array<long>, size array<int>, new array<struct<s: long, words: array<long>>>")
     read = cut(read)
     # A repeated document has rows of its own, so they are numbered.
-    body = cut(read.where("id is not null").select("id", "s", "size").withColumn("row", F.monotonically_increasing_id()).join(grades, "id", "left"))
-    prior = body.where("grade is not null").agg(*(F.avg(F.col("grade")[k]) + 1e-3 for k in range(4))).first()
+    body = cut(read.where("id is not null").select("id", "s", "size").withColumn("row", F.monotonically_increasing_id()))
+    graded = cut(joined(body.select("id", "row"), grades, "id").select("row", "grade"))
+    prior = graded.agg(*(F.avg(F.col("grade")[k]) + 1e-3 for k in range(4))).first()
     if prior[0] is None:
         return body.limit(0).select(F.col("id").alias(key), F.lit(0).alias("reading_level"), F.lit(0.0).alias("difficulty"))
     prior = [p / sum(prior) for p in prior]
-    graded = cut(body.where("grade is not null").select("row", "grade"))
     edges = body.select("row", F.size("s").alias("of"), F.explode(F.arrays_zip("s", "size")).alias("e"))
     edges = cut(edges.groupBy("row", "of", "e.s", "e.size").agg(F.count(F.lit(1)).alias("n")))
     words = cut(read.select(F.explode("new").alias("e")).select("e.*").dropDuplicates(["s"]).select("s", F.explode("words").alias("w")))
@@ -172,21 +178,21 @@ def levels(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: s
         """(s, level) from documents (row, a, b, c, d, weight)."""
         part = F.col("n") / F.col("of") * F.col("weight")
         # Shares sum to one, so the weight behind a word is the sum of its four.
-        at = edges.join(values, "row").groupBy("s").agg(*(F.sum(F.col(c) * part).cast("float").alias(c) for c in "abcd"))
-        w = words.join(at, "s").groupBy("w").agg(*(F.sum(c).alias(c) for c in "abcd")).withColumn("m", F.col("a") + F.col("b") + F.col("c") + F.col("d"))
+        at = joined(edges, values, "row").groupBy("s").agg(*(F.sum(F.col(c) * part).cast("float").alias(c) for c in "abcd"))
+        w = joined(words, at, "s").groupBy("w").agg(*(F.sum(c).alias(c) for c in "abcd")).withColumn("m", F.col("a") + F.col("b") + F.col("c") + F.col("d"))
         # Shares divided by the mean ones, brought to sum to one.
         q = w.select("w", *(((F.col(c) + doubt * p) / (F.col("m") + doubt) / p).alias(c) for c, p in zip("abcd", prior, strict=True)))
         q = q.select("w", *((F.col(c) / (F.col("a") + F.col("b") + F.col("c") + F.col("d"))).alias(c) for c in "abcd"))
         tells = sum(((F.col(c) - 0.25) * (F.col(c) - 0.25) for c in "abcd"), F.lit(0.0))
         q = q.select("w", *((F.col(c) * tells).cast("float").alias(c) for c in "abcd")).where("a + b + c + d > 1e-9")
-        s = words.join(q, "w").groupBy("s").agg(*(F.sum(c).alias(c) for c in "abcd"))
+        s = joined(words, q, "w").groupBy("s").agg(*(F.sum(c).alias(c) for c in "abcd"))
         most = F.greatest(*"abcd")
         return s.select("s", F.when(F.col("a") == most, 1).when(F.col("b") == most, 2).when(F.col("c") == most, 3).otherwise(4).alias("level"))
 
     def documents(found: DataFrame) -> DataFrame:
         """(row, a, b, c, d): shares of a document's sentences at each level. Scraps count only
         where there is nothing else, and the amount of text settles ties."""
-        at = edges.join(found, "s", "left")
+        at = joined(edges, found, "s", "left")
         is_ = [(F.col("level") == k).cast("double") for k in (1, 2, 3, 4)]
         real = F.col("n") * (F.col("size") >= 4).cast("double")
         sums = at.groupBy("row").agg(*(F.sum(real * F.coalesce(i, F.lit(0.0))).alias(f"r{k}") for k, i in enumerate(is_)), *(F.sum(F.col("n") * F.col("size") * F.coalesce(i, F.lit(0.0))).alias(f"t{k}") for k, i in enumerate(is_)))
@@ -201,15 +207,15 @@ def levels(docs: DataFrame, key: str, text: str, labels: DataFrame, label_key: s
     for _ in range(rounds):
         new = cut(sentence_levels(values))
         if found is not None:
-            moved, total = new.join(found.withColumnRenamed("level", "was"), "s", "left").agg(F.sum((~F.col("level").eqNullSafe(F.col("was"))).cast("long")), F.count(F.lit(1))).first()
+            moved, total = joined(new, found.withColumnRenamed("level", "was"), "s", "left").agg(F.sum((~F.col("level").eqNullSafe(F.col("was"))).cast("long")), F.count(F.lit(1))).first()
             found = new
             if not total or moved <= settled * total:
                 break
         found = new
-        values = clamped.unionByName(documents(found).join(graded, "row", "left_anti").withColumn("weight", F.lit(trust)))
+        values = clamped.unionByName(joined(documents(found), graded, "row", "left_anti").withColumn("weight", F.lit(trust)))
     else:
         warnings.warn(f"levels of sentences still move after {rounds} turns", stacklevel=2)
-    out = documents(found).join(body.select("row", "id"), "row")
+    out = joined(documents(found), body.select("row", "id"), "row")
     most = F.greatest(*"abcd")
     level_ = F.when(F.col("a") == most, 1).when(F.col("b") == most, 2).when(F.col("c") == most, 3).otherwise(4)
     return out.select(F.col("id").alias(key), level_.alias("reading_level"), (F.col("a") + 2 * F.col("b") + 3 * F.col("c") + 4 * F.col("d")).alias("difficulty"))
