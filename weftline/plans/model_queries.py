@@ -156,8 +156,8 @@ def s03(spark, d):
     e = table(spark, d, "events")
     s = spark.readStream.schema(e.schema).option("pathGlobFilter", "events.parquet").parquet(d).withColumn("ts", F.col("ts").cast("timestamp"))
     twice = s.select("*", F.explode(F.when(F.col("event_id") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
-    name = f"o{uuid.uuid4().hex}"
-    return stream.run_once(stream.once_only(twice, "ts", "event_id", "4000 days").select("event_type", "event_id"), name, "append", place(spark, d, name)).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    once = stream.once_only(twice, "ts", "event_id", "4000 days").select("event_type")
+    return stream.run_to_files(once, place(spark, d, "once"), place(spark, d, "once-state")).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("b02_sqlite_star", "select trend_id, trend_name, n_keywords::bigint as n_keywords, growth_score_y1 from trends")

@@ -40,3 +40,17 @@ def run_once(stream: DataFrame, name: str, mode: str, checkpoint: str) -> DataFr
     q = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return stream.sparkSession.table(name)
+
+
+def run_to_files(stream: DataFrame, folder: str, checkpoint: str) -> DataFrame:
+    """The rows that everything that is there now appends, as Parquet files in `folder`; for results of any
+    size. A batch that is run again replaces its files. State is kept in RocksDB, so it may exceed memory."""
+    spark, kind = stream.sparkSession, "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(kind)
+    spark.conf.set(kind, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        q = stream.writeStream.format("parquet").option("path", folder).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(kind, before)
+    q.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(folder)
